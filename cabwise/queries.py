@@ -198,3 +198,143 @@ def q_join_plan_report(spark, sf_dir):
                      .select(F.lit(strategy).alias("strategy"),
                              F.lit(join_node(joined)).alias("join_node"), "n_rows"))
     return parts[0].unionByName(parts[1])
+
+
+# ---------------------------------------------------------------------------
+# Text features (documents, class = lang)
+# ---------------------------------------------------------------------------
+from cabwise.functions.text import STOPWORDS  # noqa: E402
+from cabwise.operators import lexicon as LX, tfidf as TF  # noqa: E402
+
+LEXICON_K = 150
+
+
+def _sql_list(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+DUCK_DOCS = """
+docs AS (SELECT doc_id, lang AS category, text FROM documents)"""
+
+DUCK_TOKENS = """
+toks AS (
+  SELECT doc_id, category,
+         unnest(string_split(lower(text), ' ')) AS token,
+         CAST(generate_subscripts(string_split(lower(text), ' '), 1) - 1 AS INTEGER) AS pos
+  FROM docs)"""
+
+DUCK_COUNTS = f"""
+words AS (SELECT regexp_replace(token, '[^a-zA-Z]+', '', 'g') AS word FROM toks),
+counts AS (SELECT word, count(*) AS n FROM words
+           WHERE lower(word) NOT IN ({_sql_list(STOPWORDS)}) GROUP BY word)"""
+
+DUCK_LEXICON = f"""
+lex AS (SELECT word, CAST(row_number() OVER (ORDER BY n DESC, word ASC) - 1 AS INTEGER) AS word_idx, n
+        FROM counts ORDER BY n DESC, word ASC LIMIT {LEXICON_K})"""
+
+DUCK_MATCHED = """
+matched AS (SELECT t.doc_id, t.category, t.pos, l.word, l.word_idx FROM toks t JOIN lex l ON t.token = l.word)"""
+
+DUCK_TC = """
+tc AS (SELECT doc_id, category, word_idx, count(*) AS cnt FROM matched GROUP BY doc_id, category, word_idx)"""
+
+DUCK_IDF = """
+idf AS (SELECT word_idx, count(*) AS df, (SELECT count(DISTINCT doc_id) FROM tc) AS n_docs,
+               ln((SELECT count(DISTINCT doc_id) FROM tc) / count(*)) AS idf
+        FROM tc GROUP BY word_idx)"""
+
+DUCK_TF = {
+    "augmented": """
+tf AS (SELECT *, 0.5 + 0.5 * cnt / max(cnt) OVER (PARTITION BY doc_id) AS tf FROM tc)""",
+    "relative": """
+tf AS (SELECT *, cnt / sum(cnt) OVER (PARTITION BY doc_id) AS tf FROM tc)""",
+}
+
+DUCK_WEIGHTS = """
+weights AS (SELECT tf.doc_id, tf.category, tf.word_idx, tf.tf * idf.idf AS weight
+            FROM tf JOIN idf USING (word_idx))"""
+
+DUCK_TEXT_BASE = (DUCK_DOCS, DUCK_TOKENS, DUCK_COUNTS, DUCK_LEXICON, DUCK_MATCHED, DUCK_TC)
+
+
+def _docs(spark, sf_dir):
+    return B.complaints(spark, sf_dir, "lang")
+
+
+def _lexicon(spark, sf_dir):
+    return LX.lexicon_topk(_docs(spark, sf_dir), LEXICON_K)
+
+
+def _term_counts(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    return TF.term_counts(LX.matched_tokens(docs, LX.lexicon_topk(docs, LEXICON_K)))
+
+
+def _weights(spark, sf_dir, weighting):
+    tc = _term_counts(spark, sf_dir)
+    return TF.tfidf(tc, TF.inverse_document_frequency(tc), weighting)
+
+
+@register("token_counts", _with(DUCK_DOCS, DUCK_TOKENS, DUCK_COUNTS) + "SELECT word, n FROM counts")
+def q_token_counts(spark, sf_dir):
+    return LX.token_counts(_docs(spark, sf_dir))
+
+
+@register("lexicon_topk", _with(DUCK_DOCS, DUCK_TOKENS, DUCK_COUNTS, DUCK_LEXICON) + "SELECT * FROM lex")
+def q_lexicon_topk(spark, sf_dir):
+    return _lexicon(spark, sf_dir)
+
+
+@register("matched_tokens", _with(*DUCK_TEXT_BASE[:-1]) + "SELECT * FROM matched")
+def q_matched_tokens(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    return LX.matched_tokens(docs, LX.lexicon_topk(docs, LEXICON_K))
+
+
+@register("term_counts", _with(*DUCK_TEXT_BASE) + "SELECT * FROM tc")
+def q_term_counts(spark, sf_dir):
+    return _term_counts(spark, sf_dir)
+
+
+@register("inverse_document_frequency", _with(*DUCK_TEXT_BASE, DUCK_IDF) + """
+SELECT word_idx, df, n_docs, round(idf, 6) AS idf FROM idf""")
+def q_inverse_document_frequency(spark, sf_dir):
+    return rounded(TF.inverse_document_frequency(_term_counts(spark, sf_dir)), {"idf": 6})
+
+
+@register("tf_augmented", _with(*DUCK_TEXT_BASE, DUCK_TF["augmented"]) + """
+SELECT doc_id, category, word_idx, cnt, round(tf, 6) AS tf FROM tf""")
+def q_tf_augmented(spark, sf_dir):
+    return rounded(TF.tf_augmented(_term_counts(spark, sf_dir)), {"tf": 6})
+
+
+@register("tf_relative", _with(*DUCK_TEXT_BASE, DUCK_TF["relative"]) + """
+SELECT doc_id, category, word_idx, cnt, round(tf, 6) AS tf FROM tf""")
+def q_tf_relative(spark, sf_dir):
+    return rounded(TF.tf_relative(_term_counts(spark, sf_dir)), {"tf": 6})
+
+
+@register("tfidf_augmented", _with(*DUCK_TEXT_BASE, DUCK_IDF, DUCK_TF["augmented"], DUCK_WEIGHTS) + """
+SELECT doc_id, category, word_idx, round(weight, 6) AS weight FROM weights""")
+def q_tfidf_augmented(spark, sf_dir):
+    return rounded(_weights(spark, sf_dir, "augmented"), {"weight": 6})
+
+
+@register("tfidf_relative", _with(*DUCK_TEXT_BASE, DUCK_IDF, DUCK_TF["relative"], DUCK_WEIGHTS) + """
+SELECT doc_id, category, word_idx, round(weight, 6) AS weight FROM weights""")
+def q_tfidf_relative(spark, sf_dir):
+    return rounded(_weights(spark, sf_dir, "relative"), {"weight": 6})
+
+
+DUCK_FEATURE_TEXT = """
+feats AS (
+  SELECT doc_id, category, CAST(count(*) AS INTEGER) AS n_terms,
+         string_agg(CAST(word_idx AS VARCHAR), ' ' ORDER BY word_idx) AS indices,
+         string_agg(CAST(CAST(round(weight * 1000000.0) AS BIGINT) AS VARCHAR), ' ' ORDER BY word_idx) AS weights
+  FROM weights GROUP BY doc_id, category)"""
+
+
+@register("feature_arrays", _with(*DUCK_TEXT_BASE, DUCK_IDF, DUCK_TF["augmented"], DUCK_WEIGHTS,
+                                  DUCK_FEATURE_TEXT) + "SELECT * FROM feats")
+def q_feature_arrays(spark, sf_dir):
+    return TF.features_as_text(TF.feature_arrays(_weights(spark, sf_dir, "augmented")))
