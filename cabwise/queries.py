@@ -338,3 +338,101 @@ feats AS (
                                   DUCK_FEATURE_TEXT) + "SELECT * FROM feats")
 def q_feature_arrays(spark, sf_dir):
     return TF.features_as_text(TF.feature_arrays(_weights(spark, sf_dir, "augmented")))
+
+
+# ---------------------------------------------------------------------------
+# Classification (featured documents, class = lang)
+# ---------------------------------------------------------------------------
+from cabwise.operators import classify as C, textclass as TC  # noqa: E402
+
+MIN_CLASS_COUNT = 100     # strict ">" as in the reference's class filter
+TRAIN_FRACTION = 0.75
+SPLIT_SEED = 1234
+
+DUCK_LABELS = """
+fdocs AS (SELECT DISTINCT doc_id, category FROM tc),
+ccount AS (SELECT category, count(*) AS n FROM fdocs GROUP BY category),
+labels AS (SELECT category, CAST(row_number() OVER (ORDER BY n DESC, category ASC) - 1 AS DOUBLE) AS label, n
+           FROM ccount)"""
+
+DUCK_SPLIT = f"""
+lf AS (
+  SELECT f.doc_id, f.category, l.label, f.indices, f.weights,
+         CAST(('0x' || substr(md5('{SPLIT_SEED}:' || CAST(f.doc_id AS VARCHAR)), 1, 8)) AS BIGINT)
+           / 4294967296.0 < {TRAIN_FRACTION} AS is_train
+  FROM feats f JOIN labels l USING (category))"""
+
+DUCK_CLASS_BASE = (*DUCK_TEXT_BASE, DUCK_LABELS)
+DUCK_SPLIT_BASE = (*DUCK_TEXT_BASE, DUCK_IDF, DUCK_TF["augmented"], DUCK_WEIGHTS, DUCK_FEATURE_TEXT,
+                   DUCK_LABELS, DUCK_SPLIT)
+
+
+def _features(spark, sf_dir):
+    return TC.document_features(_docs(spark, sf_dir), LEXICON_K, "augmented")
+
+
+@register("frequent_classes", _with(*DUCK_CLASS_BASE) + f"""
+SELECT category, n FROM ccount WHERE n > {MIN_CLASS_COUNT}""")
+def q_frequent_classes(spark, sf_dir):
+    return C.frequent_classes(_features(spark, sf_dir), MIN_CLASS_COUNT)
+
+
+@register("frequent_class_docs", _with(*DUCK_CLASS_BASE) + f"""
+SELECT doc_id, category FROM fdocs
+WHERE category IN (SELECT category FROM ccount WHERE n > {MIN_CLASS_COUNT})""")
+def q_frequent_class_docs(spark, sf_dir):
+    return C.frequent_class_docs(_features(spark, sf_dir), MIN_CLASS_COUNT).select("doc_id", "category")
+
+
+@register("class_distribution", _with(*DUCK_CLASS_BASE) + "SELECT category, label, n FROM labels")
+def q_class_distribution(spark, sf_dir):
+    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
+    return C.class_counts(lf.table, ["category", "label"])
+
+
+@register("label_index", _with(*DUCK_CLASS_BASE) + """
+SELECT f.doc_id, f.category, l.label FROM fdocs f JOIN labels l USING (category)""")
+def q_label_index(spark, sf_dir):
+    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
+    return lf.table.select("doc_id", "category", "label")
+
+
+@register("holdout_split", _with(*DUCK_SPLIT_BASE) + """
+SELECT doc_id, category, label, CASE WHEN is_train THEN 'train' ELSE 'test' END AS split FROM lf""")
+def q_holdout_split(spark, sf_dir):
+    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
+    flagged = C.split_flag(lf.table, TRAIN_FRACTION, SPLIT_SEED)
+    return flagged.select("doc_id", "category", "label",
+                          F.when(F.col("is_train"), "train").otherwise("test").alias("split"))
+
+
+@register("except_distinct", _with(*DUCK_SPLIT_BASE) + """
+SELECT category, label, indices, weights FROM lf
+EXCEPT
+SELECT category, label, indices, weights FROM lf WHERE is_train""")
+def q_except_distinct(spark, sf_dir):
+    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
+    rows = TF.features_as_text(lf.table).select("category", "label", "indices", "weights", "doc_id")
+    train, _ = C.holdout_split(rows, TRAIN_FRACTION, SPLIT_SEED)
+    cols = ["category", "label", "indices", "weights"]
+    return C.except_distinct(rows.select(*cols), train.select(*cols))
+
+
+@register("sample_by_label")
+def q_sample_by_label(spark, sf_dir):
+    """Random stratified sample (DataFrame.sampleBy) of the checkpointed
+    labelled table: rows-only check (the draw is Spark's own RNG)."""
+    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
+    labels = [float(i) for i in range(len(lf.labels))]
+    return C.sample_by_label(lf.table, TRAIN_FRACTION, SPLIT_SEED, labels=labels).select(
+        "doc_id", "category", "label")
+
+
+@register("mlp_predictions")
+def q_mlp_predictions(spark, sf_dir):
+    return TC.classify_documents(_docs(spark, sf_dir), LEXICON_K).predictions
+
+
+@register("mlp_accuracy")
+def q_mlp_accuracy(spark, sf_dir):
+    return TC.accuracy_report(TC.classify_documents(_docs(spark, sf_dir), LEXICON_K))
