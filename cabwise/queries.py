@@ -436,3 +436,78 @@ def q_mlp_predictions(spark, sf_dir):
 @register("mlp_accuracy")
 def q_mlp_accuracy(spark, sf_dir):
     return TC.accuracy_report(TC.classify_documents(_docs(spark, sf_dir), LEXICON_K))
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks (round trips through the shared staging folder)
+# ---------------------------------------------------------------------------
+from cabwise.schemas import TRIP_COLUMNS, TRIPS_CSV  # noqa: E402
+from cabwise.session import staging_path  # noqa: E402
+from cabwise.sources import files as FS, records as R  # noqa: E402
+
+
+def _staged_trip_csv(spark, sf_dir) -> str:
+    path = staging_path(spark, "trips-csv")
+    return FS.write_csv(B.trips_as_text(B.trips(spark, sf_dir)), path)
+
+
+def _staged_complaint_lines(spark, sf_dir) -> str:
+    path = staging_path(spark, "complaint-lines")
+    return FS.write_text(B.complaint_lines(spark, sf_dir, "lang"), path)
+
+
+DUCK_TEXT_TRIPS = """
+text_trips AS (
+  SELECT CAST(trip_id AS VARCHAR) AS trip_id, date_trunc('second', start_ts) AS start_ts,
+         date_trunc('second', end_ts) AS end_ts, start_lon, start_lat, end_lon, end_lat, cost
+  FROM trips)"""
+
+DUCK_LINES = """
+lines AS (SELECT unnest(string_split(concat_ws(',', '2015-01-01', lang, text), chr(10))) AS value FROM documents),
+fields AS (SELECT value, CAST(len(string_split(value, ',')) AS INTEGER) AS n_fields,
+                  string_split(value, ',')[1] AS date, string_split(value, ',')[2] AS category,
+                  string_split(value, ',')[3] AS text
+           FROM lines)"""
+
+
+@register("csv_schema_scan", _with(DUCK_TRIPS, DUCK_TEXT_TRIPS) + "SELECT * FROM text_trips")
+def q_csv_schema_scan(spark, sf_dir):
+    raw = FS.read_csv_schema(spark, _staged_trip_csv(spark, sf_dir), TRIPS_CSV)
+    return T.parse_trips(raw)
+
+
+@register("csv_infer_scan", ORACLE_SQL["hourly_profile"])
+def q_csv_infer_scan(spark, sf_dir):
+    """The reference's Q1 over a headerless CSV with inferred types."""
+    raw = FS.name_positional(FS.read_csv_inferred(spark, _staged_trip_csv(spark, sf_dir)), TRIP_COLUMNS)
+    typed = raw.select("trip_id", F.col("start_ts").cast("timestamp_ntz").alias("start_ts"),
+                       F.col("end_ts").cast("timestamp_ntz").alias("end_ts"),
+                       *TRIP_COLUMNS[3:])
+    return rounded(T.hourly_profile(typed), {"longitude": 6, "latitude": 6})
+
+
+@register("parse_timestamps", _with(DUCK_TRIPS, DUCK_TEXT_TRIPS) + """
+SELECT trip_id, start_ts, end_ts, CAST(hour(start_ts) AS INTEGER) AS hour FROM text_trips""")
+def q_parse_timestamps(spark, sf_dir):
+    parsed = T.parse_trips(B.trips_as_text(B.trips(spark, sf_dir)))
+    return parsed.select("trip_id", "start_ts", "end_ts", F.hour("start_ts").alias("hour"))
+
+
+@register("parquet_roundtrip", ORACLE_SQL["valid_trips"])
+def q_parquet_roundtrip(spark, sf_dir):
+    """Trips written to Parquet and read back; the validity filter is pushed
+    into the scan (PushedFilters) and only needed columns are read."""
+    path = FS.write_parquet(B.trips(spark, sf_dir), staging_path(spark, "trips-parquet"))
+    return T.valid_trips(FS.read_parquet(spark, path))
+
+
+@register("text_line_scan", _with(DUCK_LINES) + "SELECT * FROM fields")
+def q_text_line_scan(spark, sf_dir):
+    return R.line_fields(FS.read_lines(spark, _staged_complaint_lines(spark, sf_dir)))
+
+
+@register("valid_records", _with(DUCK_LINES) + r"""
+SELECT date, category, lower(text) AS text FROM fields
+WHERE n_fields = 3 AND starts_with(date, '201') AND regexp_matches(text, '\S')""")
+def q_valid_records(spark, sf_dir):
+    return R.valid_records(FS.read_lines(spark, _staged_complaint_lines(spark, sf_dir)))
