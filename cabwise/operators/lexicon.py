@@ -4,7 +4,7 @@ Input: any DataFrame with ``doc_id``, ``category`` and ``text``.
 
 Plan shape (all built-ins):
 
-* ``token_counts``: split → explode → clean → stopword ``InSet`` filter →
+* ``token_counts``: clean → split → explode → stopword ``InSet`` filter →
   ``groupBy(word).count()``. The partial aggregate runs before the exchange,
   so a word present in every document (the hot key) crosses the shuffle once
   per map task, not once per occurrence.
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabwise.functions.text import clean_token, is_stopword, tokens
+from cabwise.functions.text import clean_token, cleaned_tokens, is_stopword, tokens
 
 DEFAULT_K = 150
 
@@ -34,9 +34,9 @@ def doc_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def token_counts(docs: DataFrame, stopwords=None, text_col: str = "text") -> DataFrame:
     """(word, n): cleaned tokens that are not stopwords, with their counts."""
-    words = (docs.select(F.explode(tokens(text_col)).alias("token"))
-             .select(clean_token("token").alias("word")))
-    return (words.where(~is_stopword("word", stopwords))
+    words = docs.select(F.explode(cleaned_tokens(text_col)).alias("word"))
+    # cleaned tokens hold only a-z: the stopword test needs no lower()
+    return (words.where(~is_stopword("word", stopwords, lowercase=False))
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 

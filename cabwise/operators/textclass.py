@@ -14,11 +14,13 @@ from cabwise.operators import classify as C
 from cabwise.operators import lexicon as LX
 from cabwise.operators import tfidf as TF
 from cabwise.plans.lineage import checkpointed
+from cabwise.plans.partitioning import spread
 
 
 def document_features(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
                       stopwords=None, clean_docs: bool = False) -> DataFrame:
     """(doc_id, category, features) with features = sorted (word_idx, weight) pairs."""
+    docs = spread(docs, "doc_id")
     lex = LX.lexicon_topk(docs, k, stopwords)
     tc = TF.term_counts(LX.matched_tokens(docs, lex, clean_docs=clean_docs))
     return TF.feature_arrays(TF.tfidf(tc, TF.inverse_document_frequency(tc), weighting))

@@ -1,0 +1,26 @@
+"""Parallelism guard for CPU-heavy per-row work (tokenising text).
+
+A scan yields one partition per file split; an unsplittable input (one
+Parquet row group, one gzip file) becomes a single task however many cores
+there are. ``spread`` hash-repartitions by a key **only when** the input has
+fewer partitions than the cluster has task slots — a large input (many
+splits) is never reshuffled. Hashing on ``doc_id`` (not round-robin) keeps
+the placement deterministic on retry, and gives downstream per-document
+aggregates and windows the distribution they require, so they add no
+exchange of their own.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def task_slots(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or task_slots(df)
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)

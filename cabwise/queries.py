@@ -205,6 +205,7 @@ def q_join_plan_report(spark, sf_dir):
 # ---------------------------------------------------------------------------
 from cabwise.functions.text import STOPWORDS  # noqa: E402
 from cabwise.operators import lexicon as LX, tfidf as TF  # noqa: E402
+from cabwise.plans.partitioning import spread  # noqa: E402
 
 LEXICON_K = 150
 
@@ -258,7 +259,9 @@ DUCK_TEXT_BASE = (DUCK_DOCS, DUCK_TOKENS, DUCK_COUNTS, DUCK_LEXICON, DUCK_MATCHE
 
 
 def _docs(spark, sf_dir):
-    return B.complaints(spark, sf_dir, "lang")
+    # one Parquet row group = one scan task: spread the text over the task
+    # slots by doc_id (a no-op for inputs that already have enough splits)
+    return spread(B.complaints(spark, sf_dir, "lang"), "doc_id")
 
 
 def _lexicon(spark, sf_dir):
