@@ -17,13 +17,32 @@ from cabwise.plans.lineage import checkpointed
 from cabwise.plans.partitioning import spread
 
 
-def document_features(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
-                      stopwords=None, clean_docs: bool = False) -> DataFrame:
-    """(doc_id, category, features) with features = sorted (word_idx, weight) pairs."""
+def document_term_counts(docs: DataFrame, k: int = LX.DEFAULT_K, stopwords=None,
+                         clean_docs: bool = False, materialize: bool = True) -> DataFrame:
+    """(doc_id, category, word_idx, cnt) for the top-k lexicon.
+
+    The table feeds three consumers (document frequencies, the document
+    count N, per-document TF). Without a cut each would re-tokenise the whole
+    text, so it is checkpointed once into the shared folder; the checkpoint
+    keeps its doc_id partitioning, so the TF window still needs no exchange.
+    """
     docs = spread(docs, "doc_id")
     lex = LX.lexicon_topk(docs, k, stopwords)
     tc = TF.term_counts(LX.matched_tokens(docs, lex, clean_docs=clean_docs))
-    return TF.feature_arrays(TF.tfidf(tc, TF.inverse_document_frequency(tc), weighting))
+    return checkpointed(tc) if materialize else tc
+
+
+def document_weights(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
+                     stopwords=None, clean_docs: bool = False, materialize: bool = True) -> DataFrame:
+    """(doc_id, category, word_idx, weight)."""
+    tc = document_term_counts(docs, k, stopwords, clean_docs, materialize)
+    return TF.tfidf(tc, TF.inverse_document_frequency(tc), weighting)
+
+
+def document_features(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
+                      stopwords=None, clean_docs: bool = False, materialize: bool = True) -> DataFrame:
+    """(doc_id, category, features) with features = sorted (word_idx, weight) pairs."""
+    return TF.feature_arrays(document_weights(docs, k, weighting, stopwords, clean_docs, materialize))
 
 
 @dataclass
@@ -39,7 +58,7 @@ def labelled_features(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "
     With ``materialize`` the feature table is checkpointed into the shared
     folder once; the indexer fit, the split and the fit all read it back.
     """
-    feats = document_features(docs, k, weighting)
+    feats = document_features(docs, k, weighting, materialize=materialize)
     if min_class_count is not None:
         feats = C.frequent_class_docs(feats, min_class_count)
     if materialize:

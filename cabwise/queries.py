@@ -204,7 +204,7 @@ def q_join_plan_report(spark, sf_dir):
 # Text features (documents, class = lang)
 # ---------------------------------------------------------------------------
 from cabwise.functions.text import STOPWORDS  # noqa: E402
-from cabwise.operators import lexicon as LX, tfidf as TF  # noqa: E402
+from cabwise.operators import lexicon as LX, textclass as TC, tfidf as TF  # noqa: E402
 from cabwise.plans.partitioning import spread  # noqa: E402
 
 LEXICON_K = 150
@@ -268,14 +268,12 @@ def _lexicon(spark, sf_dir):
     return LX.lexicon_topk(_docs(spark, sf_dir), LEXICON_K)
 
 
-def _term_counts(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    return TF.term_counts(LX.matched_tokens(docs, LX.lexicon_topk(docs, LEXICON_K)))
+def _term_counts(spark, sf_dir, materialize=False):
+    return TC.document_term_counts(_docs(spark, sf_dir), LEXICON_K, materialize=materialize)
 
 
 def _weights(spark, sf_dir, weighting):
-    tc = _term_counts(spark, sf_dir)
-    return TF.tfidf(tc, TF.inverse_document_frequency(tc), weighting)
+    return TC.document_weights(_docs(spark, sf_dir), LEXICON_K, weighting)
 
 
 @register("token_counts", _with(DUCK_DOCS, DUCK_TOKENS, DUCK_COUNTS) + "SELECT word, n FROM counts")
@@ -302,7 +300,7 @@ def q_term_counts(spark, sf_dir):
 @register("inverse_document_frequency", _with(*DUCK_TEXT_BASE, DUCK_IDF) + """
 SELECT word_idx, df, n_docs, round(idf, 6) AS idf FROM idf""")
 def q_inverse_document_frequency(spark, sf_dir):
-    return rounded(TF.inverse_document_frequency(_term_counts(spark, sf_dir)), {"idf": 6})
+    return rounded(TF.inverse_document_frequency(_term_counts(spark, sf_dir, materialize=True)), {"idf": 6})
 
 
 @register("tf_augmented", _with(*DUCK_TEXT_BASE, DUCK_TF["augmented"]) + """
@@ -346,7 +344,7 @@ def q_feature_arrays(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Classification (featured documents, class = lang)
 # ---------------------------------------------------------------------------
-from cabwise.operators import classify as C, textclass as TC  # noqa: E402
+from cabwise.operators import classify as C  # noqa: E402
 
 MIN_CLASS_COUNT = 100     # strict ">" as in the reference's class filter
 TRAIN_FRACTION = 0.75
