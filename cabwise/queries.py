@@ -512,3 +512,34 @@ SELECT date, category, lower(text) AS text FROM fields
 WHERE n_fields = 3 AND starts_with(date, '201') AND regexp_matches(text, '\S')""")
 def q_valid_records(spark, sf_dir):
     return R.valid_records(FS.read_lines(spark, _staged_complaint_lines(spark, sf_dir)))
+
+
+@register("mlp_accuracy_relative")
+def q_mlp_accuracy_relative(spark, sf_dir):
+    """Second ML variant: relative term frequency."""
+    return TC.accuracy_report(TC.classify_documents(_docs(spark, sf_dir), LEXICON_K, weighting="relative"))
+
+
+@register("mlp_accuracy_frequent_classes")
+def q_mlp_accuracy_frequent_classes(spark, sf_dir):
+    """Third ML variant: classes with more than MIN_CLASS_COUNT documents only."""
+    return TC.accuracy_report(TC.classify_documents(_docs(spark, sf_dir), LEXICON_K,
+                                                    min_class_count=MIN_CLASS_COUNT))
+
+
+# ---------------------------------------------------------------------------
+# Incremental (Structured Streaming) form of the hourly profile
+# ---------------------------------------------------------------------------
+from cabwise.streaming import hourly as HS  # noqa: E402
+
+STREAM_FILES = 4
+
+
+@register("hourly_profile_incremental", ORACLE_SQL["hourly_profile"])
+def q_hourly_profile_incremental(spark, sf_dir):
+    """Trips arrive as several files; the streaming aggregation consumes them
+    one micro-batch per file and publishes the complete profile."""
+    source = FS.write_parquet(B.trips(spark, sf_dir).repartition(STREAM_FILES),
+                              staging_path(spark, "trips-stream-source"))
+    out = HS.run_hourly_profile_stream(spark, source, staging_path(spark, "hourly-stream-out"))
+    return rounded(HS.read_hourly_profile(spark, out), {"longitude": 6, "latitude": 6})
