@@ -16,11 +16,12 @@ from cabwise.sources.files import split_fields
 DATE_PREFIX = "201"
 
 
-def line_fields(lines: DataFrame, col: str = "value") -> DataFrame:
-    """(value, n_fields, date, category, text): positional fields, null when absent."""
+def line_fields(lines: DataFrame, col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(value, n_fields, date, category, text): positional fields, null when absent.
+    Columns named in ``keep`` are carried along in front."""
     f = F.col("fields")
     return (split_fields(lines, ",", col)
-            .select(F.col(col).alias("value"), F.size(f).alias("n_fields"),
+            .select(*keep, F.col(col).alias("value"), F.size(f).alias("n_fields"),
                     F.get(f, 0).alias("date"), F.get(f, 1).alias("category"),
                     F.get(f, 2).alias("text")))
 
@@ -35,3 +36,16 @@ def valid_records(lines: DataFrame, col: str = "value") -> DataFrame:
     """(date, category, text) of valid lines; text lower-cased."""
     return (line_fields(lines, col).where(record_is_valid())
             .select("date", "category", F.lower("text").alias("text")))
+
+
+def complaints_from_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Raw lines → (doc_id, date, category, text) of valid records.
+
+    ``doc_id`` is taken right after the scan, before any shuffle: it depends
+    only on the file split and the row position, so a retried task assigns
+    the same ids (unlike an index taken after a shuffle).
+    """
+    with_id = lines.select(F.monotonically_increasing_id().alias("doc_id"), F.col(col).alias("value"))
+    fields = line_fields(with_id, "value", keep=("doc_id",))
+    return (fields.where(record_is_valid())
+            .select("doc_id", "date", "category", F.lower("text").alias("text")))
