@@ -59,10 +59,11 @@ def labelled_features(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "
     folder once; the indexer fit, the split and the fit all read it back.
     """
     feats = document_features(docs, k, weighting, materialize=materialize)
-    if min_class_count is not None:
-        feats = C.frequent_class_docs(feats, min_class_count)
     if materialize:
         feats = checkpointed(feats)
+    if min_class_count is not None:
+        # class counts and the semi-join both read the checkpointed table
+        feats = C.frequent_class_docs(feats, min_class_count)
     table, model = C.index_labels(feats)
     return LabelledFeatures(table, list(model.labels))
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from cabwise.functions.geo import haversine_km, in_open_box
 from cabwise.functions.timecols import hour_of_day, hour_padded, minutes_between, parse_ts
-from cabwise.schemas import TRIP_COLUMNS
 
 
 def parse_trips(raw: DataFrame) -> DataFrame:
@@ -108,5 +107,27 @@ def longest_trip_single(trips_vendor: DataFrame) -> DataFrame:
             .orderBy("vendor"))
 
 
-def select_trip_columns(df: DataFrame) -> DataFrame:
-    return df.select(*TRIP_COLUMNS)
+# The same hourly profile written as SQL text over a DataFrame parameter (the
+# reference runs Q1 as SQL over a temporary view); Catalyst plans both forms
+# identically.
+HOURLY_PROFILE_SQL = """
+SELECT hour(start_ts) AS hour, avg(start_lon) AS longitude, avg(start_lat) AS latitude
+FROM {trips}
+WHERE start_ts < end_ts
+  AND start_lon != end_lon AND start_lat != end_lat
+  AND start_lon > -80 AND start_lon < -70 AND start_lat > 40 AND start_lat < 46
+  AND end_lon > -80 AND end_lon < -70 AND end_lat > 40 AND end_lat < 46
+  AND cost > 0
+GROUP BY hour(start_ts)
+ORDER BY hour
+"""
+
+
+def hourly_profile_sql(trips: DataFrame) -> DataFrame:
+    return trips.sparkSession.sql(HOURLY_PROFILE_SQL, trips=trips)
+
+
+def register_view(df: DataFrame, name: str) -> DataFrame:
+    """Expose a frame to SQL text by name (session-scoped temporary view)."""
+    df.createOrReplaceTempView(name)
+    return df

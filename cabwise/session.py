@@ -32,6 +32,8 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # remove checkpoint files once their DataFrames are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -166,3 +166,20 @@ def test_haversine_deg_is_geographic():
     # New York City Hall → Empire State Building, about 3.4 km
     d = haversine_py(-74.0060, 40.7128, -73.9857, 40.7484, unit="deg")
     assert 3.5 < d < 4.5
+
+
+def test_csv_parquet_and_sql_forms_agree(spark):
+    from cabwise.sources import bindings as B
+    trips = B.trips(spark, "/root/testdata/sf0.001")
+    csv_path = FS.write_csv(B.trips_as_text(trips), staging_path(spark, "meta-csv"))
+    pq_path = FS.write_parquet(T.parse_trips(FS.read_csv_schema(spark, csv_path, TRIPS_CSV)),
+                               staging_path(spark, "meta-pq"))
+
+    def rows(df):
+        return [(r.hour, round(r.longitude, 9), round(r.latitude, 9)) for r in df.collect()]
+
+    from_csv = rows(T.hourly_profile(T.parse_trips(FS.read_csv_schema(spark, csv_path, TRIPS_CSV))))
+    from_pq = rows(T.hourly_profile(FS.read_parquet(spark, pq_path)))
+    from_sql = rows(T.hourly_profile_sql(FS.read_parquet(spark, pq_path)))
+    assert from_csv == from_pq == from_sql
+    assert len(from_csv) == 24
