@@ -101,8 +101,14 @@ def sample_by_label(df: DataFrame, fractions: dict | float = 0.75, seed: int = 1
 
 def except_distinct(all_rows: DataFrame, train: DataFrame) -> DataFrame:
     """Reference test set: EXCEPT DISTINCT (drops duplicates and any row equal
-    to a training row). ``holdout_split`` is the loss-free alternative."""
-    return all_rows.subtract(train)
+    to a training row). ``holdout_split`` is the loss-free alternative.
+
+    Both sides are de-duplicated first: ``distinct`` aggregates partially on
+    the map side, so a group of identical copies collapses before any shuffle
+    and the anti-join (null-safe on every column, as EXCEPT requires) only
+    ever sees unique rows — no hot key however many copies there are.
+    """
+    return all_rows.distinct().subtract(train.distinct())
 
 
 def mlp_layers(n_features: int, n_classes: int) -> list[int]:

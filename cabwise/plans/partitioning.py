@@ -20,7 +20,11 @@ def task_slots(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or task_slots(df)
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or task_slots(df)
+        current = df.rdd.getNumPartitions()   # plans the scan; runs nothing
+    except Exception:                          # no RDD view (e.g. a Connect session)
+        return df
+    if current >= target:
         return df
     return df.repartition(target, key)
