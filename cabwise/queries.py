@@ -13,9 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabwise.operators import joins, trips as T
+from cabwise.functions.text import STOPWORDS
+from cabwise.operators import classify as C, joins, lexicon as LX, textclass as TC, tfidf as TF, trips as T
 from cabwise.plans.inspect import join_node
-from cabwise.sources import bindings as B
+from cabwise.plans.partitioning import spread
+from cabwise.schemas import TRIP_COLUMNS, TRIPS_CSV
+from cabwise.session import staging_path
+from cabwise.sources import bindings as B, files as FS, records as R
+from cabwise.streaming import hourly as HS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -203,9 +208,6 @@ def q_join_plan_report(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Text features (documents, class = lang)
 # ---------------------------------------------------------------------------
-from cabwise.functions.text import STOPWORDS  # noqa: E402
-from cabwise.operators import lexicon as LX, textclass as TC, tfidf as TF  # noqa: E402
-from cabwise.plans.partitioning import spread  # noqa: E402
 
 LEXICON_K = 150
 
@@ -344,7 +346,6 @@ def q_feature_arrays(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Classification (featured documents, class = lang)
 # ---------------------------------------------------------------------------
-from cabwise.operators import classify as C  # noqa: E402
 
 MIN_CLASS_COUNT = 100     # strict ">" as in the reference's class filter
 TRAIN_FRACTION = 0.75
@@ -442,9 +443,6 @@ def q_mlp_accuracy(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Sources and sinks (round trips through the shared staging folder)
 # ---------------------------------------------------------------------------
-from cabwise.schemas import TRIP_COLUMNS, TRIPS_CSV  # noqa: E402
-from cabwise.session import staging_path  # noqa: E402
-from cabwise.sources import files as FS, records as R  # noqa: E402
 
 
 def _staged_trip_csv(spark, sf_dir) -> str:
@@ -530,7 +528,6 @@ def q_mlp_accuracy_frequent_classes(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Incremental (Structured Streaming) form of the hourly profile
 # ---------------------------------------------------------------------------
-from cabwise.streaming import hourly as HS  # noqa: E402
 
 STREAM_FILES = 4
 

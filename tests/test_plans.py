@@ -67,7 +67,5 @@ def test_bucketed_tables_join_without_exchange(spark):
 
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_no_python_evaluation(spark, key):
-    if key.startswith("mlp_"):
-        pytest.skip("model fitting runs in the JVM; covered by test_ml")
     df = E.queries()[key](spark, SF_SMOKE)
     assert python_udf_nodes(df) == []
