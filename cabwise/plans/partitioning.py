@@ -2,12 +2,13 @@
 
 A scan yields one partition per file split; an unsplittable input (one
 Parquet row group, one gzip file) becomes a single task however many cores
-there are. ``spread`` hash-repartitions by a key **only when** the input has
-fewer partitions than the cluster has task slots — a large input (many
-splits) is never reshuffled. Hashing on ``doc_id`` (not round-robin) keeps
-the placement deterministic on retry, and gives downstream per-document
-aggregates and windows the distribution they require, so they add no
-exchange of their own.
+there are. ``spread`` hash-repartitions by a key **only when** the scan
+would leave at least three quarters of the task slots idle (partitions ≤
+slots / 4). A large input has many splits and is never reshuffled; a
+moderately under-split one is not worth a shuffle of all its bytes either.
+Hashing on ``doc_id`` (not round-robin) keeps the placement deterministic
+on retry, and gives downstream per-document aggregates and windows the
+distribution they require, so they add no exchange of their own.
 """
 
 from __future__ import annotations
@@ -19,12 +20,15 @@ def task_slots(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
 
+UNDER_SPLIT_FACTOR = 4
+
+
 def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
     try:
         target = min_partitions or task_slots(df)
         current = df.rdd.getNumPartitions()   # plans the scan; runs nothing
     except Exception:                          # no RDD view (e.g. a Connect session)
         return df
-    if current >= target:
+    if current * UNDER_SPLIT_FACTOR > target:
         return df
     return df.repartition(target, key)
