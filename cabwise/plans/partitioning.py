@@ -1,34 +1,52 @@
 """Parallelism guard for CPU-heavy per-row work (tokenising text).
 
-A scan yields one partition per file split; an unsplittable input (one
-Parquet row group, one gzip file) becomes a single task however many cores
-there are. ``spread`` hash-repartitions by a key **only when** the scan
-would leave at least three quarters of the task slots idle (partitions ≤
-slots / 4). A large input has many splits and is never reshuffled; a
-moderately under-split one is not worth a shuffle of all its bytes either.
-Hashing on ``doc_id`` (not round-robin) keeps the placement deterministic
-on retry, and gives downstream per-document aggregates and windows the
-distribution they require, so they add no exchange of their own.
+A scan yields one partition per file split, but a split only carries rows if
+a Parquet row group (or a whole unsplittable file) starts in it: a 15 MB file
+with one row group is planned as several splits of which one holds all the
+rows. The split count therefore over-states the real parallelism.
+
+``spread`` hash-repartitions by a key when either
+
+* the input is small (file-based size estimate ≤ ``small_bytes``, 1 GiB by
+  default): the reshuffle costs at most that much, and the work is then
+  spread over all task slots whatever the file layout; or
+* the scan is clearly under-split (partitions ≤ slots / 4), e.g. one large
+  gzip file.
+
+A large, normally written input (many row groups, many splits) is never
+reshuffled. Hashing on ``doc_id`` (not round-robin) keeps the placement
+deterministic on retry and gives downstream per-document aggregates and
+windows the distribution they require, so they add no exchange of their own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+UNDER_SPLIT_FACTOR = 4
+SMALL_INPUT_BYTES = 1 << 30
+
 
 def task_slots(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
 
-UNDER_SPLIT_FACTOR = 4
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate (file sizes for a scan; an upper bound after
+    filters and projections)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) if isinstance(size, int) else int(size.toString())
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, key: str, min_partitions: int | None = None,
+           small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     try:
-        target = min_partitions or task_slots(df)
-        current = df.rdd.getNumPartitions()   # plans the scan; runs nothing
-    except Exception:                          # no RDD view (e.g. a Connect session)
-        return df
-    if current * UNDER_SPLIT_FACTOR > target:
+        df._jdf                                # classic session: a JVM plan to inspect
+    except Exception:                          # e.g. a Connect session: leave as it is
         return df
-    return df.repartition(target, key)
+    target = min_partitions or task_slots(df)
+    current = df.rdd.getNumPartitions()        # plans the scan; runs nothing
+    size = estimated_bytes(df)
+    if current * UNDER_SPLIT_FACTOR <= target or size <= small_bytes:
+        return df.repartition(target, key)
+    return df

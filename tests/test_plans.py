@@ -69,3 +69,19 @@ def test_bucketed_tables_join_without_exchange(spark):
 def test_no_python_evaluation(spark, key):
     df = E.queries()[key](spark, SF_SMOKE)
     assert python_udf_nodes(df) == []
+
+
+def test_spread_small_input_is_hash_partitioned_by_key(spark):
+    from cabwise.plans.partitioning import spread, task_slots
+    docs = B.complaints(spark, SF_SMOKE)
+    out = spread(docs, "doc_id")
+    assert out.rdd.getNumPartitions() == task_slots(docs)
+    assert "hashpartitioning(doc_id" in plan_text(out, "simple")
+
+
+def test_spread_leaves_large_well_split_input_alone(spark):
+    from cabwise.plans.partitioning import spread, task_slots
+    big = spark.range(0, 1000, numPartitions=task_slots(spark.range(1)))
+    assert spread(big, "id", small_bytes=0) is big           # enough splits, "large"
+    one = spark.range(0, 1000, numPartitions=1)
+    assert spread(one, "id", small_bytes=0) is not one        # clearly under-split
