@@ -12,9 +12,16 @@ from oracle_harness import compare  # noqa: E402
 import __spark_entry__ as E  # noqa: E402
 from cabwise.session import build_session  # noqa: E402
 
-sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-keys = sys.argv[2:]
-spark = build_session("local[8]", shuffle_partitions=8)
+args = [a for a in sys.argv[1:] if a != "--vanilla"]
+sf = args[0] if args else "/root/testdata/sf0.01"
+keys = args[1:]
+if "--vanilla" in sys.argv:   # a plain session, as an outside caller would have
+    from pyspark.sql import SparkSession
+    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+             .getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
+else:
+    spark = build_session("local[8]", shuffle_partitions=8)
 q, o = E.queries(), E.oracle_sql()
 bad = 0
 for k in (keys or list(q)):
