@@ -7,9 +7,9 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Mean Earth radius in km, and the open bounding box of valid
+# trip end points (longitude, latitude).
 EARTH_RADIUS_KM = 6371.0
-
-# Open bounding box of valid trip end points (fixed values).
 LON_BOUNDS = (-80.0, -70.0)
 LAT_BOUNDS = (40.0, 46.0)
 

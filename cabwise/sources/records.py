@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cabwise.functions.text import has_non_blank
 from cabwise.sources.files import split_fields
 
+# Fixed value: a record's date field must start with this text.
 DATE_PREFIX = "201"
 
 
