@@ -37,14 +37,50 @@ DEFAULT_CONF = {
 }
 
 
+PARTITION_BYTES = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def scale_settings(input_bytes: int, task_slots: int, partition_bytes: int = PARTITION_BYTES,
+                   shuffle_fraction: float = 0.25) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` on ``task_slots`` cores.
+
+    Scan splits and post-shuffle partitions target ``partition_bytes``
+    (128 MB): small enough for one task's memory with room for sort and hash
+    buffers, large enough to keep per-task overhead low. The shuffled volume
+    is a fraction of the input (pruned columns, map-side partial aggregates),
+    ``shuffle_fraction``; the shuffle partition count covers it, is at least
+    three waves of tasks, is rounded up to whole waves and is capped (the
+    number of shuffle blocks grows as map tasks × reduce partitions). AQE
+    coalesces partitions that come out small and splits skewed ones.
+    """
+    slots = max(int(task_slots), 1)
+    by_size = -(-int(max(input_bytes, 1) * shuffle_fraction) // partition_bytes)
+    waves = max(3, -(-by_size // slots))
+    partitions = min(waves * slots, max(MAX_SHUFFLE_PARTITIONS, 3 * slots))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+
+
 def build_session(master: str | None = None, app: str = "cabwise",
                   shuffle_partitions: int | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library defaults applied."""
+                  conf: dict[str, str] | None = None,
+                  input_bytes: int | None = None, task_slots: int | None = None) -> SparkSession:
+    """Create (or reuse) a session with the library defaults applied.
+
+    With ``input_bytes`` and ``task_slots`` the partition sizing of
+    :func:`scale_settings` is applied; ``shuffle_partitions`` and ``conf``
+    override it.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if input_bytes is not None and task_slots is not None:
+        settings.update(scale_settings(input_bytes, task_slots))
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})

@@ -85,3 +85,13 @@ def test_spread_leaves_large_well_split_input_alone(spark):
     assert spread(big, "id", small_bytes=0) is big           # enough splits, "large"
     one = spark.range(0, 1000, numPartitions=1)
     assert spread(one, "id", small_bytes=0) is not one        # clearly under-split
+
+
+def test_scale_settings():
+    from cabwise.session import scale_settings
+    small = scale_settings(40 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "24"          # three waves
+    big = scale_settings(100 << 40, 8000)
+    n = int(big["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and 8000 * 3 <= n <= 100_000
+    assert big["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
