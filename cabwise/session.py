@@ -57,7 +57,8 @@ def scale_settings(input_bytes: int, task_slots: int, partition_bytes: int = PAR
     slots = max(int(task_slots), 1)
     by_size = -(-int(max(input_bytes, 1) * shuffle_fraction) // partition_bytes)
     waves = max(3, -(-by_size // slots))
-    partitions = min(waves * slots, max(MAX_SHUFFLE_PARTITIONS, 3 * slots))
+    cap_waves = max(MAX_SHUFFLE_PARTITIONS // slots, 3)
+    partitions = min(waves, cap_waves) * slots
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
