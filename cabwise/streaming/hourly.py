@@ -4,12 +4,16 @@ New trip files land in a directory; the same ``hourly_profile`` logic runs
 as a streaming aggregation. Its state is one (sum, count) pair per hour of
 day — 24 keys whatever the input size — kept in the state store under the
 checkpoint location in the shared folder, so a restarted query resumes
-where it stopped. Each micro-batch's complete result (24 rows at most)
-replaces the previous one at ``output_path`` through ``foreachBatch``.
+where it stopped. The complete result (24 rows at most) goes to the
+built-in memory sink; once the ``availableNow`` run has consumed every file,
+it is published to ``output_path``. A run that finds no new file leaves the
+previous publication in place.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,19 +39,20 @@ def run_hourly_profile_stream(spark: SparkSession, source_dir: str, output_path:
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .parquet(source_dir))
-
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(output_path)
-
+    name = "hourly_profile_" + uuid.uuid4().hex
     query = (hourly_aggregate(stream).writeStream
              .outputMode("complete")
-             .foreachBatch(publish)
+             .format("memory")
+             .queryName(name)
              .option("checkpointLocation", checkpoint or staging_path(spark, "hourly-stream-ckpt"))
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+    if any(p.get("numInputRows", 0) > 0 for p in query.recentProgress):
+        spark.table(name).write.mode("overwrite").parquet(output_path)
+    spark.catalog.dropTempView(name)
     return output_path
 
 
