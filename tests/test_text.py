@@ -162,3 +162,14 @@ def test_duplicates_kept_by_split_removed_by_except(spark):
     assert test.count() == 3                      # both identical documents kept
     left = C.except_distinct(df.select("features", "label"), train.select("features", "label"))
     assert left.count() == 2                      # EXCEPT DISTINCT keeps one of them
+
+
+def test_sample_by_label_repeatable_on_checkpoint(spark):
+    from cabwise.plans.lineage import checkpointed
+    df = checkpointed(spark.range(0, 3000).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 3).cast("double").alias("label")))
+    a = {r.doc_id for r in C.sample_by_label(df, {0.0: 0.75, 1.0: 0.75}, seed=1234).collect()}
+    b = {r.doc_id for r in C.sample_by_label(df, {0.0: 0.75, 1.0: 0.75}, seed=1234).collect()}
+    assert a == b
+    assert all(i % 3 != 2 for i in a)                     # label 2.0 not in the map
+    assert 0.7 < len([i for i in a if i % 3 == 0]) / 1000 < 0.8
