@@ -49,7 +49,7 @@ def emit(df: DataFrame, output: str | None, rows: int) -> None:
         df.show(rows, truncate=False)
 
 
-def main(argv=None) -> None:
+def main(argv=None, stop: bool = True) -> None:
     p = argparse.ArgumentParser(prog="cabwise")
     p.add_argument("--master", default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -112,7 +112,8 @@ def main(argv=None) -> None:
                                     a.seed, a.max_iter, cache_train=not a.no_cache)
         emit(TC.accuracy_report(run), a.output, 1)
     print(f"Time of {a.cmd}: {time.perf_counter() - t0:.2f} seconds")
-    spark.stop()
+    if stop:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -70,12 +70,16 @@ def labelled_features(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "
 
 @dataclass
 class ClassificationRun:
-    train: DataFrame
+    train: DataFrame          # persisted when cache_train is set; see release()
     test: DataFrame
     model: object
     predictions: DataFrame
     labels: list[str]
 
+    def release(self) -> None:
+        """Drop the cached training rows."""
+        self.train.unpersist()
+
 
 def classify_documents(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
                        min_class_count: int | None = None, train_fraction: float = 0.75,
