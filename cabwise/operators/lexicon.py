@@ -49,14 +49,18 @@ def lexicon_topk(docs: DataFrame, k: int = DEFAULT_K, stopwords=None,
 
 
 def matched_tokens(docs: DataFrame, lexicon: DataFrame, text_col: str = "text",
-                   clean_docs: bool = False) -> DataFrame:
+                   clean_docs: bool = False, with_pos: bool = True) -> DataFrame:
     """(doc_id, category, pos, word, word_idx) for every document token that
     is a lexicon word. Tokens are matched as they are (``paid.`` does not
     match ``paid``) unless ``clean_docs`` is set. Documents without a lexicon
-    word produce no rows."""
-    toks = doc_tokens(docs, text_col)
+    word produce no rows. ``with_pos=False`` drops the token position (and
+    the work of generating it) when only counts are needed."""
+    if with_pos:
+        toks = doc_tokens(docs, text_col)
+    else:
+        toks = docs.select("doc_id", "category", F.explode(tokens(text_col)).alias("token"))
     if clean_docs:
         toks = toks.withColumn("token", clean_token("token"))
     lex = F.broadcast(lexicon.select(F.col("word"), F.col("word_idx")))
-    return (toks.join(lex, toks["token"] == lex["word"], "inner")
-            .select("doc_id", "category", "pos", "word", "word_idx"))
+    cols = ["doc_id", "category"] + (["pos"] if with_pos else []) + ["word", "word_idx"]
+    return toks.join(lex, toks["token"] == lex["word"], "inner").select(*cols)

@@ -28,7 +28,7 @@ def document_term_counts(docs: DataFrame, k: int = LX.DEFAULT_K, stopwords=None,
     """
     docs = spread(docs, "doc_id")
     lex = LX.lexicon_topk(docs, k, stopwords)
-    tc = TF.term_counts(LX.matched_tokens(docs, lex, clean_docs=clean_docs))
+    tc = TF.term_counts(LX.matched_tokens(docs, lex, clean_docs=clean_docs, with_pos=False))
     return checkpointed(tc) if materialize else tc
 
 
