@@ -14,7 +14,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from cabwise.plans.sizing import bounded_broadcast
 
 STRATEGIES = ("broadcast", "merge", "shuffle_hash")
 
@@ -25,16 +26,21 @@ def trips_with_vendor(trips: DataFrame, vendors: DataFrame, key: str = "trip_id"
 
 def limited_side(vendors: DataFrame, n: int = 50, key: str = "trip_id") -> DataFrame:
     """First ``n`` rows by key: a repeatable LIMIT (TakeOrderedAndProject:
-    each task keeps n rows, the driver merges at most n per task)."""
+    each task keeps its first n rows, one task merges those n-row lists)."""
     return vendors.orderBy(key).limit(n)
 
 
+MAX_BROADCAST_ROWS = 1_000_000
+
+
 def join_with_strategy(big: DataFrame, small: DataFrame, strategy: str,
-                       key: str = "trip_id") -> DataFrame:
+                       key: str = "trip_id", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Inner join with a forced strategy. A broadcast side must be proven
+    small (the LIMIT of ``limited_side`` proves it statically)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if strategy == "broadcast":
-        small = F.broadcast(small)
+        small = bounded_broadcast(small, max_broadcast_rows, "broadcast side")
     else:
         small = small.hint(strategy)
     return big.join(small, key, "inner")

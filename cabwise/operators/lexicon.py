@@ -12,8 +12,8 @@ Plan shape (all built-ins):
   TakeOrderedAndProject — each task keeps k rows; only k rows ever reach a
   single partition, where the 0-based index is assigned.
 * ``matched_tokens``: raw document tokens inner-joined to the lexicon. The
-  lexicon has at most k rows by construction, so it is broadcast and the
-  document side is never shuffled.
+  lexicon's size is proven (LIMIT k, or counted) before it is broadcast, so
+  the document side is never shuffled.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabwise.functions.text import clean_token, cleaned_tokens, is_stopword, tokens
+from cabwise.plans.sizing import bounded_broadcast
 
 DEFAULT_K = 150
+MAX_LEXICON = 100_000   # a lexicon is broadcast: it must stay this small
 
 
 def doc_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -61,6 +63,7 @@ def matched_tokens(docs: DataFrame, lexicon: DataFrame, text_col: str = "text",
         toks = docs.select("doc_id", "category", F.explode(tokens(text_col)).alias("token"))
     if clean_docs:
         toks = toks.withColumn("token", clean_token("token"))
-    lex = F.broadcast(lexicon.select(F.col("word"), F.col("word_idx")))
+    # lexicon_topk's LIMIT k proves the bound statically; other lexicons are counted
+    lex = bounded_broadcast(lexicon.select("word", "word_idx"), MAX_LEXICON, "lexicon")
     cols = ["doc_id", "category"] + (["pos"] if with_pos else []) + ["word", "word_idx"]
     return toks.join(lex, toks["token"] == lex["word"], "inner").select(*cols)

@@ -20,6 +20,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cabwise.plans.sizing import bounded_broadcast
+
+MAX_TERMS = 100_000   # one idf row per lexicon word
+
 
 def term_counts(matched: DataFrame) -> DataFrame:
     """(doc_id, category, word_idx, cnt)."""
@@ -66,7 +70,7 @@ TF_FUNCTIONS = {"augmented": tf_augmented, "relative": tf_relative}
 def tfidf(tc: DataFrame, idf: DataFrame, weighting: str = "augmented") -> DataFrame:
     """(doc_id, category, word_idx, weight) with weight = tf * idf."""
     tf = TF_FUNCTIONS[weighting](tc)
-    small = F.broadcast(idf.select("word_idx", "idf"))  # ≤ k rows
+    small = bounded_broadcast(idf.select("word_idx", "idf"), MAX_TERMS, "idf table")  # ≤ k rows
     return (tf.join(small, "word_idx", "inner")
             .select("doc_id", "category", "word_idx", (F.col("tf") * F.col("idf")).alias("weight")))
 

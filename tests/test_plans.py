@@ -95,3 +95,16 @@ def test_scale_settings():
     n = int(big["spark.sql.shuffle.partitions"])
     assert n % 8000 == 0 and 8000 * 3 <= n <= 100_000
     assert big["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
+
+
+def test_broadcast_bounds(spark):
+    import pytest as _pytest
+    from cabwise.plans.sizing import bounded_broadcast, checked_broadcast, static_row_bound
+    limited = joins.limited_side(B.vendors(spark, SF_SMOKE))
+    assert static_row_bound(limited) == 50                    # proven without a job
+    assert static_row_bound(B.vendors(spark, SF_SMOKE)) is None
+    big = spark.range(0, 5000)
+    assert checked_broadcast(big, 100) is big                 # over the bound: plain join
+    with _pytest.raises(ValueError):
+        bounded_broadcast(big, 100, "test side")
+    assert "BroadcastHashJoin" in plan_text(big.join(checked_broadcast(spark.range(10), 100), "id"), "simple")
