@@ -14,7 +14,8 @@ rows. The split count therefore over-states the real parallelism.
   gzip file.
 
 A large, normally written input (many row groups, many splits) is never
-reshuffled. Hashing on ``doc_id`` (not round-robin) keeps the placement
+reshuffled, nor is an input already hash-partitioned on the key (a table
+bucketed on ``doc_id``). Hashing on ``doc_id`` (not round-robin) keeps the placement
 deterministic on retry and gives downstream per-document aggregates and
 windows the distribution they require, so they add no exchange of their own.
 """
@@ -38,6 +39,15 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(size) if isinstance(size, int) else int(size.toString())
 
 
+def hash_partitioned_on(df: DataFrame, key: str) -> bool:
+    """True when rows are already placed by ``key`` (e.g. a table bucketed on
+    it): an aggregation on the key would then plan without an exchange.
+    (A bare scan does not show it — Spark only turns a bucketed scan on
+    when an operator above it benefits.)"""
+    probe = df.groupBy(key).count()
+    return "Exchange" not in probe._jdf.queryExecution().executedPlan().toString()
+
+
 def spread(df: DataFrame, key: str, min_partitions: int | None = None,
            small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     try:
@@ -46,6 +56,8 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None,
         return df
     target = min_partitions or task_slots(df)
     current = df.rdd.getNumPartitions()        # plans the scan; runs nothing
+    if hash_partitioned_on(df, key) and current * UNDER_SPLIT_FACTOR > target:
+        return df                              # already placed by key (bucketed)
     size = estimated_bytes(df)
     if current * UNDER_SPLIT_FACTOR <= target or size <= small_bytes:
         return df.repartition(target, key)

@@ -108,3 +108,16 @@ def test_broadcast_bounds(spark):
     with _pytest.raises(ValueError):
         bounded_broadcast(big, 100, "test side")
     assert "BroadcastHashJoin" in plan_text(big.join(checked_broadcast(spark.range(10), 100), "id"), "simple")
+
+
+def test_bucketed_documents_need_no_per_document_exchange(spark):
+    from cabwise.plans.partitioning import spread
+    docs = B.complaints(spark, SF_SMOKE)
+    FS.write_bucketed(docs, "documents_by_doc", "doc_id", 8, mode="overwrite")
+    table = spark.table("documents_by_doc")
+    assert spread(table, "doc_id") is table
+    plan = plan_text(TC.document_features(table, materialize=False), "simple")
+    exchanged = [l.split("hashpartitioning(")[1].split("#")[0] for l in plan.splitlines()
+                 if "Exchange hashpartitioning" in l]
+    assert "doc_id" not in exchanged, exchanged           # no per-document shuffle at all
+    assert set(exchanged) <= {"word", "word_idx"}
