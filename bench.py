@@ -11,10 +11,13 @@ best run is reported. ``value`` is the sum over the headline queries.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
+import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -29,8 +32,11 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
 MLP_ITER = int(os.environ.get("BENCH_MLP_ITER", "100"))
-# Optional: a folder for Spark's event log (stage and task times, no UI).
-EVENT_LOG_DIR = os.environ.get("BENCH_EVENT_LOG_DIR")
+# Spark's event log (stage and task metrics without the UI) goes to a scratch
+# folder of this local run; the shuffle volume of each workload is read back
+# from it after the session stops.
+EVENT_LOG_DIR = os.environ.get("BENCH_EVENT_LOG_DIR") or tempfile.mkdtemp(prefix="cabwise-bench-events-")
+RUNS: dict[str, int] = defaultdict(int)
 
 
 def _sf_label(path: str) -> str:
@@ -42,19 +48,52 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(fn, repeat: int = REPEAT) -> float:
+def tag(spark, name: str) -> None:
+    """Attribute the following jobs to ``name`` in the event log."""
+    spark.sparkContext.setJobGroup(name, name)
+    RUNS[name] += 1
+
+
+def timed(spark, name: str, fn, repeat: int = REPEAT) -> float:
     best = float("inf")
     for _ in range(max(1, repeat)):
+        tag(spark, name)
         t0 = time.perf_counter()
         fn()
         best = min(best, time.perf_counter() - t0)
+    spark.sparkContext.setJobGroup("untimed", "untimed")
     return round(best, 3)
 
 
+def volumes(log_dir: str) -> dict[str, dict[str, int]]:
+    """Per job group: shuffle bytes written, per run."""
+    stage_group: dict[int, str] = {}
+    shuffle: dict[str, int] = defaultdict(int)
+    for path in glob.glob(os.path.join(log_dir, "**", "*local-*"), recursive=True):
+        if os.path.isdir(path) or os.path.basename(path).startswith((".", "appstatus")):
+            continue
+        with open(path, encoding="utf-8", errors="replace") as fh:
+            for line in fh:
+                try:
+                    e = json.loads(line)
+                except ValueError:
+                    continue
+                kind = e.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in e.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(e.get("Stage ID"))
+                    metrics = e.get("Task Metrics") or {}
+                    if group in RUNS:
+                        shuffle[group] += (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+    return {"shuffle_bytes": {g: shuffle[g] // RUNS[g] for g in sorted(RUNS)}}
+
+
 def main() -> None:
-    conf = {"spark.driver.memory": "16g"}
-    if EVENT_LOG_DIR:
-        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": EVENT_LOG_DIR})
+    conf = {"spark.driver.memory": "16g", "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": EVENT_LOG_DIR, "spark.eventLog.compress": "false"}
     spark = build_session(f"local[{CPUS}]", app="cabwise-bench", shuffle_partitions=CPUS, conf=conf)
     times: dict[str, float] = {}
     info: dict[str, object] = {}
@@ -76,8 +115,8 @@ def main() -> None:
     def csv_vendors():
         return FS.read_csv_schema(spark, vendors_csv, VENDORS)
 
-    times["write_trips_parquet"] = timed(lambda: FS.write_parquet(csv_trips(), trips_pq, mode="overwrite"))
-    times["write_vendors_parquet"] = timed(lambda: FS.write_parquet(csv_vendors(), vendors_pq, mode="overwrite"))
+    times["write_trips_parquet"] = timed(spark, "write_trips_parquet", lambda: FS.write_parquet(csv_trips(), trips_pq, mode="overwrite"))
+    times["write_vendors_parquet"] = timed(spark, "write_vendors_parquet", lambda: FS.write_parquet(csv_vendors(), vendors_pq, mode="overwrite"))
 
     def pq_trips():
         return spark.read.parquet(trips_pq)
@@ -92,26 +131,26 @@ def main() -> None:
                            F.col("end_ts").cast("timestamp_ntz").alias("end_ts"), *TRIP_COLUMNS[3:])
         run(T.hourly_profile(typed))
 
-    times["q1_csv_infer"] = timed(q1_csv_infer)
-    times["q1_csv_schema"] = timed(lambda: run(T.hourly_profile(csv_trips())))
-    times["q1_parquet"] = timed(lambda: run(T.hourly_profile(pq_trips())))
+    times["q1_csv_infer"] = timed(spark, "q1_csv_infer", q1_csv_infer)
+    times["q1_csv_schema"] = timed(spark, "q1_csv_schema", lambda: run(T.hourly_profile(csv_trips())))
+    times["q1_parquet"] = timed(spark, "q1_parquet", lambda: run(T.hourly_profile(pq_trips())))
 
     # --- Q2: longest trip per vendor ------------------------------------------
     def q2(trips_df, vendors_df):
         m = T.trip_metrics(T.valid_trips(trips_df), unit="raw")
         run(T.longest_trip_per_vendor(joins.trips_with_vendor(m, vendors_df)))
 
-    times["q2_csv"] = timed(lambda: q2(csv_trips(), csv_vendors()))
-    times["q2_parquet"] = timed(lambda: q2(pq_trips(), pq_vendors()))
+    times["q2_csv"] = timed(spark, "q2_csv", lambda: q2(csv_trips(), csv_vendors()))
+    times["q2_parquet"] = timed(spark, "q2_parquet", lambda: q2(pq_trips(), pq_vendors()))
 
     # --- 1B: join strategies on a 50-row side --------------------------------
-    times["join_broadcast"] = timed(lambda: run(joins.join_broadcast(pq_trips(), pq_vendors())))
-    times["join_sort_merge"] = timed(lambda: run(joins.join_sort_merge(pq_trips(), pq_vendors())))
+    times["join_broadcast"] = timed(spark, "join_broadcast", lambda: run(joins.join_broadcast(pq_trips(), pq_vendors())))
+    times["join_sort_merge"] = timed(spark, "join_sort_merge", lambda: run(joins.join_sort_merge(pq_trips(), pq_vendors())))
 
     # --- 2: text features and classification ---------------------------------
     docs = B.complaints(spark, SF_DIR, "lang")
-    times["tfidf_augmented"] = timed(lambda: run(TC.document_features(docs, weighting="augmented")))
-    times["tfidf_relative"] = timed(lambda: run(TC.document_features(docs, weighting="relative")))
+    times["tfidf_augmented"] = timed(spark, "tfidf_augmented", lambda: run(TC.document_features(docs, weighting="augmented")))
+    times["tfidf_relative"] = timed(spark, "tfidf_relative", lambda: run(TC.document_features(docs, weighting="relative")))
 
     for weighting in ("augmented", "relative"):
         lf = TC.labelled_features(docs, weighting=weighting)
@@ -124,12 +163,14 @@ def main() -> None:
             t_df = train.persist() if cached else train
             if cached:
                 run(t_df)
+            name = f"mlp_fit_{weighting}_{'cached' if cached else 'uncached'}"
+            tag(spark, name)
             t0 = time.perf_counter()
             model = C.mlp_fit(t_df, 150, n_classes, max_iter=MLP_ITER)
-            tag = f"mlp_fit_{weighting}_{'cached' if cached else 'uncached'}"
-            times[tag] = round(time.perf_counter() - t0, 3)
+            times[name] = round(time.perf_counter() - t0, 3)
+            spark.sparkContext.setJobGroup("untimed", "untimed")
             acc = C.accuracy(model.transform(test)).collect()[0]["accuracy"]
-            info[f"accuracy_{weighting}_{'cached' if cached else 'uncached'}"] = round(acc, 4)
+            info[f"accuracy_{name[8:]}"] = round(acc, 4)
             if cached:
                 t_df.unpersist()
 
@@ -153,8 +194,10 @@ def main() -> None:
                                               / times["mlp_fit_augmented_cached"], 2),
         },
     }
+    spark.stop()                      # flushes the event log
+    out.update(volumes(EVENT_LOG_DIR))
+    out["event_log_dir"] = EVENT_LOG_DIR
     print(json.dumps(out))
-    spark.stop()
 
 
 if __name__ == "__main__":
