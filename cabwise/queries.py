@@ -540,3 +540,14 @@ def q_hourly_profile_incremental(spark, sf_dir):
                               staging_path(spark, "trips-stream-source"))
     out = HS.run_hourly_profile_stream(spark, source, staging_path(spark, "hourly-stream-out"))
     return rounded(HS.read_hourly_profile(spark, out), {"longitude": 6, "latitude": 6})
+
+
+@register("split_class_distribution", _with(*DUCK_SPLIT_BASE) + """
+SELECT category, label, CASE WHEN is_train THEN 'train' ELSE 'test' END AS split, count(*) AS n
+FROM lf GROUP BY 1, 2, 3""")
+def q_split_class_distribution(spark, sf_dir):
+    """Class counts of the training and test sets (the reference prints both)."""
+    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
+    flagged = C.split_flag(lf.table, TRAIN_FRACTION, SPLIT_SEED).select(
+        "category", "label", F.when(F.col("is_train"), "train").otherwise("test").alias("split"))
+    return C.class_counts(flagged, ["category", "label", "split"])
