@@ -5,6 +5,7 @@
     python -m cabwise q2 --trips trips.parquet --vendors vendors.parquet --format parquet --unit raw
     python -m cabwise join --trips trips.parquet --vendors vendors.parquet --strategy merge --explain
     python -m cabwise classify --complaints complaints.csv --weighting relative --min-class-count 2000
+    python -m cabwise classify --complaints documents.parquet --format parquet --category-col lang
 
 Inputs are headerless CSV (schemas in ``cabwise.schemas``) or Parquet written
 by ``to-parquet``. Results are small (24 hours, one row per vendor, 50 joined
@@ -76,7 +77,12 @@ def main(argv=None, stop: bool = True) -> None:
             c.add_argument("--explain", action="store_true")
 
     c = sub.add_parser("classify")
-    c.add_argument("--complaints", required=True, help="raw date,category,text lines")
+    c.add_argument("--complaints", required=True,
+                   help="raw date,category,text lines, or a Parquet table with --format parquet")
+    c.add_argument("--format", choices=["lines", "parquet"], default="lines")
+    c.add_argument("--id-col", default="doc_id")
+    c.add_argument("--category-col", default="category")
+    c.add_argument("--text-col", default="text")
     c.add_argument("--weighting", choices=["augmented", "relative"], default="augmented")
     c.add_argument("--k", type=int, default=150)
     c.add_argument("--min-class-count", type=int, default=None)
@@ -107,7 +113,12 @@ def main(argv=None, stop: bool = True) -> None:
             print(plan_text(joined))
         emit(joined, a.output, a.limit)
     elif a.cmd == "classify":
-        docs = R.complaints_from_lines(FS.read_lines(spark, a.complaints))
+        if a.format == "parquet":
+            docs = spark.read.parquet(a.complaints).select(
+                F.col(a.id_col).alias("doc_id"), F.col(a.category_col).alias("category"),
+                F.col(a.text_col).alias("text"))
+        else:
+            docs = R.complaints_from_lines(FS.read_lines(spark, a.complaints))
         run = TC.classify_documents(docs, a.k, a.weighting, a.min_class_count, a.train_fraction,
                                     a.seed, a.max_iter, cache_train=not a.no_cache)
         emit(TC.accuracy_report(run), a.output, 1)

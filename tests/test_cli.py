@@ -27,3 +27,11 @@ def test_cli_workloads(spark, capsys):
     acc = staging_path(spark, "cli-acc")
     main(["classify", "--complaints", lines, "--max-iter", "10", "--output", acc], stop=False)
     assert spark.read.parquet(acc).count() == 1
+
+
+def test_cli_classify_parquet_documents(spark):
+    out = staging_path(spark, "cli-acc-pq")
+    main(["classify", "--complaints", f"{SF_SMOKE}/documents.parquet", "--format", "parquet",
+          "--category-col", "lang", "--max-iter", "10", "--output", out], stop=False)
+    row = spark.read.parquet(out).first()
+    assert row.n_classes == 4 and row.n_train > row.n_test > 0
