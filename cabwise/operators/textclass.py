@@ -23,8 +23,11 @@ def document_term_counts(docs: DataFrame, k: int = LX.DEFAULT_K, stopwords=None,
 
     The table feeds three consumers (document frequencies, the document
     count N, per-document TF). Without a cut each would re-tokenise the whole
-    text, so it is checkpointed once into the shared folder; the checkpoint
-    keeps its doc_id partitioning, so the TF window still needs no exchange.
+    text, so it is checkpointed once into the shared folder. Under AQE a
+    checkpoint does not carry the doc_id placement forward, so the TF window
+    then re-partitions these pairs (at most k per document) by doc_id once;
+    with ``materialize=False`` and doc_id-placed documents the pipeline has no
+    per-document exchange at all, but tokenises three times.
     """
     docs = spread(docs, "doc_id")
     lex = LX.lexicon_topk(docs, k, stopwords)
