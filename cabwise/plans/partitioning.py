@@ -17,7 +17,8 @@ A large, normally written input (many row groups, many splits) is never
 reshuffled, nor is an input already hash-partitioned on the key (a table
 bucketed on ``doc_id``). Hashing on ``doc_id`` (not round-robin) keeps the placement
 deterministic on retry and gives downstream per-document aggregates and
-windows the distribution they require, so they add no exchange of their own.
+windows the distribution they require, so within the same plan they add no
+exchange of their own.
 """
 
 from __future__ import annotations
