@@ -81,8 +81,12 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int,
 
     Two tables bucketed on the join key with the same bucket count join
     without any exchange: the hash partitioning is read from the catalog.
+    The rows are first hash-partitioned into ``buckets`` partitions on the
+    key (the same hash Spark uses for buckets), so each task writes exactly
+    one bucket file — without it every task would write a file per bucket.
     """
-    writer = df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
+    placed = df.repartition(buckets, key)
+    writer = placed.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

@@ -31,3 +31,13 @@ def test_writers_refuse_to_overwrite_by_default(spark):
         FS.write_parquet(spark.range(3), path)
     FS.write_parquet(spark.range(5), path, mode="overwrite")
     assert spark.read.parquet(path).count() == 5
+
+
+def test_bucketed_write_one_file_per_bucket(spark):
+    import glob
+    from cabwise.session import local_path
+    from cabwise.sources import bindings as B
+    path = staging_path(spark, "bucketed")
+    FS.write_bucketed(B.trips(spark, SF_SMOKE), "trips_one_file_per_bucket", "trip_id", 4, path=path)
+    assert len(glob.glob(local_path(path) + "/*.parquet")) == 4
+    assert spark.table("trips_one_file_per_bucket").count() == B.trips(spark, SF_SMOKE).count()
