@@ -4,9 +4,9 @@ Two rules drive this module:
 
 * Static join planning must not broadcast on *estimated* sizes. The static
   threshold is switched off; AQE re-plans a join as broadcast only from the
-  measured size of a materialised shuffle stage. Small sides whose size is
-  bounded by construction (a LIMIT, a top-k, a fixed list) are broadcast with
-  an explicit hint by the operators themselves.
+  measured size of a materialised shuffle stage. Operators broadcast a small
+  side explicitly only through ``plans/sizing`` once its row count is proven
+  (a LIMIT or top-k in the plan, or a bounded count).
 * Anything written to disk (round trips, checkpoints) goes below the shared
   folder named by ``spark.checkpoint.dir``. Only a local session that has none
   gets a private temporary folder.
