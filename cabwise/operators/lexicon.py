@@ -51,19 +51,23 @@ def lexicon_topk(docs: DataFrame, k: int = DEFAULT_K, stopwords=None,
 
 
 def matched_tokens(docs: DataFrame, lexicon: DataFrame, text_col: str = "text",
-                   clean_docs: bool = False, with_pos: bool = True) -> DataFrame:
+                   clean_docs: bool = False, with_pos: bool = True,
+                   with_category: bool = True) -> DataFrame:
     """(doc_id, category, pos, word, word_idx) for every document token that
     is a lexicon word. Tokens are matched as they are (``paid.`` does not
     match ``paid``) unless ``clean_docs`` is set. Documents without a lexicon
     word produce no rows. ``with_pos=False`` drops the token position (and
-    the work of generating it) when only counts are needed."""
+    the work of generating it) when only counts are needed;
+    ``with_category=False`` leaves the per-document class out of the
+    per-token rows (it is re-attached once per document later)."""
+    keep = ["doc_id", "category"] if with_category else ["doc_id"]
     if with_pos:
-        toks = doc_tokens(docs, text_col)
+        toks = docs.select(*keep, F.posexplode(tokens(text_col)).alias("pos", "token"))
     else:
-        toks = docs.select("doc_id", "category", F.explode(tokens(text_col)).alias("token"))
+        toks = docs.select(*keep, F.explode(tokens(text_col)).alias("token"))
     if clean_docs:
         toks = toks.withColumn("token", clean_token("token"))
     # lexicon_topk's LIMIT k proves the bound statically; other lexicons are counted
     lex = bounded_broadcast(lexicon.select("word", "word_idx"), MAX_LEXICON, "lexicon")
-    cols = ["doc_id", "category"] + (["pos"] if with_pos else []) + ["word", "word_idx"]
+    cols = keep + (["pos"] if with_pos else []) + ["word", "word_idx"]
     return toks.join(lex, toks["token"] == lex["word"], "inner").select(*cols)

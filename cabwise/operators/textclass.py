@@ -19,7 +19,11 @@ from cabwise.plans.partitioning import spread
 
 def document_term_counts(docs: DataFrame, k: int = LX.DEFAULT_K, stopwords=None,
                          clean_docs: bool = False, materialize: bool = True) -> DataFrame:
-    """(doc_id, category, word_idx, cnt) for the top-k lexicon.
+    """(doc_id, word_idx, cnt) for the top-k lexicon.
+
+    The class string is left out: it is per document, and carrying it on
+    every (document, word) row through two shuffles can cost more bytes than
+    the text itself. ``document_weights`` attaches it once per document.
 
     The table feeds three consumers (document frequencies, the document
     count N, per-document TF). Without a cut each would re-tokenise the whole
@@ -31,15 +35,17 @@ def document_term_counts(docs: DataFrame, k: int = LX.DEFAULT_K, stopwords=None,
     """
     docs = spread(docs, "doc_id")
     lex = LX.lexicon_topk(docs, k, stopwords)
-    tc = TF.term_counts(LX.matched_tokens(docs, lex, clean_docs=clean_docs, with_pos=False))
+    matched = LX.matched_tokens(docs, lex, clean_docs=clean_docs, with_pos=False, with_category=False)
+    tc = TF.term_counts(matched)
     return checkpointed(tc) if materialize else tc
 
 
 def document_weights(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
                      stopwords=None, clean_docs: bool = False, materialize: bool = True) -> DataFrame:
     """(doc_id, category, word_idx, weight)."""
+    docs = spread(docs, "doc_id")
     tc = document_term_counts(docs, k, stopwords, clean_docs, materialize)
-    return TF.tfidf(tc, TF.inverse_document_frequency(tc), weighting)
+    return TF.with_category(TF.tfidf(tc, TF.inverse_document_frequency(tc), weighting), docs)
 
 
 def document_features(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",

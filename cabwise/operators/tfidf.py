@@ -26,9 +26,9 @@ MAX_TERMS = 100_000   # one idf row per lexicon word
 
 
 def term_counts(matched: DataFrame) -> DataFrame:
-    """(doc_id, category, word_idx, cnt)."""
-    return (matched.groupBy("doc_id", "category", "word_idx")
-            .agg(F.count(F.lit(1)).alias("cnt")))
+    """(doc_id, [category,] word_idx, cnt) — category kept when the input has it."""
+    keys = ["doc_id"] + (["category"] if "category" in matched.columns else []) + ["word_idx"]
+    return matched.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def n_documents(tc: DataFrame):
@@ -71,8 +71,23 @@ def tfidf(tc: DataFrame, idf: DataFrame, weighting: str = "augmented") -> DataFr
     """(doc_id, category, word_idx, weight) with weight = tf * idf."""
     tf = TF_FUNCTIONS[weighting](tc)
     small = bounded_broadcast(idf.select("word_idx", "idf"), MAX_TERMS, "idf table")  # ≤ k rows
+    keep = ["doc_id"] + (["category"] if "category" in tf.columns else []) + ["word_idx"]
     return (tf.join(small, "word_idx", "inner")
-            .select("doc_id", "category", "word_idx", (F.col("tf") * F.col("idf")).alias("weight")))
+            .select(*keep, (F.col("tf") * F.col("idf")).alias("weight")))
+
+
+def with_category(per_doc_rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Attach each document's class once, by ``doc_id``.
+
+    The long per-(document, word) tables travel through their shuffles
+    without the class string; rows that are already placed by ``doc_id``
+    (after the TF window) join the one-row-per-document class table
+    without being moved again.
+    """
+    meta = docs.select("doc_id", "category")
+    cols = per_doc_rows.columns
+    return per_doc_rows.join(meta, "doc_id", "inner").select(
+        "doc_id", "category", *[c for c in cols if c != "doc_id"])
 
 
 def feature_arrays(weights: DataFrame) -> DataFrame:

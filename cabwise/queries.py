@@ -271,6 +271,7 @@ def _lexicon(spark, sf_dir):
 
 
 def _term_counts(spark, sf_dir, materialize=False):
+    """(doc_id, word_idx, cnt): the class is attached by the callers that show it."""
     return TC.document_term_counts(_docs(spark, sf_dir), LEXICON_K, materialize=materialize)
 
 
@@ -296,7 +297,7 @@ def q_matched_tokens(spark, sf_dir):
 
 @register("term_counts", _with(*DUCK_TEXT_BASE) + "SELECT * FROM tc")
 def q_term_counts(spark, sf_dir):
-    return _term_counts(spark, sf_dir)
+    return TF.with_category(_term_counts(spark, sf_dir), _docs(spark, sf_dir))
 
 
 @register("inverse_document_frequency", _with(*DUCK_TEXT_BASE, DUCK_IDF) + """
@@ -308,13 +309,15 @@ def q_inverse_document_frequency(spark, sf_dir):
 @register("tf_augmented", _with(*DUCK_TEXT_BASE, DUCK_TF["augmented"]) + """
 SELECT doc_id, category, word_idx, cnt, round(tf, 6) AS tf FROM tf""")
 def q_tf_augmented(spark, sf_dir):
-    return rounded(TF.tf_augmented(_term_counts(spark, sf_dir)), {"tf": 6})
+    return rounded(TF.with_category(TF.tf_augmented(_term_counts(spark, sf_dir)), _docs(spark, sf_dir)),
+                   {"tf": 6})
 
 
 @register("tf_relative", _with(*DUCK_TEXT_BASE, DUCK_TF["relative"]) + """
 SELECT doc_id, category, word_idx, cnt, round(tf, 6) AS tf FROM tf""")
 def q_tf_relative(spark, sf_dir):
-    return rounded(TF.tf_relative(_term_counts(spark, sf_dir)), {"tf": 6})
+    return rounded(TF.with_category(TF.tf_relative(_term_counts(spark, sf_dir)), _docs(spark, sf_dir)),
+                   {"tf": 6})
 
 
 @register("tfidf_augmented", _with(*DUCK_TEXT_BASE, DUCK_IDF, DUCK_TF["augmented"], DUCK_WEIGHTS) + """
