@@ -43,3 +43,24 @@ def has_node(df: DataFrame, name: str) -> bool:
 def python_udf_nodes(df: DataFrame) -> list[str]:
     text = plan_text(df, "simple")
     return re.findall(r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)", text)
+
+
+def exchanges(df: DataFrame) -> list[tuple[str, list[str]]]:
+    """(partitioning, output column names) of every shuffle exchange in the
+    physical plan, subqueries included: what each shuffle actually moves."""
+    found, stack = [], [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":      # its initial plan holds the exchanges
+            stack.append(node.initialPlan())
+            continue
+        if name == "ShuffleExchangeExec":
+            cols = node.output()
+            found.append((node.outputPartitioning().toString(),
+                          [cols.apply(i).name() for i in range(cols.size())]))
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+        subqueries = node.subqueries()
+        stack.extend(subqueries.apply(i) for i in range(subqueries.size()))
+    return found

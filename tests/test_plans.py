@@ -121,3 +121,16 @@ def test_bucketed_documents_need_no_per_document_exchange(spark):
                  if "Exchange hashpartitioning" in l]
     assert "doc_id" not in exchanged, exchanged           # no per-document shuffle at all
     assert set(exchanged) <= {"word", "word_idx"}
+
+
+@pytest.mark.parametrize("materialize", [False, True])
+def test_term_pairs_shuffle_without_the_class(spark, materialize):
+    from cabwise.plans.inspect import exchanges
+    feats = TC.document_features(B.complaints(spark, SF_SMOKE), materialize=materialize)
+    moved = exchanges(feats)
+    assert any(cols == ["word_idx", "count"] for _, cols in moved)      # document frequencies
+    for partitioning, cols in moved:
+        assert not ("word_idx" in cols and "category" in cols), (partitioning, cols)
+    if materialize:   # the pairs cross one shuffle, by doc_id, without the class
+        assert any(p.startswith("hashpartitioning(doc_id") and cols == ["doc_id", "word_idx", "cnt"]
+                   for p, cols in moved), moved
