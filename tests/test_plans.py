@@ -134,3 +134,18 @@ def test_term_pairs_shuffle_without_the_class(spark, materialize):
     if materialize:   # the pairs cross one shuffle, by doc_id, without the class
         assert any(p.startswith("hashpartitioning(doc_id") and cols == ["doc_id", "word_idx", "cnt"]
                    for p, cols in moved), moved
+
+
+def test_q1_shuffles_partial_aggregates_only(spark):
+    from cabwise.plans.inspect import exchanges
+    moved = exchanges(T.hourly_profile(B.trips(spark, SF_SMOKE)))
+    hashed = [cols for p, cols in moved if p.startswith("hashpartitioning")]
+    assert hashed and all(set(cols) <= {"_groupingexpression", "sum", "count"} for cols in hashed), moved
+
+
+def test_broadcast_join_never_shuffles_the_large_side(spark):
+    from cabwise.plans.inspect import exchanges
+    moved = exchanges(joins.join_broadcast(B.trips(spark, SF_SMOKE), B.vendors(spark, SF_SMOKE)))
+    assert all("start_lon" not in cols for _, cols in moved), moved
+    merged = exchanges(joins.join_sort_merge(B.trips(spark, SF_SMOKE), B.vendors(spark, SF_SMOKE)))
+    assert any("start_lon" in cols for _, cols in merged)       # the forced sort-merge does
