@@ -149,3 +149,12 @@ def test_broadcast_join_never_shuffles_the_large_side(spark):
     assert all("start_lon" not in cols for _, cols in moved), moved
     merged = exchanges(joins.join_sort_merge(B.trips(spark, SF_SMOKE), B.vendors(spark, SF_SMOKE)))
     assert any("start_lon" in cols for _, cols in merged)       # the forced sort-merge does
+
+
+def test_q2_shuffles_metrics_not_raw_columns(spark):
+    from cabwise.plans.inspect import exchanges
+    m = T.trip_metrics(T.valid_trips(B.trips(spark, SF_SMOKE)), unit="raw")
+    moved = exchanges(T.longest_trip_per_vendor(joins.trips_with_vendor(m, B.vendors(spark, SF_SMOKE))))
+    raw = {"start_lon", "start_lat", "end_lon", "end_lat", "start_ts", "end_ts", "cost"}
+    assert all(not raw & set(cols) for _, cols in moved), moved
+    assert any(p.startswith("hashpartitioning(vendor") for p, _ in moved)
