@@ -87,7 +87,8 @@ def volumes(log_dir: str) -> dict[str, dict[str, int]]:
                     group = stage_group.get(e.get("Stage ID"))
                     metrics = e.get("Task Metrics") or {}
                     if group in RUNS:
-                        shuffle[group] += (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                        written = metrics.get("Shuffle Write Metrics") or {}
+                        shuffle[group] += written.get("Shuffle Bytes Written", 0)
     return {"shuffle_bytes": {g: shuffle[g] // RUNS[g] for g in sorted(RUNS)}}
 
 
@@ -98,6 +99,9 @@ def main() -> None:
     times: dict[str, float] = {}
     info: dict[str, object] = {}
 
+    def record(name: str, fn) -> None:
+        times[name] = timed(spark, name, fn)
+
     # warm-up: JVM, codegen and file listing caches
     run(T.hourly_profile(B.trips(spark, SF_DIR)))
 
@@ -115,8 +119,10 @@ def main() -> None:
     def csv_vendors():
         return FS.read_csv_schema(spark, vendors_csv, VENDORS)
 
-    times["write_trips_parquet"] = timed(spark, "write_trips_parquet", lambda: FS.write_parquet(csv_trips(), trips_pq, mode="overwrite"))
-    times["write_vendors_parquet"] = timed(spark, "write_vendors_parquet", lambda: FS.write_parquet(csv_vendors(), vendors_pq, mode="overwrite"))
+    record("write_trips_parquet",
+           lambda: FS.write_parquet(csv_trips(), trips_pq, mode="overwrite"))
+    record("write_vendors_parquet",
+           lambda: FS.write_parquet(csv_vendors(), vendors_pq, mode="overwrite"))
 
     def pq_trips():
         return spark.read.parquet(trips_pq)
@@ -131,26 +137,26 @@ def main() -> None:
                            F.col("end_ts").cast("timestamp_ntz").alias("end_ts"), *TRIP_COLUMNS[3:])
         run(T.hourly_profile(typed))
 
-    times["q1_csv_infer"] = timed(spark, "q1_csv_infer", q1_csv_infer)
-    times["q1_csv_schema"] = timed(spark, "q1_csv_schema", lambda: run(T.hourly_profile(csv_trips())))
-    times["q1_parquet"] = timed(spark, "q1_parquet", lambda: run(T.hourly_profile(pq_trips())))
+    record("q1_csv_infer", q1_csv_infer)
+    record("q1_csv_schema", lambda: run(T.hourly_profile(csv_trips())))
+    record("q1_parquet", lambda: run(T.hourly_profile(pq_trips())))
 
     # --- Q2: longest trip per vendor ------------------------------------------
     def q2(trips_df, vendors_df):
         m = T.trip_metrics(T.valid_trips(trips_df), unit="raw")
         run(T.longest_trip_per_vendor(joins.trips_with_vendor(m, vendors_df)))
 
-    times["q2_csv"] = timed(spark, "q2_csv", lambda: q2(csv_trips(), csv_vendors()))
-    times["q2_parquet"] = timed(spark, "q2_parquet", lambda: q2(pq_trips(), pq_vendors()))
+    record("q2_csv", lambda: q2(csv_trips(), csv_vendors()))
+    record("q2_parquet", lambda: q2(pq_trips(), pq_vendors()))
 
     # --- 1B: join strategies on a 50-row side --------------------------------
-    times["join_broadcast"] = timed(spark, "join_broadcast", lambda: run(joins.join_broadcast(pq_trips(), pq_vendors())))
-    times["join_sort_merge"] = timed(spark, "join_sort_merge", lambda: run(joins.join_sort_merge(pq_trips(), pq_vendors())))
+    record("join_broadcast", lambda: run(joins.join_broadcast(pq_trips(), pq_vendors())))
+    record("join_sort_merge", lambda: run(joins.join_sort_merge(pq_trips(), pq_vendors())))
 
     # --- 2: text features and classification ---------------------------------
     docs = B.complaints(spark, SF_DIR, "lang")
-    times["tfidf_augmented"] = timed(spark, "tfidf_augmented", lambda: run(TC.document_features(docs, weighting="augmented")))
-    times["tfidf_relative"] = timed(spark, "tfidf_relative", lambda: run(TC.document_features(docs, weighting="relative")))
+    record("tfidf_augmented", lambda: run(TC.document_features(docs, weighting="augmented")))
+    record("tfidf_relative", lambda: run(TC.document_features(docs, weighting="relative")))
 
     for weighting in ("augmented", "relative"):
         lf = TC.labelled_features(docs, weighting=weighting)
