@@ -158,3 +158,15 @@ def test_q2_shuffles_metrics_not_raw_columns(spark):
     raw = {"start_lon", "start_lat", "end_lon", "end_lat", "start_ts", "end_ts", "cost"}
     assert all(not raw & set(cols) for _, cols in moved), moved
     assert any(p.startswith("hashpartitioning(vendor") for p, _ in moved)
+
+
+def test_class_filter_is_a_broadcast_semi_join(spark):
+    from cabwise.operators import classify as C
+    from cabwise.plans.inspect import exchanges
+    feats = TC.document_features(B.complaints(spark, SF_SMOKE))
+    kept = C.frequent_class_docs(feats, 20)
+    plan = plan_text(kept, "simple")
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    # the documents are never shuffled by class: a hot class cannot land on one task
+    assert not any(p.startswith("hashpartitioning(category") and "doc_id" in cols
+                   for p, cols in exchanges(kept))
