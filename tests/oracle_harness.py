@@ -44,16 +44,25 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def compare(spark, sf_dir, key, fn, sql):
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes}
     s_rows = [tuple(r) for r in sdf.collect()]
     con = duck(sf_dir)
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
+    d_types = dict(zip(d_cols, [str(t) for t in con.sql(sql).types]))
     out = {"key": key, "rows_spark": len(s_rows), "rows_oracle": len(d_rows),
-           "cols_match": sorted(s_cols) == sorted(d_cols)}
+           "cols_match": sorted(s_cols) == sorted(d_cols),
+           "types_match": s_types == d_types}
+    if s_types != d_types:
+        out["types"] = {"spark": s_types, "oracle": d_types}
     hs, ls = digest(s_cols, s_rows)
     hd, ld = digest(d_cols, d_rows)
     out["hash_match"] = hs == hd

@@ -19,6 +19,7 @@ def test_every_query_key_is_listed():
 def test_query_matches_oracle(spark, key):
     r = compare(spark, SF_CHECK, key, QUERIES[key], ORACLE[key])
     assert r["cols_match"], r
+    assert r["types_match"], r.get("types")
     assert r["rows_spark"] == r["rows_oracle"], r
     assert r["hash_match"], r.get("diff")
 
