@@ -21,7 +21,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: boo
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Positional columns ``_c0..``, types inferred by an extra pass over the
-    data (the cost the reference pays on its SQL-on-CSV path)."""
+    data (the cost the reference pays on its SQL-on-CSV path).
+
+    Inferred timestamps are session-zone timestamps: a wall clock inside a
+    daylight-saving gap of the session zone is shifted, exactly as on the
+    reference's SQL path. ``read_csv_schema`` + ``trips.parse_trips`` keeps
+    wall clocks as TIMESTAMP_NTZ and is the zone-independent choice."""
     return spark.read.csv(path, header=False, inferSchema=True)
 
 
