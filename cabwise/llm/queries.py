@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cabwise.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from cabwise.llm.mixing import OP1_SQL, op1_mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": OP1_SQL,
     "op8_exact_dedup": OP8_SQL,
 }
