@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabwise.llm.common import column, mixed
+from cabwise.llm.common import arrow_map, column, mixed
 
 SEGMENT_BITS = 17
 PROBES = 4
@@ -115,11 +115,10 @@ def repeat_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES
                 [pa.array(x, t) for x, t in zip(zip(*rows[i:i + 256]), (pa.int32(), pa.bool_(), pa.binary()))],
                 names=["segment", "twice", "data"])
 
-    found = (df.select(F.col(col).alias("h")).where("h is not null")
-             .mapInArrow(mark, "segment int, twice boolean, data binary")
-             .repartition("segment").sortWithinPartitions("segment")
-             .mapInArrow(lambda batches: _merge(batches, merged), "segment int, bits binary")
-             .collect())
+    marks = arrow_map(df.select(F.col(col).alias("h")).where("h is not null"), mark,
+                      "segment int, twice boolean, data binary")
+    found = arrow_map(marks.repartition("segment").sortWithinPartitions("segment"),
+                      lambda batches: _merge(batches, merged), "segment int, bits binary").collect()
     table = np.zeros((segments, (1 << SEGMENT_BITS) // 8), np.uint8)
     for row in found:
         table[row.segment] = np.frombuffer(zlib.decompress(bytes(row.bits)), np.uint8)

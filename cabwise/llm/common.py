@@ -7,7 +7,10 @@ text as an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,32 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="cabwise-code-"), "cabwise_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+def arrow_map(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with this package on the executors' path."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def id_key(col: str = "doc_id") -> Column:
     """Ids as longs; null sorts after every id."""
     return F.coalesce(F.col(col).cast("long"), F.lit(NULL_ID))
