@@ -64,18 +64,19 @@ def _task_bits(hashes: np.ndarray, segments: int) -> Iterator[tuple[int, bool, b
             yield int(part[0] >> SEGMENT_BITS), twice, zlib.compress(np.diff(bits, prepend=np.uint32(0)).tobytes(), 1)
 
 
-def _merge(batches, schema: pa.Schema):
+def _merge(batches, schema: pa.Schema, repeated: bool):
     """Rows come sorted by segment: one segment's bits are held at a time."""
     current, seen, twice = None, None, None
 
     def done():
-        return pa.RecordBatch.from_arrays(
-            [pa.array([current], pa.int32()), pa.array([zlib.compress(np.packbits(twice).tobytes(), 1)])], schema=schema)
+        bits = np.packbits(twice if repeated else seen).tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([zlib.compress(bits, 1)])],
+                                          schema=schema)
 
     for batch in batches:
         for segment, again, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
             if segment != current:
-                if current is not None and twice.any():
+                if current is not None and (twice if repeated else seen).any():
                     yield done()
                 current = segment
                 seen, twice = np.zeros(1 << SEGMENT_BITS, bool), np.zeros(1 << SEGMENT_BITS, bool)
@@ -85,16 +86,25 @@ def _merge(batches, schema: pa.Schema):
             else:
                 twice[bits[seen[bits]]] = True
                 seen[bits] = True
-    if current is not None and twice.any():
+    if current is not None and (twice if repeated else seen).any():
         yield done()
 
 
 def repeat_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES):
-    """``maybe_repeated(column)``: false only for hashes that ``df[col]`` holds once.
+    """``maybe(column)``: false only for hashes that ``df[col]`` holds at most once.
 
     ``rows`` (or an estimate) sizes the filter. The broadcast filter has at
     most ``max_bytes`` bytes, whatever the input.
     """
+    return _filter(df, col, rows, max_bytes, repeated=True)
+
+
+def member_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES):
+    """``maybe(column)``: false only for hashes that ``df[col]`` doesn't hold."""
+    return _filter(df, col, rows, max_bytes, repeated=False)
+
+
+def _filter(df: DataFrame, col: str, rows: int, max_bytes: int, repeated: bool):
     segments = segment_count(rows, max_bytes=max_bytes)
     merged = pa.schema([("segment", pa.int32()), ("bits", pa.binary())])
 
@@ -118,20 +128,20 @@ def repeat_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES
     marks = arrow_map(df.select(F.col(col).alias("h")).where("h is not null"), mark,
                       "segment int, twice boolean, data binary")
     found = arrow_map(marks.repartition("segment").sortWithinPartitions("segment"),
-                      lambda batches: _merge(batches, merged), "segment int, bits binary").collect()
+                      lambda batches: _merge(batches, merged, repeated), "segment int, bits binary").collect()
     table = np.zeros((segments, (1 << SEGMENT_BITS) // 8), np.uint8)
     for row in found:
         table[row.segment] = np.frombuffer(zlib.decompress(bytes(row.bits)), np.uint8)
     shared = df.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("boolean")
-    def maybe_repeated(h: pd.Series) -> pd.Series:
+    def maybe(h: pd.Series) -> pd.Series:
         known = h.notna().to_numpy()
         out = np.zeros(len(h), bool)
         out[known] = test(shared.value, h[known].to_numpy(np.int64).view(np.uint64))
         return pd.Series(out)
 
-    return maybe_repeated
+    return maybe
 
 
 def test(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:

@@ -103,8 +103,6 @@ class Words:
 
     def __init__(self, texts: pa.Array, lower: bool = False, pattern: str | None = None):
         texts = pc.fill_null(texts, "").cast(pa.large_string())
-        if lower:
-            texts = pc.ascii_lower(texts)
         parts = pc.split_pattern(texts, pattern) if pattern else pc.ascii_split_whitespace(texts)
         flat, bounds = parts.values, parts.offsets.to_numpy()
         filled = pc.greater(pc.binary_length(flat), 0)
@@ -113,6 +111,10 @@ class Words:
         coded = flat.filter(filled).dictionary_encode()
         self.codes = coded.indices.to_numpy()
         self.vocabulary = coded.dictionary
+        if lower:  # of the distinct words only; Arrow's kernel errs on sliced texts
+            same = pc.ascii_lower(self.vocabulary).dictionary_encode()
+            self.codes = same.indices.to_numpy()[self.codes]
+            self.vocabulary = same.dictionary
 
     @property
     def counts(self) -> np.ndarray:
@@ -163,3 +165,31 @@ def binary_rows(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
         raise ValueError("a slice's binary column is over 2 GB")
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1,
                                  [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Groups of equal keys from batches that come sorted by them, one at a time.
+
+    For groups of bounded size: a group is held whole."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = [column(batch, k).to_numpy(zero_copy_only=False) for k in keys]
+        changes = np.zeros(batch.num_rows - 1, bool)
+        for x in values:
+            changes |= x[1:] != x[:-1]
+        cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), batch.num_rows]
+        first = tuple(x[0] for x in values)
+        if held and first != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        for start, stop in zip(cuts[:-1], cuts[1:]):
+            if start:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, stop - start))
+        last = tuple(x[-1] for x in values)
+    if held:
+        yield pa.Table.from_batches(held)

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from cabwise.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from cabwise.llm.fertility import op6_fertility
 from cabwise.llm.mixing import OP1_SQL, op1_mixing
+from cabwise.llm.near_dedup import op3_near_dedup
 from cabwise.llm.packing import op2_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op3_near_dedup": op3_near_dedup,
     "op6_fertility": op6_fertility,
     "op8_exact_dedup": op8_exact_dedup,
 }
