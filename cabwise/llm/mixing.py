@@ -34,10 +34,8 @@ SEED = 20240
 
 
 def n_words(text: str = "text") -> Column:
-    """Number of words: white-space runs become single blanks, outer ones go."""
-    one_blank = F.trim(F.regexp_replace(text_of(text), r"[\x20\x09-\x0D]+", " "))
-    return F.when(one_blank == "", 0).otherwise(
-        F.char_length(one_blank) - F.char_length(F.replace(one_blank, F.lit(" "), F.lit(""))) + 1).cast("long")
+    return F.coalesce(F.regexp_count(F.col(f"`{text}`").cast("string"), F.lit(r"[^\x20\x09-\x0D]+")),
+                      F.lit(0)).cast("long")
 
 
 def unit_hash(*parts) -> Column:
