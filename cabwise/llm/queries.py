@@ -11,6 +11,8 @@ from cabwise.llm.fertility import op6_fertility
 from cabwise.llm.mixing import OP1_SQL, op1_mixing
 from cabwise.llm.near_dedup import op3_near_dedup
 from cabwise.llm.packing import op2_packing
+from cabwise.llm.ppm import op10_ppm
+from corpus_pipeline import run as pipeline
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
@@ -18,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": op3_near_dedup,
     "op6_fertility": op6_fertility,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_ppm": op10_ppm,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
