@@ -90,13 +90,14 @@ def _merge(batches, schema: pa.Schema, repeated: bool):
         yield done()
 
 
-def repeat_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES):
+def repeat_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES, raw: bool = False):
     """``maybe(column)``: false only for hashes that ``df[col]`` holds at most once.
 
     ``rows`` (or an estimate) sizes the filter. The broadcast filter has at
-    most ``max_bytes`` bytes, whatever the input.
+    most ``max_bytes`` bytes, whatever the input. With ``raw``, a function of
+    unsigned 64-bit numpy arrays, for use inside tasks.
     """
-    return _filter(df, col, rows, max_bytes, repeated=True)
+    return _filter(df, col, rows, max_bytes, repeated=True, raw=raw)
 
 
 def member_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES):
@@ -104,7 +105,7 @@ def member_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES
     return _filter(df, col, rows, max_bytes, repeated=False)
 
 
-def _filter(df: DataFrame, col: str, rows: int, max_bytes: int, repeated: bool):
+def _filter(df: DataFrame, col: str, rows: int, max_bytes: int, repeated: bool, raw: bool = False):
     segments = segment_count(rows, max_bytes=max_bytes)
     merged = pa.schema([("segment", pa.int32()), ("bits", pa.binary())])
 
@@ -134,6 +135,9 @@ def _filter(df: DataFrame, col: str, rows: int, max_bytes: int, repeated: bool):
         table[row.segment] = np.frombuffer(zlib.decompress(bytes(row.bits)), np.uint8)
     shared = df.sparkSession.sparkContext.broadcast(table)
 
+    if raw:
+        return lambda hashes: test(shared.value, hashes)
+
     @F.pandas_udf("boolean")
     def maybe(h: pd.Series) -> pd.Series:
         known = h.notna().to_numpy()

@@ -12,6 +12,7 @@ from cabwise.llm.mixing import OP1_SQL, op1_mixing
 from cabwise.llm.near_dedup import op3_near_dedup
 from cabwise.llm.packing import op2_packing
 from cabwise.llm.ppm import op10_ppm
+from cabwise.llm.substring_dedup import op7_substring_dedup
 from corpus_pipeline import run as pipeline
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_near_dedup": op3_near_dedup,
     "op6_fertility": op6_fertility,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_ppm": op10_ppm,
     "pipeline": pipeline,
