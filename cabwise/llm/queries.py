@@ -13,6 +13,7 @@ from cabwise.llm.near_dedup import op3_near_dedup
 from cabwise.llm.packing import op2_packing
 from cabwise.llm.ppm import op10_ppm
 from cabwise.llm.substring_dedup import op7_substring_dedup
+from cabwise.llm.warc import OP9_SQL, op9_warc
 from corpus_pipeline import run as pipeline
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fertility": op6_fertility,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_warc": op9_warc,
     "op10_ppm": op10_ppm,
     "pipeline": pipeline,
 }
@@ -29,4 +31,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op9_warc": OP9_SQL,
 }
