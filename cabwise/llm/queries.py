@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cabwise.llm.chat import op4_chat
 from cabwise.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from cabwise.llm.fertility import op6_fertility
 from cabwise.llm.mixing import OP1_SQL, op1_mixing
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_near_dedup": op3_near_dedup,
+    "op4_chat": op4_chat,
     "op6_fertility": op6_fertility,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
