@@ -14,6 +14,7 @@ from cabwise.llm.near_dedup import op3_near_dedup
 from cabwise.llm.packing import op2_packing
 from cabwise.llm.ppm import op10_ppm
 from cabwise.llm.substring_dedup import op7_substring_dedup
+from cabwise.llm.token_shards import op5_token_shards
 from cabwise.llm.warc import OP9_SQL, op9_warc
 from corpus_pipeline import run as pipeline
 
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_near_dedup": op3_near_dedup,
     "op4_chat": op4_chat,
+    "op5_token_shards": op5_token_shards,
     "op6_fertility": op6_fertility,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
