@@ -47,6 +47,8 @@ HASHES, ROWS = 128, 4
 BATCH = 16
 MISS = 1e-6
 BLOCK = 512
+#: Pairs that a task compares at once.
+PAIRS = 1 << 13
 _MUL, _ADD = (np.random.default_rng(seed).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
               for seed in (11, 12))
 
@@ -201,11 +203,9 @@ def block_pairs(members: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
                 wanted = wanted | wanted.T
                 wanted &= (block == low)[:, None] & (block == high)[None, :]
             a, b = np.nonzero(wanted)
-            alive = may_be_similar(sig[a], sig[b], percent) if len(a) <= 1 << 16 else np.concatenate(
-                [i + may_be_similar(sig[a[i:i + (1 << 16)]], sig[b[i:i + (1 << 16)]], percent)
-                 for i in range(0, len(a), 1 << 16)])
-            a, b = a[alive], b[alive]
-            if len(a):
+            alive = [i + may_be_similar(sig[a[i:i + PAIRS]], sig[b[i:i + PAIRS]], percent) for i in range(0, len(a), PAIRS)]
+            if alive and len(alive := np.concatenate(alive)):
+                a, b = a[alive], b[alive]
                 keyed = band_keys(sig).view(np.int64)
                 common = keyed[a] == keyed[b]
                 here = keyed[a, common.argmax(axis=1)] == band  # the first band that both share
@@ -284,10 +284,15 @@ def classes_and_components(docs: DataFrame, doc_id: str, text: str, size: int, p
         "band", "cls", F.coalesce("root", "cls").alias("root"))
     rest = staged(block_pairs(staged(grouped, "bucket-roots"), sigs, percent).distinct(), "rest-pairs")
     more = staged(verified(rest, reps, docs, doc_id, text, size, percent), "rest-links")
-    roots = components(links.unionByName(more), "a", "b")
-
-    rooted = reps.join(roots, reps["cls"] == roots["node"], "left").select(
-        "cls", "n", "doc_id", F.coalesce("root", "cls").alias("root"))
+    # the links between components, one for each two of them
+    root_of = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+    between = more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(
+        F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")).distinct()
+    tops = components(between, "a", "b").select(F.col("node").alias("root"), F.col("root").alias("top"))
+
+    rooted = (reps.join(roots, reps["cls"] == roots["node"], "left")
+              .select("cls", "n", "doc_id", F.coalesce("root", "cls").alias("root"))
+              .join(tops, "root", "left").select("cls", "n", "doc_id", F.coalesce("top", "root").alias("root")))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return feats.select("doc_id", "n_shingles", "cls"), staged(rooted.join(least, "root").select(
         "cls", "n", "component_id"), "components")

@@ -55,7 +55,7 @@ def feistel(index: np.ndarray, n: int, key: int = KEY, rounds: int = ROUNDS) ->
     """A permutation of 0..n-1: the slots of the given indices."""
     half = max(1, ((n - 1).bit_length() + 1) // 2)
     mask, shift = np.uint64((1 << half) - 1), np.uint64(half)
-    keys = mixed(np.arange(rounds, dtype=np.uint64) + np.uint64(key) * np.uint64(0x9E3779B97F4A7C15))
+    keys = mixed(np.arange(rounds, dtype=np.uint64) + np.uint64(key * 0x9E3779B97F4A7C15 % 2**64))
     out = index.astype(np.uint64)
     walking = np.arange(len(out))
     while len(walking):
