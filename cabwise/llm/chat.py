@@ -85,14 +85,14 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE, conv_id: st
             out, piece = Output(), 0
             for _ in ready.run({"messages": messages}, out):
                 if out.size >= PIECE:
-                    held.append((conv, piece, "".join(out.pieces), out.marks))
                     size += out.size
-                    out, piece = Output(), piece + 1
+                    held.append((conv, piece, *out.take()))
+                    piece += 1
                     if size >= 4 * PIECE:
                         yield _batch(held)
                         held, size = [], 0
-            held.append((conv, piece, "".join(out.pieces), out.marks))
             size += out.size
+            held.append((conv, piece, *out.take()))
             if size >= 4 * PIECE:
                 yield _batch(held)
                 held, size = [], 0

@@ -320,6 +320,12 @@ class Output:
         self.pieces.append(text)
         self.size += len(text)
 
+    def take(self) -> tuple[str, list[list[int]]]:
+        """What is printed so far, and its marks; then starts anew."""
+        taken = "".join(self.pieces), self.marks
+        self.size, self.pieces, self.marks = 0, [], []
+        return taken
+
 
 Step = Callable[[dict, Output], Iterable[None]]
 
@@ -407,7 +413,7 @@ class Template:
         out = Output()
         for _ in self.run(context, out):
             pass
-        return "".join(out.pieces), out.marks
+        return out.take()
 
 
 @lru_cache
