@@ -74,7 +74,7 @@ def target_words(sources: DataFrame, most_copies: int = MOST_COPIES) -> DataFram
                                          - F.coalesce(F.sum("cap").over(before), F.lit(0)))
                                / F.sum("weight").over(from_here))
     below = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))
-    final = levels.withColumn("final", F.min(below).over(whole))
+    final = levels.withColumn("final", F.max(below).over(whole))  # the first level that fits
     return final.select("source", "source_size", F.least(
         F.col("cap").cast("double"), F.col("final") * F.col("weight")).alias("target"))
 
@@ -151,7 +151,7 @@ l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap
       FROM s),
 t AS (SELECT src, no_source, source_size,
              least(CAST(cap AS DOUBLE),
-                   min(CASE WHEN level * weight <= cap THEN level END) OVER () * weight) AS target,
+                   max(CASE WHEN level * weight <= cap THEN level END) OVER () * weight) AS target,
              CAST(('0x' || substr(md5('{SEED}:offset:' || src), 1, 8)) AS BIGINT) / 4294967296.0 AS u
       FROM l),
 c AS (SELECT *, CASE WHEN size < 8 THEN size
