@@ -37,7 +37,7 @@ from cabwise.llm.common import Words, arrow_map, as_longs, column, documents, ro
 ORDER = 5
 MARK = 0xFF  # no UTF-8 text has this byte: it stands for start and end
 MAX_EDGES = 1 << 20
-MAX_WORDS = 1 << 22
+MAX_WORDS = 1 << 21
 FOLDS, HELD_FOLD = 5, 1
 WORD, GRAM = 0, 1
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
@@ -146,7 +146,7 @@ class Index:
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
-        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.bits = max(4, (2 * len(keys)).bit_length())
         self.table = np.full(1 << self.bits, -1, np.int32)
         left, slot = np.arange(len(keys), dtype=np.int32), self._slot(keys)
         while len(left):
@@ -220,7 +220,7 @@ def build_levels(edges: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
             rest, new = 256.0 - distinct, np.zeros(n)
         below_total = _log10(np.maximum(rest + new, 1e-300))
         below_escape = np.where(rest + new > 0, _log10(new) - below_total, 0.0)
-        levels.append(Level(Index(keys), np.log10(counts), node_of, Index(nodes), np.log10(totals + distinct),
+        levels.append(Level(Index(keys), np.log10(counts), node_of.astype(np.int32), Index(nodes), np.log10(totals + distinct),
                             np.log10(distinct) - np.log10(totals + distinct), below_total, below_escape))
         lower_totals, lower_distinct = totals, distinct
     return levels
@@ -256,11 +256,18 @@ class Model:
 
     order: int
     levels: list[Level]
-    words: Index
-    word_logs: np.ndarray
-    unknown_log: float
-    end_log: float
-    end_known: int
+    words: np.ndarray        # hashes of the frequent words, sorted
+    word_counts: np.ndarray
+    scale: float             # log10 of the word model's denominator
+    ends: int
+
+    def word_logs(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are held, and their log10 probabilities (as unknown, if not)."""
+        if not len(self.words):
+            return np.zeros(len(hashes), bool), np.full(len(hashes), np.log10(0.5) - self.scale)
+        place = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        held = self.words[place] == hashes
+        return held, np.log10(np.where(held, self.word_counts[place], 0) + 0.5) - self.scale
 
 
 def train(docs: DataFrame, order: int = ORDER) -> tuple[Model, DataFrame, int]:
@@ -285,8 +292,7 @@ def train(docs: DataFrame, order: int = ORDER) -> tuple[Model, DataFrame, int]:
             kept = grams.where(F.col("n") >= bound)
         edges.append(_gathered(kept))
     keys, n = _gathered(frequent)
-    model = Model(order, build_levels(edges[::-1]), Index(keys), np.log10(n + 0.5) - scale, np.log10(0.5) - scale,
-                  np.log10(ends + 0.5) - scale, int(ends > 0))
+    model = Model(order, build_levels(edges[::-1]), keys, n, float(scale), int(ends))
     return model, words.where(F.col("n") < least).select("key", "n"), n_tokens
 
 
@@ -303,15 +309,13 @@ def score(docs: DataFrame, model: Model, rare_words: DataFrame, train_tokens: in
             logs = row_sums(log_probabilities(model.levels, keys), starts)
             words = Words(texts, lower=True)
             hashes = words.hashes()
-            place = model.words.find(hashes)
-            held = place >= 0
-            base = np.where(held, model.word_logs[place] if len(model.word_logs) else 0.0, model.unknown_log)
+            held, base = model.word_logs(hashes)
             rare = ~held[words.codes]
             rare_bounds = np.concatenate([[0], np.cumsum(row_sums(rare.astype(np.int64), words.offsets))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 pa.array((task << 40) + row + np.arange(n)), column(batch, "doc_id"), column(batch, "held_out"),
-                pa.array(words.counts + 1), pa.array(row_sums((~rare).astype(np.int64), words.offsets) + model.end_known),
-                pa.array(row_sums(base[words.codes], words.offsets) + model.end_log), pa.array(logs),
+                pa.array(words.counts + 1), pa.array(row_sums((~rare).astype(np.int64), words.offsets) + int(model.ends > 0)),
+                pa.array(row_sums(base[words.codes], words.offsets) + np.log10(model.ends + 0.5) - model.scale), pa.array(logs),
                 pa.ListArray.from_arrays(pa.array(rare_bounds), as_longs(hashes[words.codes[rare]]))],
                 names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
             row += n
