@@ -261,7 +261,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     ``docs``: doc_id long, text_hash long, text string."""
     chars = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
     maybe = repeat_filter(anchors(docs, window, anchor), "h", chars // 200, FILTER_BYTES, raw=True)
-    found = staged(repeated_stretches(docs, maybe, window, anchor), "stretches")
+    found = staged(repeated_stretches(docs, maybe, window, anchor), "stretches", compression="zstd")  # neighbours share words
     contents = found.where(F.col("words").isNotNull())
     heavy = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP)
     heavy = staged(heavy.select("anchor"), "heavy-anchors")
