@@ -42,10 +42,18 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+#: Spark's own default bound of an Arrow batch, and the one used for texts in its place.
+ARROW_BYTES, SPARK_DEFAULT, SMALLER = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application."""
+    """Send this package to the executors, once per application.
+
+    Rows hold whole texts and sets, so Arrow batches are kept small (a batch is
+    held several times over between JVM and Python), unless the session has a
+    bound of its own."""
+    if spark.conf.get(ARROW_BYTES, SPARK_DEFAULT) == SPARK_DEFAULT:
+        spark.conf.set(ARROW_BYTES, SMALLER)
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

@@ -13,11 +13,13 @@
    threshold is bounded; the pair is dropped when it is under ``MISS``.
    Survivors are verified exactly on their full shingle sets.
 5. Verified links give components (alternating stars). In buckets that still
-   hold several components, all texts of different components are compared
-   with each other, batch by batch as before: inside a task, in blocks of
-   ``BLOCK`` signatures, each pair only in its first common band. No pair is
-   dropped for a bucket's size, and no pair becomes a row unless it survives.
-   Survivors are verified exactly and the components are made final.
+   hold several components, texts of different components are compared with
+   each other, batch by batch as before: inside a task, in blocks of ``BLOCK``
+   signatures. For ``BEST_ROUNDS`` rounds only the most similar partner of each
+   text is verified, which joins up large families of near copies in about
+   one pair a text; then all pairs left between components, each in its first
+   common band. No pair is dropped for a bucket's size, and no pair becomes a
+   row unless it survives.
 
 Defined results: a null text is an empty one; texts without words have no
 shingles and link with nothing. A null id counts as the largest one. Rows that
@@ -47,6 +49,8 @@ HASHES, ROWS = 128, 4
 BATCH = 16
 MISS = 1e-6
 BLOCK = 512
+#: Rounds in which each text is paired with its most similar one only.
+BEST_ROUNDS = 2
 #: Pairs that a task compares at once.
 PAIRS = 1 << 13
 _MUL, _ADD = (np.random.default_rng(seed).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -150,8 +154,8 @@ def least_matches(percent: int = PERCENT, miss: float = MISS) -> tuple[int, ...]
     return tuple(out)
 
 
-def may_be_similar(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Which rows of two signature matrices survive the batches."""
+def may_be_similar(a: np.ndarray, b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of two signature matrices survive the batches, and their matches."""
     alive = np.arange(len(a))
     matches = np.zeros(len(a), np.int64)
     for k, least in enumerate(least_matches(percent)):
@@ -159,7 +163,7 @@ def may_be_similar(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
         matches = matches[:len(alive)] + (a[alive, part] == b[alive, part]).sum(axis=1)
         left = matches >= least
         alive, matches = alive[left], matches[left]
-    return alive
+    return alive, matches
 
 
 def surviving(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
@@ -172,17 +176,18 @@ def surviving(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 4000):
                 part = batch.slice(i, 4000)
-                alive = pa.array(may_be_similar(matrix(column(part, "sig_a")), matrix(column(part, "sig_b")), percent))
-                yield part.select(["a", "b"]).take(alive)
+                alive, _ = may_be_similar(matrix(column(part, "sig_a")), matrix(column(part, "sig_b")), percent)
+                yield part.select(["a", "b"]).take(pa.array(alive))
 
     return arrow_map(joined, run, "a long, b long")
 
 
-def block_pairs(members: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs of different components in buckets (band, cls, root).
+def block_pairs(members: DataFrame, sigs: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """Surviving pairs (a, b) of different components in buckets (band, cls, root).
 
     A bucket over ``BLOCK`` members is cut into blocks; a task compares two
-    blocks at a time."""
+    blocks at a time. With ``best_only``, each member's most similar partner
+    over all its buckets; else every pair, in its first common band."""
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     open_buckets = sizes.where("low != high").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("n_blocks"))
     own = (members.join(open_buckets, "band")
@@ -203,17 +208,26 @@ def block_pairs(members: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
                 wanted = wanted | wanted.T
                 wanted &= (block == low)[:, None] & (block == high)[None, :]
             a, b = np.nonzero(wanted)
-            alive = [i + may_be_similar(sig[a[i:i + PAIRS]], sig[b[i:i + PAIRS]], percent) for i in range(0, len(a), PAIRS)]
-            if alive and len(alive := np.concatenate(alive)):
-                a, b = a[alive], b[alive]
+            found = [(i, *may_be_similar(sig[a[i:i + PAIRS]], sig[b[i:i + PAIRS]], percent)) for i in range(0, len(a), PAIRS)]
+            alive = np.concatenate([np.zeros(0, np.int64), *(i + x for i, x, _ in found)])
+            if not len(alive):
+                continue
+            a, b, matches = a[alive], b[alive], np.concatenate([m for _, _, m in found])
+            if best_only:
+                a, b, matches = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([matches, matches])
+                by = np.lexsort((cls[b], -matches, a))
+                at = by[np.concatenate([[True], a[by][1:] != a[by][:-1]])]
+            else:
                 keyed = band_keys(sig).view(np.int64)
                 common = keyed[a] == keyed[b]
-                here = keyed[a, common.argmax(axis=1)] == band  # the first band that both share
-                a, b = a[here], b[here]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cls[a], cls[b])), pa.array(np.maximum(cls[a], cls[b]))],
-                                                 names=["a", "b"])
+                at = np.flatnonzero(keyed[a, common.argmax(axis=1)] == band)  # the first band that both share
+            yield pa.RecordBatch.from_arrays([pa.array(cls[a[at]]), pa.array(cls[b[at]]), pa.array(matches[at])],
+                                             names=["a", "b", "matches"])
 
-    return arrow_map(own.repartition(*keys).sortWithinPartitions(*keys), run, "a long, b long")
+    pairs = arrow_map(own.repartition(*keys).sortWithinPartitions(*keys), run, "a long, b long, matches long")
+    if best_only:
+        pairs = pairs.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 # ---------------------------------------------------------------- exact verification
@@ -277,22 +291,26 @@ def classes_and_components(docs: DataFrame, doc_id: str, text: str, size: int, p
     best = votes.groupBy(F.col("cls").alias("b")).agg(F.max(F.struct("bands", "hub")).alias("best"))
     stars = surviving(best.select(F.col("best.hub").alias("a"), "b"), sigs, percent)
     stars = staged(stars, "star-pairs")
-    links = staged(verified(stars, reps, docs, doc_id, text, size, percent), "star-links")
-    roots = components(links, "a", "b")
-
-    grouped = members.join(roots, members["cls"] == roots["node"], "left").select(
-        "band", "cls", F.coalesce("root", "cls").alias("root"))
-    rest = staged(block_pairs(staged(grouped, "bucket-roots"), sigs, percent).distinct(), "rest-pairs")
-    more = staged(verified(rest, reps, docs, doc_id, text, size, percent), "rest-links")
-    # the links between components, one for each two of them
-    root_of = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-    between = more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(
-        F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")).distinct()
-    tops = components(between, "a", "b").select(F.col("node").alias("root"), F.col("root").alias("top"))
+    links = verified(stars, reps, docs, doc_id, text, size, percent)
+    roots = staged(components(staged(links, "star-links"), "a", "b"), "roots")
+    for best_only in [True] * BEST_ROUNDS + [False]:
+        grouped = staged(members.join(roots, members["cls"] == roots["node"], "left").select(
+            "band", "cls", F.coalesce("root", "cls").alias("root")), "bucket-roots")
+        rest = staged(block_pairs(grouped, sigs, percent, best_only), "rest-pairs")
+        if rest.isEmpty():
+            break
+        more = verified(rest, reps, docs, doc_id, text, size, percent)
+        # the links between components, one for each two of them
+        root_of = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))  # noqa: B023, E731
+        between = staged(more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(
+            F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")).distinct(), "rest-links")
+        tops = components(between, "a", "b").select(F.col("node").alias("root"), F.col("root").alias("top"))
+        known = roots.unionByName(tops.select(F.col("root").alias("node"), "root"))  # roots that were their own
+        roots = staged(known.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+                       .dropDuplicates(["node"]), "roots")
 
     rooted = (reps.join(roots, reps["cls"] == roots["node"], "left")
-              .select("cls", "n", "doc_id", F.coalesce("root", "cls").alias("root"))
-              .join(tops, "root", "left").select("cls", "n", "doc_id", F.coalesce("top", "root").alias("root")))
+              .select("cls", "n", "doc_id", F.coalesce("root", "cls").alias("root")))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return feats.select("doc_id", "n_shingles", "cls"), staged(rooted.join(least, "root").select(
         "cls", "n", "component_id"), "components")
