@@ -33,9 +33,7 @@ def load_trips(spark: SparkSession, path: str, fmt: str) -> DataFrame:
         return spark.read.parquet(path)
     if fmt == "csv-infer":
         raw = FS.name_positional(FS.read_csv_inferred(spark, path), TRIP_COLUMNS)
-        return raw.select(F.col("trip_id").cast("string"),
-                          *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("start_ts", "end_ts")],
-                          *TRIP_COLUMNS[3:])
+        return raw.select(F.col("trip_id").cast("string"), *TRIP_COLUMNS[1:])
     return T.parse_trips(FS.read_csv_schema(spark, path, TRIPS_CSV))
 
 
@@ -89,6 +87,8 @@ def main(argv=None, stop: bool = True) -> None:
     c.add_argument("--train-fraction", type=float, default=0.75)
     c.add_argument("--seed", type=int, default=1234)
     c.add_argument("--max-iter", type=int, default=100)
+    c.add_argument("--split", choices=["hash", "sample"], default="hash")
+    c.add_argument("--partitions", type=int, default=None, help="place the documents in so many partitions first")
     c.add_argument("--no-cache", action="store_true")
     c.add_argument("--output")
 
@@ -120,8 +120,10 @@ def main(argv=None, stop: bool = True) -> None:
         else:
             docs = R.complaints_from_lines(FS.read_lines(spark, a.complaints))
         run = TC.classify_documents(docs, a.k, a.weighting, a.min_class_count, a.train_fraction,
-                                    a.seed, a.max_iter, cache_train=not a.no_cache)
+                                    a.seed, a.max_iter, cache_train=not a.no_cache, split=a.split,
+                                    partitions=a.partitions)
         emit(TC.accuracy_report(run), a.output, 1)
+        run.release()
     print(f"Time of {a.cmd}: {time.perf_counter() - t0:.2f} seconds")
     if stop:
         spark.stop()

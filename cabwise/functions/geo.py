@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,7 +39,8 @@ def haversine_km(lon1, lat1, lon2, lat2, unit: str = "deg",
     ``unit='deg'`` converts degrees to radians first (the geographically
     correct distance). ``unit='raw'`` feeds the coordinates to sin/cos as they
     are, which reproduces the published reference numbers. ``a`` is clamped
-    to 1 so rounding can never push ``sqrt(1 - a)`` outside its domain.
+    to 1 so rounding can never push ``sqrt(1 - a)`` outside its domain. A null
+    coordinate gives null, a NaN coordinate NaN.
     """
     if unit not in ("deg", "raw"):
         raise ValueError("unit must be 'deg' or 'raw'")
@@ -51,14 +50,6 @@ def haversine_km(lon1, lat1, lon2, lat2, unit: str = "deg",
     dlon, dlat = coordinate_deltas(lon1, lat1, lon2, lat2)
     a = (F.pow(F.sin(dlat / 2), 2)
          + F.cos(lat1) * F.cos(lat2) * F.pow(F.sin(dlon / 2), 2))
-    a = F.least(a, F.lit(1.0))
+    # not least(): it skips nulls and ranks NaN highest, so unknown positions would become antipodes
+    a = F.when((a > 1.0) & ~F.isnan(a), F.lit(1.0)).otherwise(a)
     return F.lit(2 * radius_km) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a))
-
-
-def haversine_py(lon1, lat1, lon2, lat2, unit="deg", radius_km=EARTH_RADIUS_KM):
-    """Scalar twin used by tests as an independent check."""
-    if unit == "deg":
-        lon1, lat1, lon2, lat2 = map(math.radians, (lon1, lat1, lon2, lat2))
-    a = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
-    a = min(a, 1.0)
-    return 2 * radius_km * math.atan2(math.sqrt(a), math.sqrt(1 - a))

@@ -1,15 +1,16 @@
 """Class filtering, label index, train/test split, MLP fit and accuracy.
 
-Input: the per-document feature table ``(doc_id, category, features)`` from
-``tfidf.feature_arrays`` (pairs array) — one row per document.
+Input: any table with one row per document that has ``doc_id`` and
+``category``; counts and labels need no feature.
 
 Scale notes:
 
 * Class counts are a partial/final hash aggregate (one row per class leaves
-  each task). Joining them back is a semi-join against a table whose row
-  count is checked before it is broadcast, so a class holding a third of
-  the documents is never shuffled to one task.
-* The split is a per-row hash test (md5 of seed and ``doc_id``), so it needs
+  each task). Filtering and labelling join them back by broadcast: a table of
+  classes has the size of the network's output layer, which every task holds
+  anyway. Documents are never shuffled by class, so a class that has a third
+  of them is no hot key.
+* The hash split is a per-row test (md5 of seed and ``doc_id``), so it needs
   no shuffle, is the same on every recomputation and in every engine, and
   its complement is exactly the test set (no row lost, none duplicated).
 """
@@ -18,12 +19,9 @@ from __future__ import annotations
 
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import StringIndexer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabwise.operators.tfidf import feature_vectors
-from cabwise.plans.sizing import checked_broadcast
-
 HASH_SPACE = 4294967296.0  # 2**32: the first 8 hex digits of an md5
 
 
@@ -37,11 +35,21 @@ def frequent_classes(df: DataFrame, threshold: int, col: str = "category") -> Da
     return class_counts(df, col).where(F.col("n") > F.lit(threshold))
 
 
-def frequent_class_docs(df: DataFrame, threshold: int, col: str = "category",
-                        max_classes: int = 100_000) -> DataFrame:
+def frequent_class_docs(df: DataFrame, threshold: int, col: str = "category") -> DataFrame:
     """Rows of ``df`` whose class is frequent (left semi join)."""
-    keep = checked_broadcast(frequent_classes(df, threshold, col).select(col), max_classes)
-    return df.join(keep, col, "left_semi")
+    return df.join(F.broadcast(frequent_classes(df, threshold, col).select(col)), col, "left_semi")
+
+
+def label_table(df: DataFrame, col: str = "category") -> DataFrame:
+    """(class, label, n): 0.0 for the most frequent class, equal counts alphabetically."""
+    order = Window.orderBy(F.col("n").desc(), F.col(col).asc())  # one row per class
+    return class_counts(df.where(F.col(col).isNotNull()), col).select(
+        col, (F.row_number().over(order) - 1).cast("double").alias("label"), "n")
+
+
+def with_labels(df: DataFrame, col: str = "category") -> DataFrame:
+    """``df`` with its class label; the plan is lazy, nothing is fitted."""
+    return df.join(F.broadcast(label_table(df, col).select(col, "label")), col).select(*df.columns, "label")
 
 
 def label_indexer(df: DataFrame, input_col: str = "category", output_col: str = "label"):
@@ -103,12 +111,22 @@ def except_distinct(all_rows: DataFrame, train: DataFrame) -> DataFrame:
     """Reference test set: EXCEPT DISTINCT (drops duplicates and any row equal
     to a training row). ``holdout_split`` is the loss-free alternative.
 
-    Both sides are de-duplicated first: ``distinct`` aggregates partially on
-    the map side, so a group of identical copies collapses before any shuffle
-    and the anti-join (null-safe on every column, as EXCEPT requires) only
-    ever sees unique rows — no hot key however many copies there are.
+    Both sides go through one aggregation over all columns that remembers
+    whether a row came from ``train``: one exchange, nulls equal to nulls, and
+    a group of copies is one row a task before it shuffles.
     """
-    return all_rows.distinct().subtract(train.distinct())
+    columns = all_rows.columns
+    marked = all_rows.withColumn("__in_train", F.lit(False)).unionByName(train.select(*columns).withColumn("__in_train", F.lit(True)))
+    return marked.groupBy(*columns).agg(F.max("__in_train").alias("__in_train")).where(~F.col("__in_train")).select(*columns)
+
+
+def sampled_split(df: DataFrame, fractions: dict, seed: int = 1234,
+                  label_col: str = "label") -> tuple[DataFrame, DataFrame]:
+    """The reference's split: a random stratified sample, and what EXCEPT leaves.
+
+    ``df`` must give the same rows whenever it is read (a written table)."""
+    train = sample_by_label(df, fractions, seed, label_col)
+    return train, except_distinct(df, train)
 
 
 def mlp_layers(n_features: int, n_classes: int) -> list[int]:
@@ -130,7 +148,3 @@ def accuracy(predictions: DataFrame, label_col: str = "label",
     number MulticlassClassificationEvaluator(metricName='accuracy') gives)."""
     hit = (F.col(prediction_col) == F.col(label_col)).cast("double")
     return predictions.agg(F.count(F.lit(1)).alias("n_test"), F.avg(hit).alias("accuracy"))
-
-
-def vectorised(df: DataFrame, n_features: int) -> DataFrame:
-    return feature_vectors(df, n_features)

@@ -30,17 +30,13 @@ def limited_side(vendors: DataFrame, n: int = 50, key: str = "trip_id") -> DataF
     return vendors.orderBy(key).limit(n)
 
 
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def join_with_strategy(big: DataFrame, small: DataFrame, strategy: str,
-                       key: str = "trip_id", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def join_with_strategy(big: DataFrame, small: DataFrame, strategy: str, key: str = "trip_id") -> DataFrame:
     """Inner join with a forced strategy. A broadcast side must be proven
     small (the LIMIT of ``limited_side`` proves it statically)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if strategy == "broadcast":
-        small = bounded_broadcast(small, max_broadcast_rows, "broadcast side")
+        small = bounded_broadcast(small, "broadcast side")
     else:
         small = small.hint(strategy)
     return big.join(small, key, "inner")

@@ -12,12 +12,16 @@ Plan shape (all built-ins):
   TakeOrderedAndProject — each task keeps k rows; only k rows ever reach a
   single partition, where the 0-based index is assigned.
 * ``matched_tokens``: raw document tokens inner-joined to the lexicon. The
-  lexicon's size is proven (LIMIT k, or counted) before it is broadcast, so
+  lexicon's plan must bound its rows (LIMIT k) before it is broadcast, so
   the document side is never shuffled.
+* ``lexicon_counts``: the same matches, counted inside the row of each
+  document; no token ever becomes a row.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +29,6 @@ from cabwise.functions.text import clean_token, cleaned_tokens, is_stopword, tok
 from cabwise.plans.sizing import bounded_broadcast
 
 DEFAULT_K = 150
-MAX_LEXICON = 100_000   # a lexicon is broadcast: it must stay this small
 
 
 def doc_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -67,7 +70,32 @@ def matched_tokens(docs: DataFrame, lexicon: DataFrame, text_col: str = "text",
         toks = docs.select(*keep, F.explode(tokens(text_col)).alias("token"))
     if clean_docs:
         toks = toks.withColumn("token", clean_token("token"))
-    # lexicon_topk's LIMIT k proves the bound statically; other lexicons are counted
-    lex = bounded_broadcast(lexicon.select("word", "word_idx"), MAX_LEXICON, "lexicon")
+    lex = bounded_broadcast(lexicon.select("word", "word_idx"), "lexicon")  # LIMIT k
     cols = keep + (["pos"] if with_pos else []) + ["word", "word_idx"]
     return toks.join(lex, toks["token"] == lex["word"], "inner").select(*cols)
+
+
+def lexicon_words(lexicon: DataFrame) -> list[str]:
+    """The k words of a lexicon by index."""
+    return [r.word for r in lexicon.orderBy("word_idx").collect()]
+
+
+def lexicon_counts(docs: DataFrame, words: list[str], text_col: str = "text",
+                   clean_docs: bool = False) -> DataFrame:
+    """(doc_id, category, counts): pairs (word_idx, cnt) sorted by index, for
+    documents with at least one lexicon word.
+
+    The tokens of a document are counted where they are, by a vocabulary model
+    of the lexicon: no explode, no shuffle. ``clean_docs`` compares tokens
+    with their non-letters removed.
+    """
+    own = cleaned_tokens(text_col) if clean_docs else tokens(text_col)
+    toks = docs.select("doc_id", "category", F.coalesce(own, F.array().cast("array<string>")).alias("tokens"))
+    if not words:
+        counted = toks.withColumn("dense", F.array().cast("array<double>"))
+    else:
+        model = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="vector", minTF=1.0)
+        counted = model.transform(toks).withColumn("dense", vector_to_array("vector"))
+    pairs = F.transform("dense", lambda n, i: F.struct(i.cast("int").alias("word_idx"), n.cast("long").alias("cnt")))
+    return (counted.select("doc_id", "category", F.filter(pairs, lambda p: p["cnt"] > 0).alias("counts"))
+            .where(F.size("counts") > 0))

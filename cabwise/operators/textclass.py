@@ -1,6 +1,12 @@
 """End-to-end text classification: documents → features → labels → split →
 MLP → predictions and accuracy (the reference's three ML variants are
-parameter choices: ``weighting`` and ``min_class_count``)."""
+parameter choices: ``weighting`` and ``min_class_count``).
+
+The counts table (one row per document) is written once; everything behind it
+reads that table: document frequencies, N, class counts, labels and weights.
+Between the scan and the features nothing about single documents is shuffled,
+unless the caller asks for a placement with ``partitions``.
+"""
 
 from __future__ import annotations
 
@@ -13,68 +19,48 @@ from pyspark.sql import functions as F
 from cabwise.operators import classify as C
 from cabwise.operators import lexicon as LX
 from cabwise.operators import tfidf as TF
-from cabwise.plans.lineage import checkpointed
-from cabwise.plans.partitioning import spread
-
+from cabwise.plans.lineage import release_staged, staged
 
-def document_term_counts(docs: DataFrame, k: int = LX.DEFAULT_K, stopwords=None,
-                         clean_docs: bool = False, materialize: bool = True) -> DataFrame:
-    """(doc_id, word_idx, cnt) for the top-k lexicon.
 
-    The class string is left out: it is per document, and carrying it on
-    every (document, word) row through two shuffles can cost more bytes than
-    the text itself. ``document_weights`` attaches it once per document.
+def document_counts(docs: DataFrame, k: int = LX.DEFAULT_K, stopwords=None, clean_docs: bool = False,
+                    partitions: int | None = None, materialize: bool = True) -> DataFrame:
+    """(doc_id, category, counts) of documents with a word of the top-k lexicon.
 
-    The table feeds three consumers (document frequencies, the document
-    count N, per-document TF). Without a cut each would re-tokenise the whole
-    text, so it is checkpointed once into the shared folder. Under AQE a
-    checkpoint does not carry the doc_id placement forward, so the TF window
-    then re-partitions these pairs (at most k per document) by doc_id once;
-    with ``materialize=False`` and doc_id-placed documents the pipeline has no
-    per-document exchange at all, but tokenises three times.
+    The k lexicon words are fetched when this is called (the vocabulary of a
+    model is a parameter of the plan), and the table is written.
+    ``partitions`` first places the documents by ``doc_id``: for a file of one
+    row group, which one task would read.
     """
-    docs = spread(docs, "doc_id")
-    lex = LX.lexicon_topk(docs, k, stopwords)
-    matched = LX.matched_tokens(docs, lex, clean_docs=clean_docs, with_pos=False, with_category=False)
-    tc = TF.term_counts(matched)
-    return checkpointed(tc) if materialize else tc
-
+    if partitions is not None:
+        docs = docs.repartition(partitions, "doc_id")
+    words = LX.lexicon_words(LX.lexicon_topk(docs, k, stopwords))
+    counts = LX.lexicon_counts(docs, words, clean_docs=clean_docs)
+    return staged(counts, "counts") if materialize else counts
 
-def document_weights(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
-                     stopwords=None, clean_docs: bool = False, materialize: bool = True) -> DataFrame:
-    """(doc_id, category, word_idx, weight)."""
-    docs = spread(docs, "doc_id")
-    tc = document_term_counts(docs, k, stopwords, clean_docs, materialize)
-    return TF.with_category(TF.tfidf(tc, TF.inverse_document_frequency(tc), weighting), docs)
 
-
-def document_features(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
-                      stopwords=None, clean_docs: bool = False, materialize: bool = True) -> DataFrame:
+def features_of(counts: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented") -> DataFrame:
     """(doc_id, category, features) with features = sorted (word_idx, weight) pairs."""
-    return TF.feature_arrays(document_weights(docs, k, weighting, stopwords, clean_docs, materialize))
+    return TF.feature_arrays(counts, TF.inverse_document_frequency(counts), k, weighting)
 
 
-@dataclass
-class LabelledFeatures:
-    table: DataFrame          # doc_id, category, features (pairs), label
-    labels: list[str]         # index → class name (from the fitted indexer)
+def document_features(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented", stopwords=None,
+                      clean_docs: bool = False, partitions: int | None = None, materialize: bool = True) -> DataFrame:
+    return features_of(document_counts(docs, k, stopwords, clean_docs, partitions, materialize), k, weighting)
 
 
-def labelled_features(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
-                      min_class_count: int | None = None, materialize: bool = True) -> LabelledFeatures:
-    """Features with a class filter (optional) and a frequency-ordered label.
+def labelled_features(counts: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
+                      min_class_count: int | None = None) -> DataFrame:
+    """(doc_id, category, features, label), classes filtered if asked for.
 
-    With ``materialize`` the feature table is checkpointed into the shared
-    folder once; the indexer fit, the split and the fit all read it back.
-    """
-    feats = document_features(docs, k, weighting, materialize=materialize)
-    if materialize:
-        feats = checkpointed(feats)
+    Classes are filtered after the weighting, as in the reference: idf counts
+    all documents."""
+    table = features_of(counts, k, weighting)
     if min_class_count is not None:
-        # class counts and the semi-join both read the checkpointed table
-        feats = C.frequent_class_docs(feats, min_class_count)
-    table, model = C.index_labels(feats)
-    return LabelledFeatures(table, list(model.labels))
+        frequent = C.frequent_classes(counts, min_class_count).select("category")
+        table = table.join(F.broadcast(frequent), "category", "left_semi").select(*table.columns)
+        counts = counts.join(F.broadcast(frequent), "category", "left_semi")
+    labels = C.label_table(counts).select("category", "label")
+    return table.join(F.broadcast(labels), "category").select(*table.columns, "label")
 
 
 @dataclass
@@ -83,33 +69,49 @@ class ClassificationRun:
     test: DataFrame
     model: object
     predictions: DataFrame
-    labels: list[str]
+    labels: list[str]         # index → class name (from the fitted indexer)
 
     def release(self) -> None:
-        """Drop the cached training rows."""
+        """Drop the cached training rows and this application's written intermediates."""
         self.train.unpersist()
+        release_staged(self.train.sparkSession)
+
+
+def split_vectors(docs: DataFrame, k: int, weighting: str, min_class_count: int | None, train_fraction: float,
+                  seed: int, split: str = "hash", partitions: int | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(train, test, class names): written tables with sparse vectors."""
+    if split not in ("hash", "sample"):
+        raise ValueError("split must be 'hash' or 'sample'")
+    counts = document_counts(docs, k, partitions=partitions)
+    features = labelled_features(counts, k, weighting, min_class_count).drop("label")
+    features = staged(features, "features")
+    table, indexer = C.index_labels(features)
+    fractions = {float(i): train_fraction for i in range(len(indexer.labels))}
+    cut = C.holdout_split if split == "hash" else C.sampled_split
+    parts = [TF.sparse_layout(part, k) for part in cut(table, fractions, seed)]
+    train, test = (staged(part, "vectors", TF.vector_schema(part)) for part in parts)
+    return train, test, list(indexer.labels)
 
 
 def classify_documents(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",
                        min_class_count: int | None = None, train_fraction: float = 0.75,
                        seed: int = 1234, max_iter: int = 100, block_size: int = 128,
-                       cache_train: bool = True) -> ClassificationRun:
-    lf = labelled_features(docs, k, weighting, min_class_count)
-    n_classes = len(lf.labels)
-    fractions = {float(i): train_fraction for i in range(n_classes)}
-    train, test = C.holdout_split(lf.table, fractions, seed)
-    train = C.vectorised(train, k)
-    test = C.vectorised(test, k)
+                       cache_train: bool = True, split: str = "hash", partitions: int | None = None) -> ClassificationRun:
+    """``split='hash'``: by an md5 of the id; ``'sample'``: the reference's random
+    stratified sample and EXCEPT."""
+    train, test, labels = split_vectors(docs, k, weighting, min_class_count, train_fraction, seed, split, partitions)
     if cache_train:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    model = C.mlp_fit(train, k, n_classes, max_iter=max_iter, block_size=block_size, seed=seed)
+    model = C.mlp_fit(train, k, len(labels), max_iter=max_iter, block_size=block_size, seed=seed)
     predictions = model.transform(test).select("doc_id", "category", "label", "prediction")
-    return ClassificationRun(train, test, model, predictions, lf.labels)
+    return ClassificationRun(train, test, model, predictions, labels)
 
 
 def accuracy_report(run: ClassificationRun) -> DataFrame:
-    """One row: n_train, n_test, n_classes, accuracy."""
+    """One row: n_train, n_test, n_classes, accuracy, majority (the share of the
+    test set's largest class)."""
     n_train = run.train.agg(F.count(F.lit(1))).scalar()
+    largest = C.class_counts(run.test, "label").agg(F.max("n")).scalar()
     return (C.accuracy(run.predictions)
-            .select(n_train.alias("n_train"), "n_test",
-                    F.lit(len(run.labels)).alias("n_classes"), "accuracy"))
+            .select(n_train.alias("n_train"), "n_test", F.lit(len(run.labels)).alias("n_classes"), "accuracy",
+                    (largest / F.col("n_test")).alias("majority")))

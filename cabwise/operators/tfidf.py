@@ -1,111 +1,94 @@
-"""Term counts, inverse document frequency and the two TF-IDF weightings.
-
-Long form throughout: one row per (document, lexicon word). Shuffles:
-
-1. ``term_counts`` groups matched tokens by (doc_id, category, word_idx);
-   a document's tokens all sit in the partition that read the document, so
-   the partial aggregate already collapses repeats and the exchange carries
-   at most k rows per document. The key is high-cardinality: no hot key.
-2. The per-document max / sum for TF is a window partitioned by ``doc_id``;
-   later per-document steps (``feature_arrays``) reuse that partitioning
-   without another exchange.
-
-``N`` (documents with a lexicon word) is a scalar subquery and the idf table
-has at most k rows, so it is broadcast into the weighting join.
+"""Inverse document frequency and the two TF-IDF weightings, inside the row.
+
+Input: the counts table of ``lexicon.lexicon_counts``, one row per document
+with sorted (word_idx, cnt) pairs. A document's maximum, total, term
+frequencies and weights are array expressions on its own row. Only one thing
+crosses a shuffle: document frequencies, at most k partial counts a task.
+The k inverse frequencies come back as one scalar subquery, an array indexed
+by word. The long form (a row per document and word) is derived by expanding
+the arrays, for those who want it.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from cabwise.plans.sizing import bounded_broadcast
-
-MAX_TERMS = 100_000   # one idf row per lexicon word
+from pyspark.sql.types import StructField, StructType
 
 
-def term_counts(matched: DataFrame) -> DataFrame:
-    """(doc_id, [category,] word_idx, cnt) — category kept when the input has it."""
-    keys = ["doc_id"] + (["category"] if "category" in matched.columns else []) + ["word_idx"]
-    return matched.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+def long_counts(counts: DataFrame) -> DataFrame:
+    """(doc_id, category, word_idx, cnt): a row per document and word."""
+    return counts.select("doc_id", "category", F.inline("counts"))
 
 
-def n_documents(tc: DataFrame):
+def n_documents(counts: DataFrame) -> Column:
     """Scalar column: number of documents with at least one lexicon word."""
-    return tc.agg(F.count_distinct("doc_id")).scalar()
+    return counts.agg(F.count(F.lit(1))).scalar()
 
 
-def inverse_document_frequency(tc: DataFrame) -> DataFrame:
+def inverse_document_frequency(counts: DataFrame) -> DataFrame:
     """(word_idx, df, n_docs, idf) with idf = ln(N / df).
 
     Plain ln(N/df): a word found in every matched document gets idf 0.
     (spark.ml's IDF uses ln((N+1)/(df+1)) and is not the same quantity.)
     """
-    n = n_documents(tc)
-    return (tc.groupBy("word_idx").agg(F.count(F.lit(1)).alias("df"))
-            .select("word_idx", "df", n.alias("n_docs"),
-                    F.ln(n / F.col("df")).alias("idf")))
+    n = n_documents(counts)
+    return (counts.select(F.explode("counts.word_idx").alias("word_idx"))
+            .groupBy("word_idx").agg(F.count(F.lit(1)).alias("df"))
+            .select("word_idx", "df", n.alias("n_docs"), F.ln(n / F.col("df")).alias("idf")))
 
 
-def _per_doc():
-    return Window.partitionBy("doc_id")
+#: What a count is set against: the largest count of its document, or their sum.
+BASES = {"augmented": lambda counts: F.array_max(counts),
+         "relative": lambda counts: F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)}
+#: tf from a count and that base.
+TF_FUNCTIONS = {"augmented": lambda count, base: F.lit(0.5) + F.lit(0.5) * count / base,
+                "relative": lambda count, base: count / base}
 
 
-def tf_augmented(tc: DataFrame) -> DataFrame:
-    """tf = 0.5 + 0.5 * cnt / max(cnt in document)."""
-    mx = F.max("cnt").over(_per_doc())
-    return tc.withColumn("tf", F.lit(0.5) + F.lit(0.5) * F.col("cnt") / mx)
+def term_frequencies(counts: DataFrame, weighting: str = "augmented") -> DataFrame:
+    """(doc_id, category, terms): (word_idx, cnt, tf) of each document's words."""
+    # the base is an argument beside the counts, worked out once a row, not once a word
+    base = F.array_repeat(BASES[weighting](F.col("counts.cnt")), F.size("counts"))
+    term = lambda c, b: F.struct(c["word_idx"].alias("word_idx"), c["cnt"].alias("cnt"),
+                                 TF_FUNCTIONS[weighting](c["cnt"], b).alias("tf"))
+    return counts.select("doc_id", "category", F.zip_with("counts", base, term).alias("terms"))
 
 
-def tf_relative(tc: DataFrame) -> DataFrame:
-    """tf = cnt / (number of matched tokens in the document)."""
-    total = F.sum("cnt").over(_per_doc())
-    return tc.withColumn("tf", F.col("cnt") / total)
+def idf_by_index(idf: DataFrame, k: int) -> Column:
+    """Scalar column: the idf of words 0..k-1 (0 for a word no document has)."""
+    found = F.map_from_entries(F.collect_list(F.struct("word_idx", "idf")))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(F.element_at("found", i), F.lit(0.0)))
+    return idf.agg(found.alias("found")).select(dense).scalar()
 
 
-TF_FUNCTIONS = {"augmented": tf_augmented, "relative": tf_relative}
+def feature_arrays(counts: DataFrame, idf: DataFrame, k: int, weighting: str = "augmented") -> DataFrame:
+    """(doc_id, category, features): (word_idx, weight = tf * idf) pairs sorted by index."""
+    terms = term_frequencies(counts, weighting).withColumn("__idf", idf_by_index(idf, k))
+    weight = lambda t: F.struct(t["word_idx"].alias("word_idx"),
+                                (t["tf"] * F.get("__idf", t["word_idx"])).alias("weight"))
+    return terms.select("doc_id", "category", F.transform("terms", weight).alias("features"))
 
 
-def tfidf(tc: DataFrame, idf: DataFrame, weighting: str = "augmented") -> DataFrame:
-    """(doc_id, category, word_idx, weight) with weight = tf * idf."""
-    tf = TF_FUNCTIONS[weighting](tc)
-    small = bounded_broadcast(idf.select("word_idx", "idf"), MAX_TERMS, "idf table")  # ≤ k rows
-    keep = ["doc_id"] + (["category"] if "category" in tf.columns else []) + ["word_idx"]
-    return (tf.join(small, "word_idx", "inner")
-            .select(*keep, (F.col("tf") * F.col("idf")).alias("weight")))
+def long_weights(arrays: DataFrame) -> DataFrame:
+    """(doc_id, category, word_idx, weight): a row per document and word."""
+    return arrays.select("doc_id", "category", F.inline("features"))
 
 
-def with_category(per_doc_rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Attach each document's class once, by ``doc_id``.
+def sparse_layout(arrays: DataFrame, size: int, col: str = "features") -> DataFrame:
+    """The pair array in the storage layout of a sparse ml vector.
 
-    The long per-(document, word) tables travel through their shuffles
-    without the class string; rows that are already placed by ``doc_id``
-    (after the TF window) join the one-row-per-document class table
-    without being moved again.
-    """
-    meta = docs.select("doc_id", "category")
-    cols = per_doc_rows.columns
-    return per_doc_rows.join(meta, "doc_id", "inner").select(
-        "doc_id", "category", *[c for c in cols if c != "doc_id"])
-
-
-def feature_arrays(weights: DataFrame) -> DataFrame:
-    """(doc_id, category, features): (word_idx, weight) pairs sorted by index."""
-    return (weights.groupBy("doc_id", "category")
-            .agg(F.array_sort(F.collect_list(F.struct("word_idx", "weight"))).alias("features")))
+    Written as Parquet and read with :func:`vector_schema` it is a sparse
+    vector column: nothing dense of ``size`` numbers is ever made."""
+    indices, values = F.col(f"{col}.word_idx"), F.col(f"{col}.weight")
+    return arrays.withColumn(col, F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                                           indices.alias("indices"), values.alias("values")))
 
 
-def feature_vectors(arrays: DataFrame, size: int, col: str = "features") -> DataFrame:
-    """Replace the pair array by a fixed-size ml vector (dense, JVM side).
-
-    Every position not present in the pairs is 0.0; the result is a regular
-    ``VectorUDT`` column accepted by spark.ml estimators.
-    """
-    entries = F.map_from_entries(F.col(col))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
-                        lambda i: F.coalesce(F.element_at(entries, i), F.lit(0.0)))
-    return arrays.withColumn(col, array_to_vector(dense))
+def vector_schema(df: DataFrame, col: str = "features") -> StructType:
+    """The schema to read a :func:`sparse_layout` table with."""
+    return StructType([StructField(f.name, VectorUDT() if f.name == col else f.dataType) for f in df.schema])
 
 
 def features_as_text(arrays: DataFrame, col: str = "features", places: int = 6) -> DataFrame:

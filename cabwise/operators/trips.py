@@ -81,6 +81,11 @@ def hourly_profile_padded(trips: DataFrame) -> DataFrame:
             .orderBy("hour"))
 
 
+def has_distance():
+    """Neither null nor NaN: a trip of unknown length is never the longest."""
+    return F.col("distance").isNotNull() & ~F.isnan("distance")
+
+
 def longest_trip_per_vendor(trips_vendor: DataFrame) -> DataFrame:
     """All trips whose distance equals their vendor's maximum (ties kept).
 
@@ -90,7 +95,7 @@ def longest_trip_per_vendor(trips_vendor: DataFrame) -> DataFrame:
     whole row set to one reducer.
     """
     w = Window.partitionBy("vendor").orderBy(F.col("distance").desc())
-    return (trips_vendor.where(F.col("distance").isNotNull())
+    return (trips_vendor.where(has_distance())
             .withColumn("_rank", F.rank().over(w))
             .where(F.col("_rank") == 1)
             .select("vendor", "distance", "duration")
@@ -100,31 +105,25 @@ def longest_trip_per_vendor(trips_vendor: DataFrame) -> DataFrame:
 def longest_trip_single(trips_vendor: DataFrame) -> DataFrame:
     """One longest trip per vendor; ties broken by the smallest trip_id."""
     w = Window.partitionBy("vendor").orderBy(F.col("distance").desc(), F.col("trip_id").asc())
-    return (trips_vendor.where(F.col("distance").isNotNull())
+    return (trips_vendor.where(has_distance())
             .withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == 1)
             .select("vendor", "trip_id", "distance", "duration")
             .orderBy("vendor"))
 
 
-# The same hourly profile written as SQL text over a DataFrame parameter (the
-# reference runs Q1 as SQL over a temporary view); Catalyst plans both forms
-# identically.
-HOURLY_PROFILE_SQL = """
-SELECT hour(start_ts) AS hour, avg(start_lon) AS longitude, avg(start_lat) AS latitude
-FROM {trips}
-WHERE start_ts < end_ts
-  AND start_lon != end_lon AND start_lat != end_lat
-  AND start_lon > -80 AND start_lon < -70 AND start_lat > 40 AND start_lat < 46
-  AND end_lon > -80 AND end_lon < -70 AND end_lat > 40 AND end_lat < 46
-  AND cost > 0
-GROUP BY hour(start_ts)
-ORDER BY hour
+#: Q1's aggregation as SQL text over a DataFrame parameter that holds valid trips.
+MEAN_PICKUP_SQL = """
+SELECT extract(HOUR FROM start_ts) AS hour, mean(start_lon) AS longitude, mean(start_lat) AS latitude
+FROM {valid}
+GROUP BY 1
+ORDER BY 1
 """
 
 
 def hourly_profile_sql(trips: DataFrame) -> DataFrame:
-    return trips.sparkSession.sql(HOURLY_PROFILE_SQL, trips=trips)
+    """The SQL form of :func:`hourly_profile`; validity stays in one place."""
+    return trips.sparkSession.sql(MEAN_PICKUP_SQL, valid=valid_trips(trips))
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

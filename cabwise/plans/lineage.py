@@ -1,20 +1,51 @@
-"""Lineage cuts that survive executor loss.
-
-A reused intermediate (the labelled feature table feeds class counts, the
-label index, the split, the fit and the evaluation) is written once with a
-reliable ``checkpoint`` into the shared folder named by
-``spark.checkpoint.dir``. A lost executor then re-reads those files instead
-of recomputing the text pipeline, and a random operator downstream
-(``sampleBy``) sees the same rows on every recomputation.
+"""Intermediates that survive executor loss, and their removal.
+
+A reused intermediate is written once as Parquet into the shared folder named
+by ``spark.checkpoint.dir``: a lost executor then costs a re-read, columns and
+filters are pruned in the scan, and a random operator downstream
+(``sampleBy``) sees the same rows on every recomputation. Paths are recorded
+per application; :func:`release_staged` deletes them when the results that
+read them are done with, and the end of the process deletes what is left.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import atexit
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from cabwise.session import staging_path
+
+_STAGED: dict[str, list[tuple[SparkSession, str]]] = {}
+
+
+def tracked_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder that :func:`release_staged` removes."""
+    path = staging_path(spark, name)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append((spark, path))
+    return path
+
+
+def staged(df: DataFrame, name: str, read_schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` once and read it back (with another schema of equal layout, if given)."""
+    path = tracked_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(read_schema or df.schema).parquet(path)
+
 
-from cabwise.session import checkpoint_root
+def release_staged(spark: SparkSession) -> int:
+    """Delete this application's staged tables; returns how many paths there were."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    for _, path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    return len(paths)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    checkpoint_root(df.sparkSession)  # make sure the shared folder is set
-    return df.checkpoint(eager=True)
+@atexit.register
+def _release_all() -> None:
+    for own in list(_STAGED.values()):
+        if own[0][0].sparkContext._jsc is not None:  # a stopped context can't reach its file system
+            release_staged(own[0][0])

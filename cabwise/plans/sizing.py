@@ -1,18 +1,9 @@
 """Broadcast only behind a proven size bound.
 
-Every broadcast in the library goes through this module. A side's row
-count is proven in one of two ways:
-
-* statically: Catalyst's ``maxRows`` of the optimized logical plan — a LIMIT
-  n (the 50-row vendor side, the top-k lexicon) bounds every plan above it
-  that cannot add rows; no job runs;
-* at run time: counting at most ``max_rows + 1`` rows of the side (a
-  distributed job that returns one number to the driver).
-
-``checked_broadcast`` keeps the plain join when the bound fails (AQE's
-skew-join handling then splits any hot key); ``bounded_broadcast`` is for
-sides that must be small by contract (a lexicon, an idf table, the side of
-an explicitly requested broadcast join) and raises instead.
+A side's bound is Catalyst's ``maxRows`` of the optimized logical plan: a
+LIMIT n (the 50-row vendor side, the top-k lexicon) bounds every plan above it
+that cannot add rows, whatever the input size. No job runs. n and k are the
+caller's own parameters; there is no further constant.
 """
 
 from __future__ import annotations
@@ -20,31 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 100_000
-
 
 def static_row_bound(df: DataFrame) -> int | None:
     """``maxRows`` of the optimized plan, or None when Catalyst has no bound."""
-    try:
-        bound = df._jdf.queryExecution().optimizedPlan().maxRows()
-        return int(bound.get()) if bound.isDefined() else None
-    except Exception:  # no JVM plan to inspect
-        return None
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows."""
-    bound = static_row_bound(df)
-    if bound is not None and bound <= max_rows:
-        return True
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return int(bound.get()) if bound.isDefined() else None
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, what: str = "side") -> DataFrame:
-    if not row_count_at_most(df, max_rows):
-        raise ValueError(f"{what} has more than {max_rows} rows; refusing to broadcast it")
+def bounded_broadcast(df: DataFrame, what: str = "side") -> DataFrame:
+    """``df`` to be broadcast; an error if its plan doesn't bound its rows."""
+    if static_row_bound(df) is None:
+        raise ValueError(f"the plan of the {what} has no row bound; give it a limit() before it is broadcast")
     return F.broadcast(df)

@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from cabwise.functions.text import STOPWORDS
 from cabwise.operators import classify as C, joins, lexicon as LX, textclass as TC, tfidf as TF, trips as T
 from cabwise.plans.inspect import join_node
-from cabwise.plans.partitioning import spread
+from cabwise.plans.lineage import staged, tracked_path
 from cabwise.schemas import TRIP_COLUMNS, TRIPS_CSV
-from cabwise.session import staging_path
 from cabwise.sources import bindings as B, files as FS, records as R
 from cabwise.streaming import hourly as HS
 
@@ -74,8 +73,9 @@ def _duck_haversine(unit: str) -> str:
                                   "radians(end_lon)", "radians(end_lat)")
     else:
         lon1, lat1, lon2, lat2 = "start_lon", "start_lat", "end_lon", "end_lat"
-    a = (f"least(pow(sin(({lat2} - {lat1}) / 2), 2) + cos({lat1}) * cos({lat2}) * "
-         f"pow(sin(({lon2} - {lon1}) / 2), 2), 1.0)")
+    a = (f"(pow(sin(({lat2} - {lat1}) / 2), 2) + cos({lat1}) * cos({lat2}) * "
+         f"pow(sin(({lon2} - {lon1}) / 2), 2))")
+    a = f"(CASE WHEN {a} > 1.0 AND NOT isnan({a}) THEN 1.0 ELSE {a} END)"
     return f"(2 * 6371.0 * atan2(sqrt({a}), sqrt(1.0 - {a})))"
 
 
@@ -155,7 +155,7 @@ def q_trips_with_vendor(spark, sf_dir):
 
 @register("longest_trip_per_vendor", _with(DUCK_TRIPS, DUCK_VENDORS, DUCK_VALID, _duck_metrics("raw")) + """,
 j AS (SELECT v.vendor, m.distance, m.duration FROM metrics m JOIN vendors v USING (trip_id)),
-r AS (SELECT *, rank() OVER (PARTITION BY vendor ORDER BY distance DESC) AS rk FROM j WHERE distance IS NOT NULL)
+r AS (SELECT *, rank() OVER (PARTITION BY vendor ORDER BY distance DESC) AS rk FROM j WHERE distance IS NOT NULL AND NOT isnan(distance))
 SELECT vendor, round(distance, 4) AS distance, round(duration, 6) AS duration FROM r WHERE rk = 1""")
 def q_longest_trip_per_vendor(spark, sf_dir):
     return rounded(T.longest_trip_per_vendor(_metrics_with_vendor(spark, sf_dir)),
@@ -165,13 +165,37 @@ def q_longest_trip_per_vendor(spark, sf_dir):
 @register("longest_trip_single", _with(DUCK_TRIPS, DUCK_VENDORS, DUCK_VALID, _duck_metrics("raw")) + """,
 j AS (SELECT v.vendor, m.trip_id, m.distance, m.duration FROM metrics m JOIN vendors v USING (trip_id)),
 r AS (SELECT *, row_number() OVER (PARTITION BY vendor ORDER BY distance DESC, trip_id ASC) AS rn
-      FROM j WHERE distance IS NOT NULL)
+      FROM j WHERE distance IS NOT NULL AND NOT isnan(distance))
 SELECT vendor, trip_id, round(distance, 4) AS distance, round(duration, 6) AS duration FROM r WHERE rn = 1""")
 def q_longest_trip_single(spark, sf_dir):
     return rounded(T.longest_trip_single(_metrics_with_vendor(spark, sf_dir)),
                    {"distance": 4, "duration": 6})
 
 
+DUCK_GAPS = """
+gaps AS (SELECT * REPLACE (CASE WHEN trip_id % 53 = 0 THEN NULL WHEN trip_id % 59 = 0 THEN CAST('NaN' AS DOUBLE)
+                                ELSE start_lon END AS start_lon) FROM trips),
+valid AS (SELECT * FROM gaps)"""
+
+
+@register("longest_trip_unknown_positions", _with(DUCK_TRIPS, DUCK_VENDORS, DUCK_GAPS, _duck_metrics("raw")) + """,
+j AS (SELECT v.vendor, m.trip_id, m.distance FROM metrics m JOIN vendors v USING (trip_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY vendor ORDER BY distance DESC, trip_id ASC) AS rn
+      FROM j WHERE distance IS NOT NULL AND NOT isnan(distance)),
+n AS (SELECT vendor, count(*) FILTER (WHERE distance IS NULL) AS n_null,
+             count(*) FILTER (WHERE isnan(distance)) AS n_nan FROM j GROUP BY vendor)
+SELECT vendor, trip_id, round(distance, 4) AS distance, n_null, n_nan FROM r JOIN n USING (vendor) WHERE rn = 1""")
+def q_longest_trip_unknown_positions(spark, sf_dir):
+    """Unfiltered trips, some without a known start: those have no distance and never win."""
+    gaps = B.trips(spark, sf_dir).withColumn("start_lon", F.when(F.col("trip_id") % 53 == 0, F.lit(None).cast("double"))
+                                             .when(F.col("trip_id") % 59 == 0, F.lit(float("nan"))).otherwise(F.col("start_lon")))
+    own = joins.trips_with_vendor(T.trip_metrics(gaps, unit="raw"), B.vendors(spark, sf_dir))
+    unknown = own.groupBy("vendor").agg(F.count_if(F.col("distance").isNull()).alias("n_null"),
+                                        F.count_if(F.isnan("distance")).alias("n_nan"))
+    best = T.longest_trip_single(own).select("vendor", "trip_id", "distance")
+    return rounded(best.join(unknown, "vendor"), {"distance": 4})
+
+
 _DUCK_JOIN50 = _with(DUCK_TRIPS, DUCK_VENDORS) + """,
 small AS (SELECT * FROM vendors ORDER BY trip_id LIMIT 50)
 SELECT t.*, s.vendor FROM trips t JOIN small s USING (trip_id)"""
@@ -261,22 +285,19 @@ DUCK_TEXT_BASE = (DUCK_DOCS, DUCK_TOKENS, DUCK_COUNTS, DUCK_LEXICON, DUCK_MATCHE
 
 
 def _docs(spark, sf_dir):
-    # one Parquet row group = one scan task: spread the text over the task
-    # slots by doc_id (a no-op for inputs that already have enough splits)
-    return spread(B.complaints(spark, sf_dir, "lang"), "doc_id")
+    return B.complaints(spark, sf_dir, "lang")
 
 
 def _lexicon(spark, sf_dir):
     return LX.lexicon_topk(_docs(spark, sf_dir), LEXICON_K)
 
 
-def _term_counts(spark, sf_dir, materialize=False):
-    """(doc_id, word_idx, cnt): the class is attached by the callers that show it."""
-    return TC.document_term_counts(_docs(spark, sf_dir), LEXICON_K, materialize=materialize)
+def _counts(spark, sf_dir):
+    return TC.document_counts(_docs(spark, sf_dir), LEXICON_K)
 
 
-def _weights(spark, sf_dir, weighting):
-    return TC.document_weights(_docs(spark, sf_dir), LEXICON_K, weighting)
+def _features(spark, sf_dir, weighting="augmented"):
+    return TC.features_of(_counts(spark, sf_dir), LEXICON_K, weighting)
 
 
 @register("token_counts", _with(DUCK_DOCS, DUCK_TOKENS, DUCK_COUNTS) + "SELECT word, n FROM counts")
@@ -297,39 +318,39 @@ def q_matched_tokens(spark, sf_dir):
 
 @register("term_counts", _with(*DUCK_TEXT_BASE) + "SELECT * FROM tc")
 def q_term_counts(spark, sf_dir):
-    return TF.with_category(_term_counts(spark, sf_dir), _docs(spark, sf_dir))
+    return TF.long_counts(_counts(spark, sf_dir))
 
 
 @register("inverse_document_frequency", _with(*DUCK_TEXT_BASE, DUCK_IDF) + """
 SELECT word_idx, df, n_docs, round(idf, 6) AS idf FROM idf""")
 def q_inverse_document_frequency(spark, sf_dir):
-    return rounded(TF.inverse_document_frequency(_term_counts(spark, sf_dir, materialize=True)), {"idf": 6})
+    return rounded(TF.inverse_document_frequency(_counts(spark, sf_dir)), {"idf": 6})
 
 
 @register("tf_augmented", _with(*DUCK_TEXT_BASE, DUCK_TF["augmented"]) + """
 SELECT doc_id, category, word_idx, cnt, round(tf, 6) AS tf FROM tf""")
 def q_tf_augmented(spark, sf_dir):
-    return rounded(TF.with_category(TF.tf_augmented(_term_counts(spark, sf_dir)), _docs(spark, sf_dir)),
-                   {"tf": 6})
+    terms = TF.term_frequencies(_counts(spark, sf_dir), "augmented")
+    return rounded(terms.select("doc_id", "category", F.inline("terms")), {"tf": 6})
 
 
 @register("tf_relative", _with(*DUCK_TEXT_BASE, DUCK_TF["relative"]) + """
 SELECT doc_id, category, word_idx, cnt, round(tf, 6) AS tf FROM tf""")
 def q_tf_relative(spark, sf_dir):
-    return rounded(TF.with_category(TF.tf_relative(_term_counts(spark, sf_dir)), _docs(spark, sf_dir)),
-                   {"tf": 6})
+    terms = TF.term_frequencies(_counts(spark, sf_dir), "relative")
+    return rounded(terms.select("doc_id", "category", F.inline("terms")), {"tf": 6})
 
 
 @register("tfidf_augmented", _with(*DUCK_TEXT_BASE, DUCK_IDF, DUCK_TF["augmented"], DUCK_WEIGHTS) + """
 SELECT doc_id, category, word_idx, round(weight, 6) AS weight FROM weights""")
 def q_tfidf_augmented(spark, sf_dir):
-    return rounded(_weights(spark, sf_dir, "augmented"), {"weight": 6})
+    return rounded(TF.long_weights(_features(spark, sf_dir, "augmented")), {"weight": 6})
 
 
 @register("tfidf_relative", _with(*DUCK_TEXT_BASE, DUCK_IDF, DUCK_TF["relative"], DUCK_WEIGHTS) + """
 SELECT doc_id, category, word_idx, round(weight, 6) AS weight FROM weights""")
 def q_tfidf_relative(spark, sf_dir):
-    return rounded(_weights(spark, sf_dir, "relative"), {"weight": 6})
+    return rounded(TF.long_weights(_features(spark, sf_dir, "relative")), {"weight": 6})
 
 
 DUCK_FEATURE_TEXT = """
@@ -343,7 +364,7 @@ feats AS (
 @register("feature_arrays", _with(*DUCK_TEXT_BASE, DUCK_IDF, DUCK_TF["augmented"], DUCK_WEIGHTS,
                                   DUCK_FEATURE_TEXT) + "SELECT * FROM feats")
 def q_feature_arrays(spark, sf_dir):
-    return TF.features_as_text(TF.feature_arrays(_weights(spark, sf_dir, "augmented")))
+    return TF.features_as_text(_features(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -372,41 +393,38 @@ DUCK_SPLIT_BASE = (*DUCK_TEXT_BASE, DUCK_IDF, DUCK_TF["augmented"], DUCK_WEIGHTS
                    DUCK_LABELS, DUCK_SPLIT)
 
 
-def _features(spark, sf_dir):
-    return TC.document_features(_docs(spark, sf_dir), LEXICON_K, "augmented")
-
-
 @register("frequent_classes", _with(*DUCK_CLASS_BASE) + f"""
 SELECT category, n FROM ccount WHERE n > {MIN_CLASS_COUNT}""")
 def q_frequent_classes(spark, sf_dir):
-    return C.frequent_classes(_features(spark, sf_dir), MIN_CLASS_COUNT)
+    return C.frequent_classes(_counts(spark, sf_dir), MIN_CLASS_COUNT)
 
 
 @register("frequent_class_docs", _with(*DUCK_CLASS_BASE) + f"""
 SELECT doc_id, category FROM fdocs
 WHERE category IN (SELECT category FROM ccount WHERE n > {MIN_CLASS_COUNT})""")
 def q_frequent_class_docs(spark, sf_dir):
-    return C.frequent_class_docs(_features(spark, sf_dir), MIN_CLASS_COUNT).select("doc_id", "category")
+    return C.frequent_class_docs(_counts(spark, sf_dir), MIN_CLASS_COUNT).select("doc_id", "category")
 
 
 @register("class_distribution", _with(*DUCK_CLASS_BASE) + "SELECT category, label, n FROM labels")
 def q_class_distribution(spark, sf_dir):
-    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
-    return C.class_counts(lf.table, ["category", "label"])
+    return C.label_table(_counts(spark, sf_dir))
 
 
 @register("label_index", _with(*DUCK_CLASS_BASE) + """
 SELECT f.doc_id, f.category, l.label FROM fdocs f JOIN labels l USING (category)""")
 def q_label_index(spark, sf_dir):
-    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
-    return lf.table.select("doc_id", "category", "label")
+    return C.with_labels(_counts(spark, sf_dir)).select("doc_id", "category", "label")
+
+
+def _labelled(spark, sf_dir):
+    return C.with_labels(_counts(spark, sf_dir))
 
 
 @register("holdout_split", _with(*DUCK_SPLIT_BASE) + """
 SELECT doc_id, category, label, CASE WHEN is_train THEN 'train' ELSE 'test' END AS split FROM lf""")
 def q_holdout_split(spark, sf_dir):
-    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
-    flagged = C.split_flag(lf.table, TRAIN_FRACTION, SPLIT_SEED)
+    flagged = C.split_flag(_labelled(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
     return flagged.select("doc_id", "category", "label",
                           F.when(F.col("is_train"), "train").otherwise("test").alias("split"))
 
@@ -416,31 +434,56 @@ SELECT category, label, indices, weights FROM lf
 EXCEPT
 SELECT category, label, indices, weights FROM lf WHERE is_train""")
 def q_except_distinct(spark, sf_dir):
-    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
-    rows = TF.features_as_text(lf.table).select("category", "label", "indices", "weights", "doc_id")
+    rows = TF.features_as_text(TC.labelled_features(_counts(spark, sf_dir), LEXICON_K))
     train, _ = C.holdout_split(rows, TRAIN_FRACTION, SPLIT_SEED)
     cols = ["category", "label", "indices", "weights"]
     return C.except_distinct(rows.select(*cols), train.select(*cols))
 
 
-@register("sample_by_label")
+@register("sample_by_label", _with(*DUCK_CLASS_BASE) + "SELECT label, n, TRUE AS share_as_asked FROM labels")
 def q_sample_by_label(spark, sf_dir):
-    """Random stratified sample (DataFrame.sampleBy) of the checkpointed
-    labelled table: rows-only check (the draw is Spark's own RNG)."""
-    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
-    labels = [float(i) for i in range(len(lf.labels))]
-    return C.sample_by_label(lf.table, TRAIN_FRACTION, SPLIT_SEED, labels=labels).select(
-        "doc_id", "category", "label")
+    """Random stratified sample (DataFrame.sampleBy) of the written, labelled
+    table: the draw is Spark's own, so each class is checked for its share of
+    rows (within five standard deviations of the fraction asked for)."""
+    table = staged(_labelled(spark, sf_dir).select("doc_id", "label"), "labelled")
+    classes = C.class_counts(table, "label")
+    labels = [r.label for r in classes.collect()]
+    drawn = C.class_counts(C.sample_by_label(table, TRAIN_FRACTION, SPLIT_SEED, labels=labels), "label")
+    spread = 5 * F.sqrt(F.col("n") * TRAIN_FRACTION * (1 - TRAIN_FRACTION))
+    off = F.abs(F.coalesce("drawn", F.lit(0)) - F.col("n") * TRAIN_FRACTION)
+    return classes.join(drawn.withColumnRenamed("n", "drawn"), "label", "left").select(
+        "label", "n", (off <= spread).alias("share_as_asked"))
+
+
+@register("mlp_predictions", _with(*DUCK_SPLIT_BASE) + """
+SELECT doc_id, category, label, TRUE AS known_label FROM lf WHERE NOT is_train""")
+def q_mlp_predictions(spark, sf_dir):
+    """The test set; each prediction is one of the fitted labels."""
+    run = TC.classify_documents(_docs(spark, sf_dir), LEXICON_K, cache_train=False)
+    known = F.col("prediction").isin([float(i) for i in range(len(run.labels))])
+    return run.predictions.select("doc_id", "category", "label", known.alias("known_label"))
 
 
-@register("mlp_predictions")
-def q_mlp_predictions(spark, sf_dir):
-    return TC.classify_documents(_docs(spark, sf_dir), LEXICON_K).predictions
+def _accuracy(spark, sf_dir, **options):
+    """Sizes of the fit, and whether it beats the largest class. Evaluated here;
+    the fit's intermediates are gone when this returns."""
+    run = TC.classify_documents(_docs(spark, sf_dir), LEXICON_K, **options)
+    row = TC.accuracy_report(run).select("n_train", "n_test", "n_classes",
+                                         (F.col("accuracy") > F.col("majority")).alias("beats_largest_class"))
+    done = spark.createDataFrame(row.collect(), row.schema)  # one row
+    run.release()
+    return done
 
 
-@register("mlp_accuracy")
+DUCK_ACCURACY = """
+SELECT count(*) FILTER (WHERE is_train) AS n_train, count(*) FILTER (WHERE NOT is_train) AS n_test,
+       CAST(count(DISTINCT category) AS INTEGER) AS n_classes, TRUE AS beats_largest_class
+FROM lf"""
+
+
+@register("mlp_accuracy", _with(*DUCK_SPLIT_BASE) + DUCK_ACCURACY)
 def q_mlp_accuracy(spark, sf_dir):
-    return TC.accuracy_report(TC.classify_documents(_docs(spark, sf_dir), LEXICON_K))
+    return _accuracy(spark, sf_dir)
 
 
 # ---------------------------------------------------------------------------
@@ -449,12 +492,12 @@ def q_mlp_accuracy(spark, sf_dir):
 
 
 def _staged_trip_csv(spark, sf_dir) -> str:
-    path = staging_path(spark, "trips-csv")
+    path = tracked_path(spark, "trips-csv")
     return FS.write_csv(B.trips_as_text(B.trips(spark, sf_dir)), path)
 
 
 def _staged_complaint_lines(spark, sf_dir) -> str:
-    path = staging_path(spark, "complaint-lines")
+    path = tracked_path(spark, "complaint-lines")
     return FS.write_text(B.complaint_lines(spark, sf_dir, "lang"), path)
 
 
@@ -482,10 +525,7 @@ def q_csv_schema_scan(spark, sf_dir):
 def q_csv_infer_scan(spark, sf_dir):
     """The reference's Q1 over a headerless CSV with inferred types."""
     raw = FS.name_positional(FS.read_csv_inferred(spark, _staged_trip_csv(spark, sf_dir)), TRIP_COLUMNS)
-    typed = raw.select("trip_id", F.col("start_ts").cast("timestamp_ntz").alias("start_ts"),
-                       F.col("end_ts").cast("timestamp_ntz").alias("end_ts"),
-                       *TRIP_COLUMNS[3:])
-    return rounded(T.hourly_profile(typed), {"longitude": 6, "latitude": 6})
+    return rounded(T.hourly_profile(raw), {"longitude": 6, "latitude": 6})
 
 
 @register("parse_timestamps", _with(DUCK_TRIPS, DUCK_TEXT_TRIPS) + """
@@ -499,7 +539,7 @@ def q_parse_timestamps(spark, sf_dir):
 def q_parquet_roundtrip(spark, sf_dir):
     """Trips written to Parquet and read back; the validity filter is pushed
     into the scan (PushedFilters) and only needed columns are read."""
-    path = FS.write_parquet(B.trips(spark, sf_dir), staging_path(spark, "trips-parquet"))
+    path = FS.write_parquet(B.trips(spark, sf_dir), tracked_path(spark, "trips-parquet"))
     return T.valid_trips(FS.read_parquet(spark, path))
 
 
@@ -515,17 +555,17 @@ def q_valid_records(spark, sf_dir):
     return R.valid_records(FS.read_lines(spark, _staged_complaint_lines(spark, sf_dir)))
 
 
-@register("mlp_accuracy_relative")
+@register("mlp_accuracy_relative", _with(*DUCK_SPLIT_BASE) + DUCK_ACCURACY)
 def q_mlp_accuracy_relative(spark, sf_dir):
     """Second ML variant: relative term frequency."""
-    return TC.accuracy_report(TC.classify_documents(_docs(spark, sf_dir), LEXICON_K, weighting="relative"))
+    return _accuracy(spark, sf_dir, weighting="relative")
 
 
-@register("mlp_accuracy_frequent_classes")
+@register("mlp_accuracy_frequent_classes", _with(*DUCK_SPLIT_BASE) + DUCK_ACCURACY + f"""
+WHERE category IN (SELECT category FROM ccount WHERE n > {MIN_CLASS_COUNT})""")
 def q_mlp_accuracy_frequent_classes(spark, sf_dir):
     """Third ML variant: classes with more than MIN_CLASS_COUNT documents only."""
-    return TC.accuracy_report(TC.classify_documents(_docs(spark, sf_dir), LEXICON_K,
-                                                    min_class_count=MIN_CLASS_COUNT))
+    return _accuracy(spark, sf_dir, min_class_count=MIN_CLASS_COUNT)
 
 
 # ---------------------------------------------------------------------------
@@ -540,8 +580,8 @@ def q_hourly_profile_incremental(spark, sf_dir):
     """Trips arrive as several files; the streaming aggregation consumes them
     one micro-batch per file and publishes the complete profile."""
     source = FS.write_parquet(B.trips(spark, sf_dir).repartition(STREAM_FILES),
-                              staging_path(spark, "trips-stream-source"))
-    out = HS.run_hourly_profile_stream(spark, source, staging_path(spark, "hourly-stream-out"))
+                              tracked_path(spark, "trips-stream-source"))
+    out = HS.run_hourly_profile_stream(spark, source, tracked_path(spark, "hourly-stream-out"))
     return rounded(HS.read_hourly_profile(spark, out), {"longitude": 6, "latitude": 6})
 
 
@@ -550,7 +590,6 @@ SELECT category, label, CASE WHEN is_train THEN 'train' ELSE 'test' END AS split
 FROM lf GROUP BY 1, 2, 3""")
 def q_split_class_distribution(spark, sf_dir):
     """Class counts of the training and test sets (the reference prints both)."""
-    lf = TC.labelled_features(_docs(spark, sf_dir), LEXICON_K)
-    flagged = C.split_flag(lf.table, TRAIN_FRACTION, SPLIT_SEED).select(
+    flagged = C.split_flag(_labelled(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED).select(
         "category", "label", F.when(F.col("is_train"), "train").otherwise("test").alias("split"))
     return C.class_counts(flagged, ["category", "label", "split"])

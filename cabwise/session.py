@@ -2,11 +2,8 @@
 
 Two rules drive this module:
 
-* Static join planning must not broadcast on *estimated* sizes. The static
-  threshold is switched off; AQE re-plans a join as broadcast only from the
-  measured size of a materialised shuffle stage. Operators broadcast a small
-  side explicitly only through ``plans/sizing`` once its row count is proven
-  (a LIMIT or top-k in the plan, or a bounded count).
+* Join strategies are chosen per query (hints, ``plans/sizing``), never by a
+  session-wide threshold, so that a plan is the same in every session.
 * Anything written to disk (round trips, checkpoints) goes below the shared
   folder named by ``spark.checkpoint.dir``. Only a local session that has none
   gets a private temporary folder.
@@ -25,10 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # static planner: never broadcast on an estimate ...
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    # ... AQE: broadcast a side whose materialised size is measured small
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -38,7 +31,6 @@ DEFAULT_CONF = {
 
 
 PARTITION_BYTES = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def scale_settings(input_bytes: int, task_slots: int, partition_bytes: int = PARTITION_BYTES,
@@ -50,19 +42,16 @@ def scale_settings(input_bytes: int, task_slots: int, partition_bytes: int = PAR
     buffers, large enough to keep per-task overhead low. The shuffled volume
     is a fraction of the input (pruned columns, map-side partial aggregates),
     ``shuffle_fraction``; the shuffle partition count covers it, is at least
-    three waves of tasks, is rounded up to whole waves and is capped (the
-    number of shuffle blocks grows as map tasks × reduce partitions). AQE
-    coalesces partitions that come out small and splits skewed ones.
+    three waves of tasks and is rounded up to whole waves. AQE coalesces
+    partitions that come out small and splits skewed ones.
     """
     slots = max(int(task_slots), 1)
     by_size = -(-int(max(input_bytes, 1) * shuffle_fraction) // partition_bytes)
     waves = max(3, -(-by_size // slots))
-    cap_waves = max(MAX_SHUFFLE_PARTITIONS // slots, 3)
-    partitions = min(waves, cap_waves) * slots
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.shuffle.partitions": str(waves * slots),
     }
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 # --- CSV -------------------------------------------------------------------
@@ -23,11 +23,14 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Positional columns ``_c0..``, types inferred by an extra pass over the
     data (the cost the reference pays on its SQL-on-CSV path).
 
-    Inferred timestamps are session-zone timestamps: a wall clock inside a
-    daylight-saving gap of the session zone is shifted, exactly as on the
-    reference's SQL path. ``read_csv_schema`` + ``trips.parse_trips`` keeps
-    wall clocks as TIMESTAMP_NTZ and is the zone-independent choice."""
-    return spark.read.csv(path, header=False, inferSchema=True)
+    Columns inferred as timestamps are read again as text and parsed to
+    TIMESTAMP_NTZ: a wall clock inside a daylight-saving gap of the session
+    zone keeps its hour."""
+    inferred = spark.read.csv(path, header=False, inferSchema=True).schema
+    times = [f.name for f in inferred if f.dataType.typeName() in ("timestamp", "timestamp_ntz")]
+    declared = StructType([StructField(f.name, StringType() if f.name in times else f.dataType) for f in inferred])
+    rows = spark.read.schema(declared).csv(path, header=False)
+    return rows.select(*[F.col(c).try_cast("timestamp_ntz").alias(c) if c in times else F.col(c) for c in rows.columns])
 
 
 def read_csv_schema(spark: SparkSession, path: str, schema: StructType,

@@ -42,11 +42,13 @@ def valid_records(lines: DataFrame, col: str = "value") -> DataFrame:
 def complaints_from_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Raw lines → (doc_id, date, category, text) of valid records.
 
-    ``doc_id`` is taken right after the scan, before any shuffle: it depends
-    only on the file split and the row position, so a retried task assigns
-    the same ids (unlike an index taken after a shuffle).
+    ``doc_id`` is a hash of the line and of its number among equal lines, so
+    it doesn't depend on the file split or the cluster. Equal lines are counted
+    by partial aggregation (a line that makes up a third of the input is one
+    row a task) and numbered by expanding the count.
     """
-    with_id = lines.select(F.monotonically_increasing_id().alias("doc_id"), F.col(col).alias("value"))
-    fields = line_fields(with_id, "value", keep=("doc_id",))
-    return (fields.where(record_is_valid())
-            .select("doc_id", "date", "category", F.lower("text").alias("text")))
+    fields = line_fields(lines, col).where(record_is_valid())
+    numbered = (fields.groupBy("value", "date", "category", F.lower("text").alias("text"))
+                .agg(F.count(F.lit(1)).alias("copies"))
+                .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))
+    return numbered.select(F.xxhash64("value", "copy").alias("doc_id"), "date", "category", "text")

@@ -2,18 +2,17 @@
 
 New trip files land in a directory; the same ``hourly_profile`` logic runs
 as a streaming aggregation. Its state is one (sum, count) pair per hour of
-day — 24 keys whatever the input size — kept in the state store under the
+day, 24 keys whatever the input size, kept in the state store under the
 checkpoint location in the shared folder, so a restarted query resumes
-where it stopped. The complete result (24 rows at most) goes to the
-built-in memory sink; once the ``availableNow`` run has consumed every file,
-it is published to ``output_path``. A run that finds no new file leaves the
-previous publication in place.
+where it stopped. Every micro-batch publishes the complete result (24 rows at
+most) from ``foreachBatch``, that is before its offsets are committed: after
+a crash between the two the batch runs again and publishes the same rows.
+Each publication goes to a folder named after its batch, and readers take the
+latest finished one, so a half-written folder is never read.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,31 +29,34 @@ def hourly_aggregate(trips: DataFrame) -> DataFrame:
 
 
 def run_hourly_profile_stream(spark: SparkSession, source_dir: str, output_path: str,
-                              checkpoint: str | None = None, max_files_per_trigger: int = 1,
+                              checkpoint: str | None = None, max_files_per_trigger: int | None = None,
                               schema=None) -> str:
     """Process every file present in ``source_dir`` (``availableNow``) and
-    return ``output_path``; rerunning later picks up only new files."""
+    return ``output_path``; rerunning later picks up only new files.
+
+    By default one micro-batch takes all files; ``max_files_per_trigger``
+    bounds it."""
     if schema is None:
         schema = spark.read.parquet(source_dir).schema
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source_dir))
-    name = "hourly_profile_" + uuid.uuid4().hex
-    query = (hourly_aggregate(stream).writeStream
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def publish(result: DataFrame, batch_id: int) -> None:
+        result.write.mode("overwrite").parquet(f"{output_path}/batch={batch_id:012d}")
+
+    query = (hourly_aggregate(reader.parquet(source_dir)).writeStream
              .outputMode("complete")
-             .format("memory")
-             .queryName(name)
+             .foreachBatch(publish)
              .option("checkpointLocation", checkpoint or staging_path(spark, "hourly-stream-ckpt"))
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    if any(p.get("numInputRows", 0) > 0 for p in query.recentProgress):
-        spark.table(name).write.mode("overwrite").parquet(output_path)
-    spark.catalog.dropTempView(name)
     return output_path
 
 
 def read_hourly_profile(spark: SparkSession, output_path: str) -> DataFrame:
-    return spark.read.parquet(output_path).orderBy("hour")
+    """The profile that the latest micro-batch has published."""
+    published = spark.read.parquet(output_path)
+    return (published.where(F.col("batch") == published.agg(F.max("batch")).scalar())
+            .drop("batch").orderBy("hour"))

@@ -1,4 +1,5 @@
 """MLP classification end to end on the smallest tables."""
+import pytest
 from pyspark.sql import functions as F
 
 from cabwise.operators import classify as C, textclass as TC
@@ -14,17 +15,32 @@ def test_classification_beats_majority_and_is_repeatable(spark):
     majority = max(counts) / sum(counts)
     assert acc > majority
     assert len(run.labels) == 4
-    # same persisted split, same seed → same model output
+    # same rows, same seed: same model output
     model2 = C.mlp_fit(run.train, 150, len(run.labels), max_iter=40)
     p1 = {r.doc_id: r.prediction for r in run.predictions.collect()}
     p2 = {r.doc_id: r.prediction for r in model2.transform(run.test).collect()}
     assert p1 == p2
     rep = TC.accuracy_report(run).first()
-    assert rep.n_train + rep.n_test == docs.join(run.train.select("doc_id"), "doc_id", "left_semi").count() + rep.n_test
-    assert abs(rep.accuracy - acc) < 1e-12
+    n_docs = TC.document_counts(docs).count()
+    assert (rep.n_train, rep.n_test) == (run.train.count(), len(p1)) and rep.n_train + rep.n_test == n_docs
+    assert abs(rep.accuracy - acc) < 1e-12 and abs(rep.majority - majority) < 1e-12
+    run.release()
+    assert not run.train.storageLevel.useMemory and spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
 def test_class_filter_variant(spark):
     docs = B.complaints(spark, SF_SMOKE, "lang")
-    lf = TC.labelled_features(docs, min_class_count=20)
-    assert set(lf.labels) == {"en", "de", "fr"}         # es has 13 featured documents
+    lf = TC.labelled_features(TC.document_counts(docs), min_class_count=20)
+    got = {r.category: r.label for r in lf.select("category", "label").distinct().collect()}
+    assert set(got) == {"en", "de", "fr"} and sorted(got.values()) == [0.0, 1.0, 2.0]   # es has 13 featured documents
+
+
+def test_sampled_split_in_the_pipeline(spark):
+    docs = B.complaints(spark, SF_SMOKE, "lang")
+    run = TC.classify_documents(docs, max_iter=20, split="sample", cache_train=False)
+    train, test = ({r.doc_id for r in x.select("doc_id").collect()} for x in (run.train, run.test))
+    assert not train & test and train | test == {r.doc_id for r in TC.document_counts(docs).select("doc_id").collect()}
+    assert 0.55 < len(train) / len(train | test) < 0.92
+    run.release()
+    with pytest.raises(ValueError):
+        TC.split_vectors(docs, 150, "augmented", None, 0.75, 1, split="other")

@@ -1,5 +1,6 @@
 """Source helpers: field splitting, stable ids for raw lines, write modes."""
 import pytest
+from pyspark.errors import AnalysisException
 
 from cabwise.session import staging_path
 from cabwise.sources import files as FS, records as R
@@ -20,14 +21,40 @@ def test_complaint_ids_are_stable(spark):
     from pyspark.sql import functions as F
     path = FS.write_text(B.complaint_lines(spark, SF_SMOKE).select(
         F.regexp_replace("value", "\n", " ").alias("value")), staging_path(spark, "lines"))
-    first = {(r.doc_id, r.text) for r in R.complaints_from_lines(FS.read_lines(spark, path)).collect()}
-    again = {(r.doc_id, r.text) for r in R.complaints_from_lines(FS.read_lines(spark, path)).collect()}
-    assert first == again and len({i for i, _ in first}) == len(first)
+    def ids():
+        return sorted((r.doc_id, r.text) for r in R.complaints_from_lines(FS.read_lines(spark, path)).collect())
+
+    first = ids()
+    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")     # other splits, other partitions
+    try:
+        again = ids()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+    assert first and first == again and len({i for i, _ in first}) == len(first)
+
+
+def test_equal_lines_are_numbered(spark):
+    lines = ["2015-01-01,a,same"] * 5 + ["2015-01-01,a,other"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string").repartition(3)
+    got = [r.doc_id for r in R.complaints_from_lines(df).collect()]
+    assert len(got) == 6 and len(set(got)) == 6
+    assert sorted(got) == sorted(r.doc_id for r in R.complaints_from_lines(df.coalesce(1)).collect())
+
+
+def test_staged_tables_are_removed(spark):
+    import os
+    from cabwise.plans.lineage import release_staged, staged
+    from cabwise.session import local_path
+    df = staged(spark.range(5), "removed")
+    folder = local_path(df.inputFiles()[0].replace("file://", "")).rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    assert release_staged(spark) >= 1 and not os.path.exists(folder) and release_staged(spark) == 0
 
 
 def test_writers_refuse_to_overwrite_by_default(spark):
     path = FS.write_parquet(spark.range(3), staging_path(spark, "mode"))
-    with pytest.raises(Exception):
+    with pytest.raises(AnalysisException):
         FS.write_parquet(spark.range(3), path)
     FS.write_parquet(spark.range(5), path, mode="overwrite")
     assert spark.read.parquet(path).count() == 5

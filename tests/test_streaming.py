@@ -30,3 +30,28 @@ def test_stream_resumes_and_matches_batch(spark):
     HS.run_hourly_profile_stream(spark, source, out, ckpt, schema=schema)
     full = _rounded(HS.read_hourly_profile(spark, out).collect())
     assert full == _rounded(T.hourly_profile(trips).collect())
+
+
+def test_a_crash_before_the_commit_loses_nothing(spark, monkeypatch):
+    """The first run dies while it publishes; the next one finds no new file, and publishes all the same."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    from pyspark.sql.readwriter import DataFrameWriter
+    source, out, ckpt = (staging_path(spark, f"crash-{x}") for x in ("src", "out", "ckpt"))
+    trips = B.trips(spark, SF_SMOKE)
+    trips.write.parquet(source)
+    write = DataFrameWriter.parquet
+
+    def broken(self, path, *args, **kwargs):
+        if path.startswith(out):
+            raise OSError("the store is away")
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", broken)
+    with pytest.raises(StreamingQueryException):
+        HS.run_hourly_profile_stream(spark, source, out, ckpt)
+    monkeypatch.undo()
+    HS.run_hourly_profile_stream(spark, source, out, ckpt)
+    assert _rounded(HS.read_hourly_profile(spark, out).collect()) == _rounded(T.hourly_profile(trips).collect())
+    HS.run_hourly_profile_stream(spark, source, out, ckpt)     # nothing new: the publication stays
+    assert HS.read_hourly_profile(spark, out).count() == 24

@@ -83,38 +83,55 @@ def _python_tfidf(spark, weighting):
     return out
 
 
+def _counts(docs, k=150):
+    return LX.lexicon_counts(docs, LX.lexicon_words(LX.lexicon_topk(docs, k)))
+
+
+def _weights(counts, k=150, weighting="augmented"):
+    return TF.feature_arrays(counts, TF.inverse_document_frequency(counts), k, weighting)
+
+
 @pytest.mark.parametrize("weighting", ["augmented", "relative"])
 def test_tfidf_matches_python(spark, weighting):
-    docs = _docs(spark)
-    tc = TF.term_counts(LX.matched_tokens(docs, LX.lexicon_topk(docs, k=150)))
-    got = {(r.doc_id, r.word_idx): r.weight
-           for r in TF.tfidf(tc, TF.inverse_document_frequency(tc), weighting).collect()}
+    counts = _counts(_docs(spark))
+    got = {(r.doc_id, r.word_idx): r.weight for r in TF.long_weights(_weights(counts, weighting=weighting)).collect()}
     exp = _python_tfidf(spark, weighting)
     assert set(got) == set(exp)
     for k, v in exp.items():
         assert got[k] == pytest.approx(v, abs=1e-12)
 
 
+def test_counts_in_the_row_equal_exploded_tokens(spark):
+    docs = _docs(spark)
+    for clean in (False, True):
+        lex = LX.lexicon_topk(docs, k=150)
+        long = LX.matched_tokens(docs, lex, clean_docs=clean).groupBy("doc_id", "category", "word_idx").agg(F.count(F.lit(1)).alias("cnt"))
+        rowwise = TF.long_counts(LX.lexicon_counts(docs, LX.lexicon_words(lex), clean_docs=clean))
+        assert sorted(map(tuple, long.collect())) == sorted(map(tuple, rowwise.collect()))
+    nulls = spark.createDataFrame([(1, "a", None), (2, "a", "")], "doc_id long, category string, text string")
+    assert LX.lexicon_counts(nulls, ["cat"]).count() == 0 and LX.lexicon_counts(docs, []).count() == 0
+
+
 def test_word_in_every_document_has_zero_idf(spark):
     rows = [(1, "a", "cat dog"), (2, "a", "cat"), (3, "b", "cat cat")]
     docs = spark.createDataFrame(rows, "doc_id long, category string, text string")
-    tc = TF.term_counts(LX.matched_tokens(docs, LX.lexicon_topk(docs, k=10)))
-    idf = {r.word_idx: r for r in TF.inverse_document_frequency(tc).collect()}
+    idf = {r.word_idx: r for r in TF.inverse_document_frequency(_counts(docs, 10)).collect()}
     lex = {r.word: r.word_idx for r in LX.lexicon_topk(docs, k=10).collect()}
     assert idf[lex["cat"]].idf == 0.0
     assert idf[lex["dog"]].idf == pytest.approx(math.log(3))
     assert idf[lex["cat"]].n_docs == 3
 
 
-def test_feature_arrays_sorted_and_vectorised(spark):
-    docs = _docs(spark)
-    tc = TF.term_counts(LX.matched_tokens(docs, LX.lexicon_topk(docs, k=150)))
-    arr = TF.feature_arrays(TF.tfidf(tc, TF.inverse_document_frequency(tc)))
-    for r in arr.collect():
-        idx = [p.word_idx for p in r.features]
-        assert idx == sorted(idx)
-    vec = TF.feature_vectors(arr, 150).collect()
-    assert all(len(r.features) == 150 for r in vec)
+def test_sparse_vectors(spark):
+    from cabwise.plans.lineage import staged
+    arr = _weights(_counts(_docs(spark)))
+    pairs = {r.doc_id: [(p.word_idx, p.weight) for p in r.features] for r in arr.collect()}
+    assert all(x == sorted(x) for x in pairs.values())
+    table = TF.sparse_layout(arr, 150)
+    vectors = {r.doc_id: r.features for r in staged(table, "vectors", TF.vector_schema(table)).collect()}
+    for doc, v in vectors.items():
+        assert type(v).__name__ == "SparseVector" and v.size == 150
+        assert list(zip(v.indices.tolist(), v.values.tolist())) == pairs[doc]
 
 
 def test_valid_records_rule(spark):
@@ -138,6 +155,8 @@ def test_label_index_frequency_then_alphabetical(spark):
     df = spark.createDataFrame(rows, "doc_id long, category string")
     out, model = C.index_labels(df)
     assert list(model.labels) == ["z", "a", "b", "c"]
+    lazy = {r.category: r.label for r in C.with_labels(df).collect()}
+    assert lazy == {"z": 0.0, "a": 1.0, "b": 2.0, "c": 3.0}
     assert {r.category: r.label for r in out.collect()} == {"z": 0.0, "a": 1.0, "b": 2.0, "c": 3.0}
 
 
@@ -164,12 +183,20 @@ def test_duplicates_kept_by_split_removed_by_except(spark):
     assert left.count() == 2                      # EXCEPT DISTINCT keeps one of them
 
 
-def test_sample_by_label_repeatable_on_checkpoint(spark):
-    from cabwise.plans.lineage import checkpointed
-    df = checkpointed(spark.range(0, 3000).select(
-        F.col("id").alias("doc_id"), (F.col("id") % 3).cast("double").alias("label")))
-    a = {r.doc_id for r in C.sample_by_label(df, {0.0: 0.75, 1.0: 0.75}, seed=1234).collect()}
-    b = {r.doc_id for r in C.sample_by_label(df, {0.0: 0.75, 1.0: 0.75}, seed=1234).collect()}
-    assert a == b
+def test_except_distinct_is_null_safe(spark):
+    all_rows = spark.createDataFrame([(1, None), (1, None), (2, "x"), (None, "y"), (3, "z")], "a int, b string")
+    train = spark.createDataFrame([(1, None), (3, "z"), (9, "q")], "a int, b string")
+    assert sorted(map(str, map(tuple, C.except_distinct(all_rows, train).collect()))) == sorted(map(str, [(2, "x"), (None, "y")]))
+
+
+def test_sample_by_label_repeatable_on_a_written_table(spark):
+    from cabwise.plans.lineage import staged
+    df = staged(spark.range(0, 3000).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 3).cast("double").alias("label")), "sample")
+    fractions = {0.0: 0.75, 1.0: 0.75}
+    a = {r.doc_id for r in C.sample_by_label(df, fractions, seed=1234).collect()}
+    train, test = C.sampled_split(df, fractions, seed=1234)
+    assert a == {r.doc_id for r in train.collect()}
+    assert {r.doc_id for r in test.collect()} == set(range(3000)) - a
     assert all(i % 3 != 2 for i in a)                     # label 2.0 not in the map
     assert 0.7 < len([i for i in a if i % 3 == 0]) / 1000 < 0.8

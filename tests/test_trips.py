@@ -1,11 +1,11 @@
 """Trip operators on micro-fixtures (boundary rows) and golden rows."""
 import datetime as dt
+import math
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from cabwise.functions.geo import haversine_py
 from cabwise.operators import joins, trips as T
 from cabwise.schemas import TRIPS, TRIPS_CSV
 from cabwise.session import staging_path
@@ -73,15 +73,21 @@ def _golden_csv(spark, extra_lines=()):
     return T.parse_trips(FS.read_csv_schema(spark, path, TRIPS_CSV))
 
 
+def chord_km(lon1, lat1, lon2, lat2):
+    """Great-circle distance from the chord between two points on the sphere."""
+    a, b = ([math.cos(y) * math.cos(x), math.cos(y) * math.sin(x), math.sin(y)] for x, y in ((lon1, lat1), (lon2, lat2)))
+    return 2 * 6371.0 * math.asin(math.dist(a, b) / 2)
+
+
 def test_golden_rows_metrics(spark):
     trips = _golden_csv(spark)
     assert trips.schema["start_ts"].dataType.typeName() == "timestamp_ntz"
     rows = {r.trip_id: r for r in T.trip_metrics(T.valid_trips(trips), unit="raw").collect()}
     assert set(rows) == set(GOLDEN_VENDORS)
+    # published distances of these rows, degrees taken as radians
     for line in GOLDEN:
         f = line.split(",")
-        exp = haversine_py(*map(float, f[3:7]), unit="raw")
-        assert rows[f[0]].distance == pytest.approx(exp, rel=1e-12)
+        assert rows[f[0]].distance == pytest.approx(chord_km(*map(float, f[3:7])), rel=1e-9)
     assert rows["274878258448"].duration == pytest.approx((9 * 60 + 46) / 60)
     assert rows["274878258451"].duration == pytest.approx((37 * 60 + 3) / 60)
     hours = {r.hour for r in T.hourly_profile(trips).collect()}
@@ -162,10 +168,46 @@ def test_broadcast_equals_sort_merge(spark):
     assert a == b and len(a) == 50
 
 
-def test_haversine_deg_is_geographic():
-    # New York City Hall → Empire State Building, about 3.4 km
-    d = haversine_py(-74.0060, 40.7128, -73.9857, 40.7484, unit="deg")
-    assert 3.5 < d < 4.5
+def _distances(spark, rows, unit="deg"):
+    from cabwise.functions.geo import haversine_km
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a double, b double, c double, d double")
+    return [r.km for r in df.orderBy("i").select(haversine_km("a", "b", "c", "d", unit=unit).alias("km")).collect()]
+
+
+def test_haversine_known_distances(spark):
+    quarter = math.pi * 6371.0 / 2
+    got = _distances(spark, [(0.0, 0.0, 90.0, 0.0), (0.0, 0.0, 0.0, 90.0), (0.0, 0.0, 180.0, 0.0), (10.0, 50.0, -170.0, -50.0),
+                             (5.0, 5.0, 5.0, 5.0), (-74.0060, 40.7128, -73.9857, 40.7484)])
+    assert got[:5] == pytest.approx([quarter, quarter, 2 * quarter, 2 * quarter, 0.0], abs=1e-6)
+    assert 3.5 < got[5] < 4.5                       # New York City Hall to the Empire State Building
+
+
+def test_haversine_unknown_positions(spark):
+    nan = float("nan")
+    for unit in ("deg", "raw"):
+        got = _distances(spark, [(None, 1.0, 2.0, 3.0), (1.0, 1.0, 2.0, None), (nan, 1.0, 2.0, 3.0), (1.0, 1.0, 2.0, nan)], unit)
+        assert got[:2] == [None, None] and all(math.isnan(x) for x in got[2:])
+
+
+def test_unknown_distance_is_never_the_longest(spark):
+    rows = [("t1", None, 1.0, "1"), ("t2", float("nan"), 1.0, "1"), ("t3", 11.9, 1.0, "1")]
+    df = spark.createDataFrame(rows, "trip_id string, distance double, duration double, vendor string")
+    assert [r.distance for r in T.longest_trip_per_vendor(df).collect()] == [11.9]
+    assert [r.trip_id for r in T.longest_trip_single(df).collect()] == ["t3"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Europe/Athens"])
+def test_inferred_csv_keeps_wall_clocks(spark, zone):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        path = FS.write_text(spark.createDataFrame([("1,2015-03-29 03:30:00,x",), ("2,2015-03-08 02:30:00,y",)], "value string"),
+                             staging_path(spark, "gaps"))
+        got = FS.read_csv_inferred(spark, path)
+        assert dict(got.dtypes) == {"_c0": "int", "_c1": "timestamp_ntz", "_c2": "string"}
+        assert {r._c0: (r._c1.hour, r._c1.minute) for r in got.collect()} == {1: (3, 30), 2: (2, 30)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
 
 
 def test_csv_parquet_and_sql_forms_agree(spark):
