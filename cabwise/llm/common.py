@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabwise.session import staging_path
+from cabwise.plans.lineage import tracked_path
 
 SPACES = " \t\n\x0b\x0c\r"
 #: Bytes of text that a task works on at once; a longer single text is one slice.
@@ -35,8 +35,9 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation.
+    ``cabwise.plans.lineage.release_staged`` deletes what is written here.
     """
-    path = staging_path(df.sparkSession, name)
+    path = tracked_path(df.sparkSession, name)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -39,7 +39,7 @@ from cabwise.llm.common import arrow_map, column, documents, mixed, slices, stag
 from cabwise.llm.packing import END_ID, VOCABULARY, with_ends
 from cabwise.llm.tokens import text_ids, vocabulary_path
 from cabwise.llm.warc import open_store
-from cabwise.session import staging_path
+from cabwise.plans.lineage import tracked_path
 
 SEQUENCE = 2048
 PER_SHARD = 2048
@@ -217,7 +217,7 @@ def materialise(docs: DataFrame, key: int = KEY, size: int = SEQUENCE, per_shard
                 **options) -> tuple[TokenShards, DataFrame]:
     """All documents as shards in training order, and (slot, n_tokens, doc_ids)."""
     spark = docs.sparkSession
-    folder = staging_path(spark, "token-shards")
+    folder = tracked_path(spark, "token-shards")
     store, path = open_store(folder)
     store.create_dir(path, recursive=True)
     slotted = with_slots(staged(sequences(docs, size=size, **options), "sequences"), key)

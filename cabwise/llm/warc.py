@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabwise.llm.common import NULL_ID, arrow_map, column, id_key, slices, staged
-from cabwise.session import staging_path
+from cabwise.plans.lineage import tracked_path
 
 MIN_REVISIT = 100
 BLOCK_LINES = 512
@@ -300,7 +300,7 @@ class Archive:
 def archive_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> Archive:
     """Write all pages and their index."""
     spark = pages.sparkSession
-    folder = staging_path(spark, "warc")
+    folder = tracked_path(spark, "warc")
     store, path = open_store(folder)
     store.create_dir(path, recursive=True)
     own = pages.select(id_key(page_id).alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
