@@ -12,14 +12,14 @@
    posterior probability (uniform prior) that the similarity reaches the
    threshold is bounded; the pair is dropped when it is under ``MISS``.
    Survivors are verified exactly on their full shingle sets.
-5. Verified links give components (alternating stars). In buckets that still
-   hold several components, texts of different components are compared with
-   each other, batch by batch as before: inside a task, in blocks of ``BLOCK``
-   signatures. For ``BEST_ROUNDS`` rounds only the most similar partner of each
-   text is verified, which joins up large families of near copies in about
-   one pair a text; then all pairs left between components, each in its first
-   common band. No pair is dropped for a bucket's size, and no pair becomes a
-   row unless it survives.
+5. In buckets whose texts have different hubs, texts are compared with each
+   other, batch by batch as before, in blocks of ``BLOCK`` signatures, each
+   pair only in its first common band. Texts with a surviving partner get
+   their shingle sets, and the pairs are verified exactly where the block is,
+   likeliest first; a pair whose texts are joined already adds nothing. No pair
+   is dropped for a bucket's size, and no pair becomes a row unless it joins
+   two parts of its group.
+6. All links give components (alternating stars).
 
 Defined results: a null text is an empty one; texts without words have no
 shingles and link with nothing. A null id counts as the largest one. Rows that
@@ -48,9 +48,7 @@ PERCENT = 80
 HASHES, ROWS = 128, 4
 BATCH = 16
 MISS = 1e-6
-BLOCK = 512
-#: Rounds in which each text is paired with its most similar one only.
-BEST_ROUNDS = 2
+BLOCK = 256
 #: Pairs that a task compares at once.
 PAIRS = 1 << 13
 _MUL, _ADD = (np.random.default_rng(seed).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -182,90 +180,133 @@ def surviving(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     return arrow_map(joined, run, "a long, b long")
 
 
-def block_pairs(members: DataFrame, sigs: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Surviving pairs (a, b) of different components in buckets (band, cls, root).
-
-    A bucket over ``BLOCK`` members is cut into blocks; a task compares two
-    blocks at a time. With ``best_only``, each member's most similar partner
-    over all its buckets; else every pair, in its first common band."""
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    open_buckets = sizes.where("low != high").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("n_blocks"))
-    own = (members.join(open_buckets, "band")
-           .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("n_blocks")).cast("int"))
-           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-           .select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                   "block", "cls", "root").join(sigs.select("cls", "sig"), "cls"))
-    keys = ["band", "low", "high"]
-
+BLOCKS = ["band", "low", "high"]
+BLOCK_ROWS = "band long, low int, high int, block int, cls long, root long, sig binary"
+
+
+def block_rows(members: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Members (band, cls, root) of buckets with several roots, with their
+    signatures: one row for each two blocks that are to be compared.
+
+    A bucket up to ``BLOCK`` members is one block; a row is made once."""
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+    several = sizes.where("least != most").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("n_blocks"))
+    return (members.join(several, "band")
+            .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("n_blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+            .select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                    "block", "cls", "root").join(sigs.select("cls", "sig"), "cls")
+            .select(*[x.split()[0] for x in BLOCK_ROWS.split(", ")]))
+
+
+def surviving_in_block(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (a, b) of the pairs of a group that signatures can't rule out, and
+    their matches. Of pairs of different roots; each only in its first common band."""
+    get = lambda name: group.column(name).to_numpy()
+    band, low, high = (int(get(k)[0]) for k in BLOCKS)
+    cls, root, block = get("cls"), get("root"), get("block")
+    sig = matrix(group.column("sig").combine_chunks())
+    wanted = (root[:, None] != root[None, :]) & (cls[:, None] < cls[None, :])
+    if low != high:
+        wanted = wanted | wanted.T
+        wanted &= (block == low)[:, None] & (block == high)[None, :]
+    a, b = np.nonzero(wanted)
+    found = [(i, *may_be_similar(sig[a[i:i + PAIRS]], sig[b[i:i + PAIRS]], percent)) for i in range(0, len(a), PAIRS)]
+    alive = np.concatenate([np.zeros(0, np.int64), *(i + x for i, x, _ in found)])
+    matches = np.concatenate([np.zeros(0, np.int64), *(m for _, _, m in found)])
+    a, b = a[alive], b[alive]
+    keyed = band_keys(sig).view(np.int64)
+    first = np.concatenate([np.zeros(0, bool), *(
+        keyed[a[i:i + PAIRS], (keyed[a[i:i + PAIRS]] == keyed[b[i:i + PAIRS]]).argmax(axis=1)] == band
+        for i in range(0, len(a), PAIRS))])
+    return a[first], b[first], matches[first]
+
+
+def members_in_doubt(rows: DataFrame, percent: int) -> DataFrame:
+    """Those rows of ``block_rows`` that have a surviving partner in their group."""
     def run(batches):
-        for group in sorted_groups(batches, keys):
-            get = lambda name: group.column(name).to_numpy()
-            band, low, high = (int(get(k)[0]) for k in keys)
-            cls, root, block = get("cls"), get("root"), get("block")
-            sig = matrix(group.column("sig").combine_chunks())
-            wanted = (root[:, None] != root[None, :]) & (cls[:, None] < cls[None, :])
-            if low != high:
-                wanted = wanted | wanted.T
-                wanted &= (block == low)[:, None] & (block == high)[None, :]
-            a, b = np.nonzero(wanted)
-            found = [(i, *may_be_similar(sig[a[i:i + PAIRS]], sig[b[i:i + PAIRS]], percent)) for i in range(0, len(a), PAIRS)]
-            alive = np.concatenate([np.zeros(0, np.int64), *(i + x for i, x, _ in found)])
-            if not len(alive):
-                continue
-            a, b, matches = a[alive], b[alive], np.concatenate([m for _, _, m in found])
-            if best_only:
-                a, b, matches = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([matches, matches])
-                by = np.lexsort((cls[b], -matches, a))
-                at = by[np.concatenate([[True], a[by][1:] != a[by][:-1]])]
-            else:
-                keyed = band_keys(sig).view(np.int64)
-                common = keyed[a] == keyed[b]
-                at = np.flatnonzero(keyed[a, common.argmax(axis=1)] == band)  # the first band that both share
-            yield pa.RecordBatch.from_arrays([pa.array(cls[a[at]]), pa.array(cls[b[at]]), pa.array(matches[at])],
-                                             names=["a", "b", "matches"])
-
-    pairs = arrow_map(own.repartition(*keys).sortWithinPartitions(*keys), run, "a long, b long, matches long")
-    if best_only:
-        pairs = pairs.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for group in sorted_groups(batches, BLOCKS):
+            a, b, _ = surviving_in_block(group, percent)
+            if len(a):
+                yield from group.take(pa.array(np.union1d(a, b))).combine_chunks().to_batches()
+
+    return arrow_map(rows.repartition(*BLOCKS).sortWithinPartitions(*BLOCKS), run, BLOCK_ROWS)
 
 
 # ---------------------------------------------------------------- exact verification
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int,
-             percent: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold.
+def shingle_table(classes: DataFrame, reps: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """(cls, shingles) of the given classes, written.
 
-    Only the classes in question have their texts read out again: a Bloom
-    filter of their documents' ids thins out the scan."""
-    needed = reps.join(pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))),
-                       "cls", "left_semi").select("cls", "doc_id")
-    needed = staged(needed, "verified-ids")
+    Only their documents have their texts read out again: a Bloom filter of
+    the ids thins out the scan."""
+    needed = staged(reps.join(classes, "cls", "left_semi").select("cls", "doc_id"), "needed-ids")
     maybe = member_filter(needed.select(F.xxhash64("doc_id").alias("h")), "h", needed.count())
 
     def sets(batches):
         for batch in slices(batches):
             own = list(shingle_sets(column(batch, "text"), size))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([class_of(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own])],
+                [pa.array([class_of(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())],
                 names=["cls", "shingles"])
 
     candidates = docs.select(id_key(doc_id).alias("doc_id"), text_of(text).alias("text")).where(maybe(F.xxhash64("doc_id")))
-    found = staged(arrow_map(candidates, sets, "cls long, shingles binary").join(needed.select("cls"), "cls", "left_semi")
-                   .dropDuplicates(["cls"]), "shingle-sets")
+    found = arrow_map(candidates, sets, "cls long, shingles binary")
+    return staged(found.join(needed.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]), "shingle-sets")
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets (sorted, distinct) reach the threshold."""
+    less, more = sorted((len(x), len(y)))
+    if 100 * less < percent * more:
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
 
-    def confirm(batches):
+def verified_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose full shingle sets reach the threshold."""
+    def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(column(batch, "x"), column(batch, "y")):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = [similar(*(np.frombuffer(z.as_buffer(), np.uint64) for z in xy), percent)
+                    for xy in zip(column(batch, "x"), column(batch, "y"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = (pairs.join(found.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
-              .join(found.select(F.col("cls").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"))
-    return arrow_map(joined, confirm, "a long, b long")
+    joined = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
+              .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"))
+    return arrow_map(joined, run, "a long, b long")
+
+
+def verified_in_blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join up all roots of a group that verified pairs join.
+
+    The pairs of a group are verified where its members are, likeliest first;
+    a pair whose roots are joined already adds nothing."""
+    def run(batches):
+        for group in sorted_groups(batches, BLOCKS):
+            a, b, matches = surviving_in_block(group, percent)
+            raw, cls = group.column("shingles"), group.column("cls").to_numpy()
+            shingles = {int(i): np.frombuffer(raw[int(i)].as_buffer(), np.uint64) for i in np.union1d(a, b)}
+            root = group.column("root").to_numpy().tolist()
+            above = {x: x for x in root}
+
+            def top(x):
+                while above[x] != x:
+                    above[x] = x = above[above[x]]
+                return x
+
+            links = []
+            for k in np.argsort(-matches, kind="stable").tolist():
+                i, j = int(a[k]), int(b[k])
+                x, y = top(root[i]), top(root[j])
+                if x != y and similar(shingles[i], shingles[j], percent):
+                    above[x] = y
+                    links.append((int(cls[i]), int(cls[j])))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], names=["a", "b"])
+
+    own = rows.join(sets, "cls").select(*[x.split()[0] for x in BLOCK_ROWS.split(", ")], "shingles")
+    return arrow_map(own.repartition(*BLOCKS).sortWithinPartitions(*BLOCKS), run, "a long, b long")
 
 
 def class_of(shingles: np.ndarray) -> int | None:
@@ -291,23 +332,16 @@ def classes_and_components(docs: DataFrame, doc_id: str, text: str, size: int, p
     best = votes.groupBy(F.col("cls").alias("b")).agg(F.max(F.struct("bands", "hub")).alias("best"))
     stars = surviving(best.select(F.col("best.hub").alias("a"), "b"), sigs, percent)
     stars = staged(stars, "star-pairs")
-    links = verified(stars, reps, docs, doc_id, text, size, percent)
-    roots = staged(components(staged(links, "star-links"), "a", "b"), "roots")
-    for best_only in [True] * BEST_ROUNDS + [False]:
-        grouped = staged(members.join(roots, members["cls"] == roots["node"], "left").select(
-            "band", "cls", F.coalesce("root", "cls").alias("root")), "bucket-roots")
-        rest = staged(block_pairs(grouped, sigs, percent, best_only), "rest-pairs")
-        if rest.isEmpty():
-            break
-        more = verified(rest, reps, docs, doc_id, text, size, percent)
-        # the links between components, one for each two of them
-        root_of = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))  # noqa: B023, E731
-        between = staged(more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(
-            F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")).distinct(), "rest-links")
-        tops = components(between, "a", "b").select(F.col("node").alias("root"), F.col("root").alias("top"))
-        known = roots.unionByName(tops.select(F.col("root").alias("node"), "root"))  # roots that were their own
-        roots = staged(known.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-                       .dropDuplicates(["node"]), "roots")
+    both_ends = stars.select(F.col("a").alias("cls")).unionByName(stars.select(F.col("b").alias("cls")))
+    sets = shingle_table(both_ends, reps, docs, doc_id, text, size)
+    links = staged(verified_pairs(stars, sets, percent), "star-links")
+    # each text points to its verified hub: enough to leave most pairs of one component out
+    pointers = links.select(F.col("b").alias("cls"), F.col("a").alias("root"))
+    grouped = members.select("band", "cls").join(pointers, "cls", "left").select("band", "cls", F.coalesce("root", "cls").alias("root"))
+    doubt = staged(members_in_doubt(block_rows(staged(grouped, "bucket-roots"), sigs), percent), "in-doubt")
+    sets = shingle_table(doubt.select("cls"), reps, docs, doc_id, text, size)
+    more = staged(verified_in_blocks(doubt, sets, percent), "block-links")
+    roots = components(links.unionByName(more), "a", "b")
 
     rooted = (reps.join(roots, reps["cls"] == roots["node"], "left")
               .select("cls", "n", "doc_id", F.coalesce("root", "cls").alias("root")))
