@@ -48,7 +48,7 @@ PERCENT = 80
 HASHES, ROWS = 128, 4
 BATCH = 16
 MISS = 1e-6
-BLOCK = 256
+BLOCK = 512
 #: Pairs that a task compares at once.
 PAIRS = 1 << 13
 _MUL, _ADD = (np.random.default_rng(seed).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
