@@ -19,7 +19,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,9 +99,9 @@ def repeat_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES
     return _filter(df, col, rows, max_bytes, repeated=True, raw=raw)
 
 
-def member_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES):
+def member_filter(df: DataFrame, col: str, rows: int, max_bytes: int = MAX_BYTES, raw: bool = False):
     """``maybe(column)``: false only for hashes that ``df[col]`` doesn't hold."""
-    return _filter(df, col, rows, max_bytes, repeated=False)
+    return _filter(df, col, rows, max_bytes, repeated=False, raw=raw)
 
 
 def _filter(df: DataFrame, col: str, rows: int, max_bytes: int, repeated: bool, raw: bool = False):
@@ -138,12 +137,12 @@ def _filter(df: DataFrame, col: str, rows: int, max_bytes: int, repeated: bool,
     if raw:
         return lambda hashes: test(shared.value, hashes)
 
-    @F.pandas_udf("boolean")
-    def maybe(h: pd.Series) -> pd.Series:
-        known = h.notna().to_numpy()
+    @F.arrow_udf("boolean")
+    def maybe(h: pa.Array) -> pa.Array:
+        known = h.is_valid().to_numpy(zero_copy_only=False)
         out = np.zeros(len(h), bool)
-        out[known] = test(shared.value, h[known].to_numpy(np.int64).view(np.uint64))
-        return pd.Series(out)
+        out[known] = test(shared.value, h.drop_null().to_numpy().view(np.uint64))
+        return pa.array(out)
 
     return maybe
 

@@ -7,6 +7,7 @@ text as an empty one.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -70,10 +71,23 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``mapInArrow`` with this package on the executors' path."""
     ship_code(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        yield from fn(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def id_key(col: str = "doc_id") -> Column:

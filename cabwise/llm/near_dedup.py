@@ -241,17 +241,18 @@ def shingle_table(classes: DataFrame, reps: DataFrame, docs: DataFrame, doc_id:
     Only their documents have their texts read out again: a Bloom filter of
     the ids thins out the scan."""
     needed = staged(reps.join(classes, "cls", "left_semi").select("cls", "doc_id"), "needed-ids")
-    maybe = member_filter(needed.select(F.xxhash64("doc_id").alias("h")), "h", needed.count())
+    maybe = member_filter(needed.select(F.xxhash64("doc_id").alias("h")), "h", needed.count(), raw=True)
 
     def sets(batches):
-        for batch in slices(batches):
+        thinned = (batch.filter(pa.array(maybe(column(batch, "h").to_numpy().view(np.uint64)))) for batch in batches)
+        for batch in slices(thinned):
             own = list(shingle_sets(column(batch, "text"), size))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([class_of(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())],
                 names=["cls", "shingles"])
 
-    candidates = docs.select(id_key(doc_id).alias("doc_id"), text_of(text).alias("text")).where(maybe(F.xxhash64("doc_id")))
-    found = arrow_map(candidates, sets, "cls long, shingles binary")
+    keyed = docs.select(F.xxhash64(id_key(doc_id)).alias("h"), text_of(text).alias("text"))
+    found = arrow_map(keyed, sets, "cls long, shingles binary")
     return staged(found.join(needed.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]), "shingle-sets")
 
 
@@ -369,16 +370,25 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = PERCENT, doc
     feats, found = classes_and_components(docs, doc_id, text, size, percent)
     gone = staged(feats.join(found, "cls").where("doc_id != component_id").select(
         F.col("doc_id").alias("__llm_id"), F.col("cls").alias("__llm_cls")).distinct(), "dropped")
-    maybe = member_filter(gone.select(F.xxhash64("__llm_id").alias("h")), "h", gone.count())
-
-    @F.arrow_udf("long")
-    def class_key(texts: pa.Array) -> pa.Array:
-        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-        return pa.array([class_of(x) for part in slices(iter([batch])) for x in shingle_sets(part.column(0), size)], pa.int64())
-
-    flagged = maybe(F.xxhash64(id_key(doc_id)))
-    checked = docs.where(flagged).withColumns({"__llm_id": id_key(doc_id), "__llm_cls": class_key(text_of(text))})
-    return docs.where(~flagged).unionByName(checked.join(gone, ["__llm_id", "__llm_cls"], "left_anti").select(*columns))
+    hashes, n_gone = gone.select(F.xxhash64("__llm_id").alias("h")), gone.count()
+    maybe = member_filter(hashes, "h", n_gone)
+    test = member_filter(hashes, "h", n_gone, raw=True)
+
+    @F.arrow_udf("doubt boolean, cls long")
+    def checked(h: pa.Array, texts: pa.Array) -> pa.Array:
+        """Whether a text's id may be dropped, and the text's class if so."""
+        doubt = test(h.to_numpy().view(np.uint64))
+        batch = pa.RecordBatch.from_arrays([texts.filter(pa.array(doubt))], names=["text"])
+        keys = iter([class_of(x) for part in slices(iter([batch])) for x in shingle_sets(part.column(0), size)])
+        cls = pa.array([next(keys) if x else None for x in doubt], pa.int64())
+        return pa.StructArray.from_arrays([pa.array(doubt), cls], names=["doubt", "cls"])
+
+    h, key = F.xxhash64(id_key(doc_id)), "__llm_key"
+    # "nondeterministic" keeps the optimizer from evaluating it once for the filter and once for the key
+    in_doubt = docs.withColumn(key, checked.asNondeterministic()(h, text_of(text))).where(f"{key}.doubt")
+    stays = in_doubt.withColumns({"__llm_id": id_key(doc_id), "__llm_cls": F.col(f"{key}.cls")}).join(
+        gone, ["__llm_id", "__llm_cls"], "left_anti").select(*columns)
+    return docs.where(~maybe(h)).unionByName(stays)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 RANK_BUCKETS = 256
 #: Fillings that the search may try before the best packing so far stands.
-NODES = 20_000
+NODES = 4000
 FILLINGS = 4
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), longest first

@@ -148,8 +148,10 @@ class TokenShards:
     def __init__(self, folder: str, manifest: DataFrame, size: int = SEQUENCE, per_shard: int = PER_SHARD):
         self.folder, self.manifest, self.size, self.per_shard = folder, manifest, size, per_shard
 
-    def read(self, from_slot: int = 0) -> DataFrame:
-        """(slot, n_tokens, ids) of all slots from one on; ids are 16-bit numbers."""
+    def read(self, from_slot: int = 0, digest: bool = False) -> DataFrame:
+        """(slot, n_tokens, ids) of all slots from one on; ids are 16-bit numbers.
+
+        With ``digest``, ids_crc32 instead of the ids."""
         folder, size, per_shard = self.folder, self.size, self.per_shard
 
         def run(batches):
@@ -157,10 +159,14 @@ class TokenShards:
             for batch in batches:
                 for shard, name, records in zip(*(column(batch, c).to_pylist() for c in ("shard", "file", "records"))):
                     with store.open_input_file(f"{path}/{name}") as file:
-                        yield from read_shard(file, shard, records, size, per_shard, max(0, from_slot - shard * per_shard))
+                        for out in read_shard(file, shard, records, size, per_shard, max(0, from_slot - shard * per_shard)):
+                            if digest:
+                                crc = pa.array([zlib.crc32(x.as_buffer()) for x in out.column(2)], pa.int64())
+                                out = pa.RecordBatch.from_arrays([out.column(0), out.column(1), crc], names=["slot", "n_tokens", "ids_crc32"])
+                            yield out
 
         wanted = self.manifest.where(F.col("shard") >= from_slot // per_shard)
-        return arrow_map(wanted.repartition("shard"), run, "slot long, n_tokens int, ids binary")
+        return arrow_map(wanted.repartition("shard"), run, "slot long, n_tokens int, " + ("ids_crc32 long" if digest else "ids binary"))
 
 
 def read_shard(file, shard: int, records: int, size: int, per_shard: int, first: int = 0):
@@ -231,11 +237,7 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_tokens, ids_crc32 (little-endian unsigned 16-bit ids), doc_ids."""
     shards, own = materialise(documents(spark, sf_dir))
 
-    @F.arrow_udf("long")
-    def crc(ids: pa.Array) -> pa.Array:
-        return pa.array([zlib.crc32(x.as_buffer()) for x in ids], pa.int64())
-
-    read = shards.read().select("slot", F.floor(F.col("slot") / PER_SHARD).alias("shard"),
-                                (F.col("slot") % PER_SHARD).alias("record"), F.col("n_tokens").cast("long").alias("n_tokens"),
-                                crc("ids").alias("ids_crc32"))
+    read = shards.read(digest=True).select(
+        "slot", F.floor(F.col("slot") / PER_SHARD).alias("shard"), (F.col("slot") % PER_SHARD).alias("record"),
+        F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")
     return read.join(own.select("slot", "doc_ids"), "slot")

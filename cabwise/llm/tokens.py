@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from cabwise.llm.common import Words
 
 #: Words that a process keeps with their ids; others are encoded when met.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 
 # Heads are letters that stand alone in NFC and have one lower-case letter;
 # tails are ASCII marks, which the split pattern never joins to a letter.
@@ -62,11 +62,19 @@ def spread(flat: np.ndarray, bounds: np.ndarray, codes: np.ndarray) -> tuple[np.
     return flat[at], ends
 
 
-_CACHES: dict[tuple, WordCache] = {}
+_CACHES: dict[tuple, object] = {}
+
+
+def _cached(kind: str, path: str) -> bool:
+    """Whether this vocabulary is at hand; if not, the one before it is let go."""
+    if (kind, path) in _CACHES:
+        return True
+    _CACHES.clear()
+    return False
 
 
 def _bpe_cache(path: str) -> WordCache:
-    if ("bpe", path) not in _CACHES:
+    if not _cached("bpe", path):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -110,7 +118,7 @@ def text_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
 def sentence_piece(path: str):
     """The model and its word cache."""
-    if ("piece", path) not in _CACHES:
+    if not _cached("piece", path):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
