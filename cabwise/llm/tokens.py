@@ -8,6 +8,7 @@ text's ids are its words' ids in a row. A slice's distinct words are encoded
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ import pyarrow.compute as pc
 from cabwise.llm.common import Words
 
 #: Words that a process keeps with their ids; others are encoded when met.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 
 # Heads are letters that stand alone in NFC and have one lower-case letter;
 # tails are ASCII marks, which the split pattern never joins to a letter.
@@ -34,21 +35,33 @@ def vocabulary_path(name: str) -> str:
 
 
 class WordCache:
-    """Ids of words: ``encode(words)`` gives flat ids and where each word's end."""
+    """Ids of words: ``encode(words)`` gives flat ids and where each word's end.
+
+    Words met for the first time wait in ``young``, which is emptied when full;
+    those met again before that are kept. Words that occur once, most of any
+    corpus's, don't take the room of others."""
 
     def __init__(self, encode_new, most: int = CACHED_WORDS):
-        self.encode_new, self.most, self.known = encode_new, most, {}
+        self.encode_new, self.most, self.known, self.young = encode_new, most, {}, {}
 
     def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         asked = words.to_pylist()
-        known = self.known
-        found = [known.get(w) for w in asked]
+        found = list(map(self.known.get, asked))
         missing = [i for i, x in enumerate(found) if x is None]
         if missing:
-            for i, ids in zip(missing, self.encode_new([asked[i] for i in missing])):
-                found[i] = raw = np.asarray(ids, np.uint32).tobytes()
-                if len(known) < self.most:
-                    known[asked[i]] = raw
+            new = []
+            for i in missing:
+                raw = self.young.pop(asked[i], None)
+                if raw is None:
+                    new.append(i)
+                else:
+                    found[i] = raw
+                    if len(self.known) < self.most:
+                        self.known[asked[i]] = raw
+            if len(self.young) > self.most // 2:
+                self.young = {}
+            for i, ids in zip(new, self.encode_new([asked[i] for i in new])):
+                found[i] = self.young[asked[i]] = array("I", ids).tobytes()
         ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) >> 2)
         return np.frombuffer(b"".join(found), np.uint32), np.concatenate([[0], ends])
 
@@ -122,6 +135,6 @@ def sentence_piece(path: str):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        _CACHES["piece", path] = WordCache(lambda words: model.encode(words, num_threads=1))
+        _CACHES["piece", path] = WordCache(lambda words: model.encode(words, num_threads=1), CACHED_WORDS // 3)
         _CACHES["model", path] = model
     return _CACHES["model", path], _CACHES["piece", path]
