@@ -240,4 +240,5 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = shards.read(digest=True).select(
         "slot", F.floor(F.col("slot") / PER_SHARD).alias("shard"), (F.col("slot") % PER_SHARD).alias("record"),
         F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")
-    return read.join(own.select("slot", "doc_ids"), "slot")
+    # sizes are guessed from the small manifest here: without the hint one side would be broadcast
+    return read.join(own.select("slot", "doc_ids").hint("merge"), "slot")
