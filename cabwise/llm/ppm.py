@@ -9,11 +9,15 @@ document's score is the log10 probability of its bytes, A-Z lower-cased, and
 of its end. A plain word model (additive smoothing) is scored beside it.
 
 The counts of all training text are gathered by partial aggregation: each task
-counts its own n-grams and words before they shuffle. What tasks need for
-scoring is bounded: of each order at most ``MAX_EDGES`` trie edges, and at
-most ``MAX_WORDS`` words, the most frequent ones (a power-of-two threshold
-chosen from the counts' histogram). Rarer edges leave their mass to escapes.
-Rarer words lose nothing: their occurrences are joined to the full counts.
+counts its own n-grams and words before they shuffle. What tasks hold for
+scoring is bounded, what is scored is not: at most ``MAX_EDGES`` trie edges of
+the longest order and at most ``MAX_WORDS`` words, the most frequent ones (a
+power-of-two threshold chosen from the counts' histogram), with the totals of
+all counts. The bytes and words of a text that aren't among them are looked up
+in the full counts by joins: a byte's contexts all end in the same bytes, so
+edges and bytes wanted are dealt by the last bytes of the context, and each
+task builds that part of the trie upon the orders that are held whole (the
+longest one of at most ``MAX_EDGES`` edges, and all shorter ones).
 
 Defined results: a null text is an empty one and has its end as only token. A
 null id is the text ''; it is in the training part. Without training
@@ -23,7 +27,7 @@ scored one by one. Empty input: empty result.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +44,8 @@ MAX_EDGES = 1 << 20
 MAX_WORDS = 1 << 21
 FOLDS, HELD_FOLD = 5, 1
 WORD, GRAM = 0, 1
+#: Edges and bytes wanted that a task works on at once, if no group of them is larger.
+PART_ROWS = 1 << 18
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 _FIRST_SHIFT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -178,7 +184,9 @@ class Level:
 
     ``total`` is log10 of a context's count with its escapes, ``escape`` the
     log10 probability of an escape; ``below_total`` and ``below_escape`` are
-    the same for the next shorter context without this one's bytes."""
+    the same for the next shorter context without this one's bytes. The next
+    longer order is built from ``raw``: counts of the edges, counts and distinct
+    bytes of the contexts."""
 
     edges: Index
     log_count: np.ndarray
@@ -188,6 +196,7 @@ class Level:
     escape: np.ndarray
     below_total: np.ndarray
     below_escape: np.ndarray
+    raw: tuple[np.ndarray, np.ndarray, np.ndarray] | None
 
 
 def _log10(x: np.ndarray) -> np.ndarray:
@@ -195,12 +204,14 @@ def _log10(x: np.ndarray) -> np.ndarray:
         return np.log10(x)
 
 
-def build_levels(edges: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
-    """``edges[k]``: sorted keys (k context bytes and the byte) and counts.
+def build_levels(edges: list[tuple[np.ndarray, np.ndarray]], lower: list[Level] | None = None) -> list[Level]:
+    """``edges[i]``: sorted keys (k context bytes and the byte) and counts, of the
+    orders k from 0 or from the one above ``lower``, which the result starts with.
 
-    Every edge's shorter forms must be among the edges of lower order."""
-    levels: list[Level] = []
-    for k, (keys, counts) in enumerate(edges):
+    Every edge's shorter forms must be among the edges of lower order, with the
+    counts of all text, and every context must have all its edges."""
+    levels = list(lower or [])
+    for k, (keys, counts) in enumerate(edges, len(levels)):
         context = keys >> np.uint64(8)
         starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(keys) else np.zeros(0, np.int64)
         nodes = context[starts]
@@ -209,23 +220,30 @@ def build_levels(edges: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
         distinct = np.diff(np.append(starts, len(keys)))
         n = len(nodes)
         if k:
-            below_keys, below_counts = edges[k - 1]
-            short = np.searchsorted(below_keys, keys & np.uint64((1 << 8 * k) - 1))
+            below = levels[-1]
+            below_counts, below_totals, below_distinct = below.raw
+            short = np.searchsorted(below.edges.keys, keys & np.uint64((1 << 8 * k) - 1))
             excluded = np.add.reduceat(below_counts[short], starts) if n else counts[:0]
-            lower = levels[-1]
-            parent = lower.node_of[short[starts]] if n else starts
-            rest = lower_totals[parent] - excluded
-            new = lower_distinct[parent] - distinct
+            parent = below.node_of[short[starts]] if n else starts
+            rest = below_totals[parent] - excluded
+            new = below_distinct[parent] - distinct
         else:  # below the empty context all bytes left are equally likely
             rest, new = 256.0 - distinct, np.zeros(n)
         below_total = _log10(np.maximum(rest + new, 1e-300))
         below_escape = np.where(rest + new > 0, _log10(new) - below_total, 0.0)
         levels.append(Level(Index(keys), np.log10(counts), node_of.astype(np.int32), Index(nodes), np.log10(totals + distinct),
-                            np.log10(distinct) - np.log10(totals + distinct), below_total, below_escape))
-        lower_totals, lower_distinct = totals, distinct
+                            np.log10(distinct) - np.log10(totals + distinct), below_total, below_escape, (counts, totals, distinct)))
     return levels
 
 
+def shorter(keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a lower order, sorted, from all edges of a higher one."""
+    counter = Counter()
+    counter.add(keys & np.uint64((1 << 8 * (order + 1)) - 1), counts)
+    counter.merge()
+    return counter.keys, counter.counts
+
+
 def log_probabilities(levels: list[Level], keys: np.ndarray) -> np.ndarray:
     """log10 of each byte's probability behind its context."""
     out = np.zeros(len(keys))
@@ -234,7 +252,7 @@ def log_probabilities(levels: list[Level], keys: np.ndarray) -> np.ndarray:
     escape = np.full(len(keys), np.nan)
     for k in range(len(levels) - 1, -1, -1):
         level = levels[k]
-        key = keys[left] if k == len(levels) - 1 else keys[left] & np.uint64((1 << 8 * (k + 1)) - 1)
+        key = keys[left] & np.uint64((1 << 8 * (k + 1)) - 1)
         edge = level.edges.find(key)
         hit = edge >= 0
         own, fresh = edge[hit], np.isnan(total[hit])
@@ -252,10 +270,15 @@ def log_probabilities(levels: list[Level], keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """What tasks need for scoring."""
+    """What tasks need for scoring.
+
+    ``levels`` are the orders held whole. If these aren't all, ``frequent`` has
+    the most frequent edges of the longest order, with their log10 probabilities."""
 
     order: int
     levels: list[Level]
+    frequent: Index | None
+    frequent_logs: np.ndarray | None
     words: np.ndarray        # hashes of the frequent words, sorted
     word_counts: np.ndarray
     scale: float             # log10 of the word model's denominator
@@ -269,44 +292,125 @@ class Model:
         held = self.words[place] == hashes
         return held, np.log10(np.where(held, self.word_counts[place], 0) + 0.5) - self.scale
 
+    def byte_logs(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each byte's log10 probability (0 where it has to be looked up), and where it has to be."""
+        if self.frequent is None:
+            return log_probabilities(self.levels, keys), np.zeros(0, np.int64)
+        place = self.frequent.find(keys)
+        logs = np.zeros(len(keys))
+        held = place >= 0
+        logs[held] = self.frequent_logs[place[held]]
+        return logs, np.flatnonzero(~held)
+
+
+@dataclass
+class Rest:
+    """Written counts (key, n): words that the model doesn't hold; all edges of the longest order."""
+
+    words: DataFrame
+    grams: DataFrame
+
+
+def whole_orders(grams: DataFrame, order: int) -> list[Level]:
+    """The longest order of at most ``MAX_EDGES`` edges, and all shorter ones."""
+    k = order
+    while k and grams.count() > MAX_EDGES:
+        k -= 1
+        grams = staged(grams.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("key")).agg(
+            F.sum("n").alias("n")), "ppm-edges")
+    longest = _gathered(grams)
+    levels = build_levels([shorter(*longest, j) for j in range(k)] + [longest])
+    return [replace(x, raw=None) for x in levels[:-1]] + levels[-1:]
 
-def train(docs: DataFrame, order: int = ORDER) -> tuple[Model, DataFrame, int]:
-    """The model of a table with a ``text`` column; counts of the words that it
-    doesn't hold, (key, n); and the number of training tokens."""
+
+def frequent_edges(grams: DataFrame) -> tuple[Index, np.ndarray]:
+    """The most frequent edges of the longest order, with the totals of all their context's edges."""
+    context = F.shiftright("key", 8).alias("context")
+    contexts = grams.groupBy(context).agg((F.sum("n") + F.count(F.lit(1))).alias("total"))
+    kept = most_frequent(grams, MAX_EDGES)[0].select("key", "n", context).join(contexts, "context")
+    table = kept.select("key", (F.log10("n") - F.log10("total")).alias("log")).toArrow()
+    return Index(table.column("key").to_numpy().view(np.uint64)), table.column("log").to_numpy()
+
+
+def train(docs: DataFrame, order: int = ORDER) -> tuple[Model, Rest, int]:
+    """The model of a table with a ``text`` column; the counts that it doesn't
+    hold; and the number of training tokens."""
     counts = staged(corpus_counts(docs.select(text_of("text").alias("text")), order), "ppm-counts")
     words = counts.where(F.col("kind") == WORD)
     frequent, least = most_frequent(words, MAX_WORDS)
     sums = words.agg(F.count(F.lit(1)).alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
-    grams = counts.where(F.col("kind") == GRAM)
+    grams = counts.where(F.col("kind") == GRAM).select("key", "n")
     ends = grams.where((F.col("key").bitwiseAND(F.lit(0xFF))) == MARK).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n_tokens = sums.tokens + ends
     scale = np.log10(n_tokens + 0.5 * (sums.distinct + (ends > 0) + 1))
 
-    edges, bound = [], 1
-    for k in range(order, -1, -1):
-        if k < order:
-            grams = grams.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("key")).agg(F.sum("n").alias("n"))
-        if k == order:
-            kept, bound = most_frequent(grams, MAX_EDGES)
-        else:  # the same bound: an edge's shorter forms are as frequent
-            kept = grams.where(F.col("n") >= bound)
-        edges.append(_gathered(kept))
+    levels = whole_orders(grams, order)
+    edges, logs = frequent_edges(grams) if len(levels) <= order else (None, None)
     keys, n = _gathered(frequent)
-    model = Model(order, build_levels(edges[::-1]), keys, n, float(scale), int(ends))
-    return model, words.where(F.col("n") < least).select("key", "n"), n_tokens
+    model = Model(order, levels, edges, logs, keys, n, float(scale), int(ends))
+    return model, Rest(words.where(F.col("n") < least).select("key", "n"), grams), n_tokens
+
+
+# ---------------------------------------------------------------- scoring
 
+def part_logs(levels: list[Level], order: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """(key, log) of the keys wanted (n = 0), from all edges (n > 0) of contexts
+    that end in the same bytes as theirs."""
+    wanted, grams, counts = keys[n == 0], keys[n > 0], n[n > 0]
+    if len(wanted):
+        levels = build_levels([shorter(grams, counts, k) for k in range(len(levels), order + 1)], levels)
+    return pa.RecordBatch.from_arrays([as_longs(wanted), pa.array(log_probabilities(levels, wanted))], names=["key", "log"])
 
-def score(docs: DataFrame, model: Model, rare_words: DataFrame, train_tokens: int) -> DataFrame:
+
+def joined_logs(wanted: DataFrame, grams: DataFrame, model: Model) -> DataFrame:
+    """(key, log): log10 probabilities of distinct keys, from the written counts.
+
+    Keys and edges are dealt by the last bytes of the context, one more than the
+    orders held whole look at; edges with equal ones are worked on together."""
+    order, mask = model.order, (1 << 8 * len(model.levels)) - 1
+    shared = wanted.sparkSession.sparkContext.broadcast(model.levels)
+
+    def run(batches):
+        held, size, most = [], 0, PART_ROWS
+        for batch in batches:
+            held.append([column(batch, x).to_numpy() for x in ("key", "n")])
+            size += batch.num_rows
+            if size >= most:
+                keys, n = (np.concatenate(x) for x in zip(*held))
+                ends = keys >> 8 & mask
+                cut = int(np.searchsorted(ends, ends[-1]))
+                if cut:
+                    yield part_logs(shared.value, order, keys[:cut].view(np.uint64), n[:cut])
+                held, size = [[keys[cut:], n[cut:]]], size - cut
+                most = max(PART_ROWS, 2 * size)
+        if size:
+            keys, n = (np.concatenate(x) for x in zip(*held))
+            yield part_logs(shared.value, order, keys.view(np.uint64), n)
+
+    dealt = (grams.unionByName(wanted.select("key", F.lit(0).cast("long").alias("n")))
+             .withColumn("ends", F.shiftright("key", 8).bitwiseAND(F.lit(mask)))
+             .repartition("ends").sortWithinPartitions("ends"))
+    return arrow_map(dealt.select("key", "n"), run, "key long, log double")
+
+
+def score(docs: DataFrame, model: Model, rest: Rest, train_tokens: int) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of a
     table (doc_id, held_out, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    own = replace(model, levels=[]) if model.frequent is not None else model
+    shared = docs.sparkSession.sparkContext.broadcast(own)
 
     def run(batches):
         model, task, row = shared.value, TaskContext.get().partitionId(), 0
         for batch in slices(batches):
             texts, n = column(batch, "text"), batch.num_rows
             keys, starts = context_keys(texts, model.order)
-            logs = row_sums(log_probabilities(model.levels, keys), starts)
+            logs, wanted = model.byte_logs(keys)
+            wanted_keys, wanted_rows = keys[wanted], np.searchsorted(starts, wanted, side="right") - 1
+            by = np.lexsort((wanted_keys, wanted_rows))
+            wanted_keys, wanted_rows = wanted_keys[by], wanted_rows[by]
+            new = np.concatenate([[True], (wanted_keys[1:] != wanted_keys[:-1]) | (wanted_rows[1:] != wanted_rows[:-1])])[:len(by)]
+            firsts = np.flatnonzero(new)
+            wanted_bounds = pa.array(np.searchsorted(wanted_rows[firsts], np.arange(n + 1)).astype(np.int32))
             words = Words(texts, lower=True)
             hashes = words.hashes()
             held, base = model.word_logs(hashes)
@@ -315,23 +419,31 @@ def score(docs: DataFrame, model: Model, rare_words: DataFrame, train_tokens: in
             yield pa.RecordBatch.from_arrays([
                 pa.array((task << 40) + row + np.arange(n)), column(batch, "doc_id"), column(batch, "held_out"),
                 pa.array(words.counts + 1), pa.array(row_sums((~rare).astype(np.int64), words.offsets) + int(model.ends > 0)),
-                pa.array(row_sums(base[words.codes], words.offsets) + np.log10(model.ends + 0.5) - model.scale), pa.array(logs),
-                pa.ListArray.from_arrays(pa.array(rare_bounds), as_longs(hashes[words.codes[rare]]))],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
+                pa.array(row_sums(base[words.codes], words.offsets) + np.log10(model.ends + 0.5) - model.scale), pa.array(row_sums(logs, starts)),
+                pa.ListArray.from_arrays(pa.array(rare_bounds), as_longs(hashes[words.codes[rare]])),
+                pa.ListArray.from_arrays(wanted_bounds, as_longs(wanted_keys[firsts])),
+                pa.ListArray.from_arrays(wanted_bounds, pa.array(np.diff(np.append(firsts, len(by))).astype(np.int32)))],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "wanted", "times"])
             row += n
 
-    scored = staged(arrow_map(docs, run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, "
-                                         "base_score double, score double, rare array<long>"), "ppm-scores")
-    more = (scored.select("row", F.explode("rare").alias("key")).join(rare_words, "key")
-            .groupBy("row").agg(F.count(F.lit(1)).alias("more_known"),
-                                F.sum(F.log10(F.col("n") + 0.5) - float(np.log10(0.5))).alias("more_log")))
-    return scored.drop("rare").join(more, "row", "left").select(
+    scored = staged(arrow_map(docs, run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
+                                         "score double, rare array<long>, wanted array<long>, times array<int>"), "ppm-scores")
+    more = (scored.select("row", F.explode("rare").alias("key")).join(rest.words, "key")
+            .select("row", F.lit(1).alias("known"), (F.log10(F.col("n") + 0.5) - float(np.log10(0.5))).alias("base"), F.lit(0.0).alias("log")))
+    if model.frequent is not None:
+        bytes_ = scored.select("row", F.inline(F.arrays_zip(F.col("wanted").alias("key"), "times")))
+        logs = joined_logs(bytes_.select("key").distinct(), rest.grams, model)
+        more = more.unionByName(bytes_.join(logs, "key").select(
+            "row", F.lit(0).alias("known"), F.lit(0.0).alias("base"), (F.col("times") * F.col("log")).alias("log")))
+    more = more.groupBy("row").agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("log").alias("more_log"))
+    return scored.drop("rare", "wanted", "times").join(more, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more_log", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("more_log", F.lit(0.0))).alias("score"))
 
 
 def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(F.col("doc_id"), is_held_out().alias("held_out"), text_of().alias("text"))
-    model, rare, n_tokens = train(docs.where(~F.col("held_out")))
-    return score(docs, model, rare, n_tokens)
+    model, rest, n_tokens = train(docs.where(~F.col("held_out")))
+    return score(docs, model, rest, n_tokens)

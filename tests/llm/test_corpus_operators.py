@@ -217,6 +217,16 @@ def test_bounded_models_still_sum_to_one(spark, monkeypatch):
         assert (10.0 ** ppm.log_probabilities(model.levels, keys)).sum() == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize(("most", "part"), [(60, 1 << 18), (3000, 50), (0, 1 << 18)])
+def test_scores_beyond_the_bound_are_those_of_the_whole_model(spark, monkeypatch, most, part):
+    docs = documents_of(spark, "sf0.001")
+    want = {r.doc_id: r.score for r in scored(spark, docs).collect()}  # checked against the definition above
+    monkeypatch.setattr(ppm, "MAX_EDGES", most)
+    monkeypatch.setattr(ppm, "PART_ROWS", part)
+    got = {r.doc_id: r.score for r in scored(spark, docs).collect()}
+    assert got == pytest.approx(want)
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 3, 5, 64, 1000, 4097):
         slots = token_shards.feistel(np.arange(n), n)
