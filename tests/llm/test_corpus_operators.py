@@ -227,6 +227,16 @@ def test_scores_beyond_the_bound_are_those_of_the_whole_model(spark, monkeypatch
     assert got == pytest.approx(want)
 
 
+def test_rare_bytes_keep_their_counts_in_short_contexts(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "MAX_EDGES", 40)  # the longest order's threshold is far above the rare bytes' counts
+    rows = [(i, "the old road " * 30) for i in range(40)] + [(100 + i, f"ж{i} ß é ж") for i in range(10)]
+    got = {r.doc_id: (r.held_out, r.score) for r in scored(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    train = [t for d, t in rows if not got[d][0]]
+    assert {got[d][0] for d in range(100, 110)} == {False, True}
+    for doc, text in rows[-10:]:
+        assert got[doc][1] == pytest.approx(plain.ppm_log10(train, ppm.ORDER, text))
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 3, 5, 64, 1000, 4097):
         slots = token_shards.feistel(np.arange(n), n)
