@@ -6,7 +6,9 @@ of each length: at most ``capacity`` numbers, however large the corpus. Bin
 completion works on this histogram: around the longest piece left it
 enumerates the undominated fillings of the space, prunes branches by the
 waste that the best packing so far (first the best-fit one) still allows, and
-uses a filling as often as the histogram permits. The outcome is a list of
+uses a filling as often as the histogram permits. The search isn't exhaustive:
+it ends after a number of steps that grows with the number of lengths, and
+follows ``FILLINGS`` fillings a step. The outcome is a list of
 patterns; pieces are matched to patterns by their rank among the pieces of
 their length. Ranks are counted in hash buckets first, so that a length that
 many pieces share is not ranked in one task, and no piece moves but with the
@@ -34,8 +36,10 @@ CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 RANK_BUCKETS = 256
-#: Fillings that the search may try before the best packing so far stands.
+#: Fillings that the search may try before the best packing so far stands: at
+#: least, and for each length there is (one way down uses up about one a step).
 NODES = 4000
+NODES_A_LENGTH = 10
 FILLINGS = 4
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -175,12 +179,17 @@ def fillings(counts: dict[int, int], space: int, most: int = FILLINGS) -> list[t
     return (clean or ranked)[:most]
 
 
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[Filling, int]]:
+def steps(counts: dict[int, int]) -> int:
+    return max(NODES, NODES_A_LENGTH * len(counts))
+
+
+def bin_completion(counts: dict[int, int], capacity: int, nodes: int | None = None) -> list[tuple[Filling, int]]:
     """Patterns (filling, how often) that use up the histogram.
 
     Branch and bound: a branch is left when its waste is more than a packing
     with one sequence less than the best known could have.
     """
+    nodes = steps(counts) if nodes is None else nodes
     total = sum(a * n for a, n in counts.items())
     bound = max(-(-total // capacity), sum(n for a, n in counts.items() if 2 * a > capacity))
     best = best_fit(counts, capacity)
@@ -246,7 +255,7 @@ def _slots(patterns: list[tuple[Filling, int]], counts: dict[int, int]):
     return np.array(sorted(slots), np.int64).reshape(-1, 5)
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, nodes: int = NODES, buckets: int = RANK_BUCKETS) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, nodes: int | None = None, buckets: int = RANK_BUCKETS) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to a table of pieces.
 
     ``cut`` is read twice; write it first where it is dear to make."""

@@ -109,6 +109,20 @@ def test_bin_completion_finds_the_least():
         assert sum(n for _, n in patterns) == fewest(lengths, 100)
 
 
+def test_the_search_grows_with_the_number_of_lengths(monkeypatch):
+    rng = np.random.default_rng(3)
+    counts = dict(collections.Counter(rng.integers(500, 2000, 400).tolist()))  # best fit is over the bound, and stays
+    tried, own = [], packing.fillings
+    monkeypatch.setattr(packing, "fillings", lambda *x: tried.append(1) or own(*x))
+    monkeypatch.setattr(packing, "NODES", 40)
+    packing.bin_completion(counts, 2048)
+    most = len(tried)
+    tried.clear()
+    packing.bin_completion(counts, 2048, 40)
+    assert len(tried) <= 41 < most
+    assert packing.steps(dict.fromkeys(range(1, 2048), 1)) >= 20_000
+
+
 def test_word_cache_equals_the_tokenizer():
     words = ["The", "the,", "don't", "DON'T.", "a's", "x.y", "<|endoftext|>", "<|ENDOFTEXT|>", "é", "E\u0301t\u00c9,", "J\u030c", "１２",
              "a1b2", "--", "'", "İ", "ΑΣ", "ß!", "\u00a0x", "\x85", "日本語", "l'été.", "A'", "x\u200b.", "it's,"]
