@@ -169,6 +169,21 @@ def test_bands_reject_noise_and_keep_prose(spark):
     assert {r.doc_id for r in fertility.keep_clean(docs).collect()} == {2, 3}
 
 
+def test_bands_reject_letters_at_random_and_dense_mojibake(spark):
+    rng = np.random.default_rng(4)
+    noise = [" ".join("".join(chr(97 + x) for x in rng.integers(0, 26, rng.integers(3, 9))) for _ in range(200)) for _ in range(20)]
+    langs = ["en", "de", "fr", "es"]
+    rows = [(i, text, langs[i % 4], "a") for i, text in enumerate(noise)]
+    accents = " ".join(f"été{i} forêt à côté où déjà élève{i % 7} père" for i in range(30))
+    rows.append((20, accents.encode().decode("latin-1"), "fr", "a"))
+    assert fertility.keep_clean(spark.createDataFrame(rows, plain.SCHEMA)).count() == 0
+
+
+def test_bands_keep_the_documents_of_known_languages(spark):
+    got = fertility.quality_metrics(documents_of(spark, "sf0.001")).join(documents_of(spark, "sf0.001").select("doc_id", "lang"), "doc_id")
+    assert got.where("lang IN ('en', 'de', 'fr', 'es') AND NOT base_failed AND NOT kept").count() == 0
+
+
 @pytest.mark.parametrize("order", [0, 1, 3, 5])
 def test_ppm_against_its_definition(order):
     rng = np.random.default_rng(order)
