@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from cabwise.operators import classify as C
 from cabwise.operators import lexicon as LX
 from cabwise.operators import tfidf as TF
-from cabwise.plans.lineage import release_staged, staged
+from cabwise.plans.lineage import Intermediates, intermediates, staged
 
 
 def document_counts(docs: DataFrame, k: int = LX.DEFAULT_K, stopwords=None, clean_docs: bool = False,
@@ -70,11 +70,12 @@ class ClassificationRun:
     model: object
     predictions: DataFrame
     labels: list[str]         # index → class name (from the fitted indexer)
+    written: Intermediates    # the tables that train, test and predictions read
 
     def release(self) -> None:
-        """Drop the cached training rows and this application's written intermediates."""
+        """Drop the cached training rows and the tables written for this run, no others."""
         self.train.unpersist()
-        release_staged(self.train.sparkSession)
+        self.written.release()
 
 
 def split_vectors(docs: DataFrame, k: int, weighting: str, min_class_count: int | None, train_fraction: float,
@@ -99,12 +100,13 @@ def classify_documents(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str =
                        cache_train: bool = True, split: str = "hash", partitions: int | None = None) -> ClassificationRun:
     """``split='hash'``: by an md5 of the id; ``'sample'``: the reference's random
     stratified sample and EXCEPT."""
-    train, test, labels = split_vectors(docs, k, weighting, min_class_count, train_fraction, seed, split, partitions)
+    with intermediates() as written:
+        train, test, labels = split_vectors(docs, k, weighting, min_class_count, train_fraction, seed, split, partitions)
     if cache_train:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
     model = C.mlp_fit(train, k, len(labels), max_iter=max_iter, block_size=block_size, seed=seed)
     predictions = model.transform(test).select("doc_id", "category", "label", "prediction")
-    return ClassificationRun(train, test, model, predictions, labels)
+    return ClassificationRun(train, test, model, predictions, labels, written)
 
 
 def accuracy_report(run: ClassificationRun) -> DataFrame:

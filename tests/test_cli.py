@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from cabwise.__main__ import main
 from cabwise.session import staging_path
 from cabwise.sources import bindings as B, files as FS
-from conftest import SF_SMOKE
+from tables import SF_SMOKE
 
 
 def test_cli_workloads(spark, capsys):

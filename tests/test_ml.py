@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cabwise.operators import classify as C, textclass as TC
 from cabwise.sources import bindings as B
-from conftest import SF_SMOKE
+from tables import SF_SMOKE
 
 
 def test_classification_beats_majority_and_is_repeatable(spark):
@@ -24,7 +24,9 @@ def test_classification_beats_majority_and_is_repeatable(spark):
     n_docs = TC.document_counts(docs).count()
     assert (rep.n_train, rep.n_test) == (run.train.count(), len(p1)) and rep.n_train + rep.n_test == n_docs
     assert abs(rep.accuracy - acc) < 1e-12 and abs(rep.majority - majority) < 1e-12
+    other = TC.document_counts(docs)  # another result of the same session stays readable
     run.release()
+    assert other.count() == n_docs
     assert not run.train.storageLevel.useMemory and spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 

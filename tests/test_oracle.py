@@ -3,7 +3,7 @@ import pytest
 
 import __spark_entry__ as E
 from cabwise.queries import ORACLE_SQL as ORACLE, QUERIES
-from conftest import SF_CHECK
+from tables import SF_CHECK
 from oracle_harness import compare
 
 

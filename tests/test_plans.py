@@ -10,7 +10,7 @@ from cabwise.plans.sizing import bounded_broadcast, static_row_bound
 from cabwise.queries import QUERIES
 from cabwise.session import staging_path
 from cabwise.sources import bindings as B, files as FS
-from conftest import SF_SMOKE
+from tables import SF_SMOKE
 
 
 def test_join_strategies(spark):

@@ -4,7 +4,7 @@ from pyspark.errors import AnalysisException
 
 from cabwise.session import staging_path
 from cabwise.sources import files as FS, records as R
-from conftest import SF_SMOKE
+from tables import SF_SMOKE
 
 
 def test_split_fields_matches_python_split(spark):
@@ -52,6 +52,22 @@ def test_staged_tables_are_removed(spark):
     assert release_staged(spark) >= 1 and not os.path.exists(folder) and release_staged(spark) == 0
 
 
+def test_release_deletes_its_owners_tables_only(spark):
+    from cabwise.plans.lineage import intermediates, staged
+    kept = staged(spark.range(7), "kept")
+    with intermediates() as first:
+        a = staged(spark.range(5), "a")
+        with intermediates() as inner:
+            b = staged(spark.range(6), "b")
+    with intermediates() as second:
+        c = staged(spark.range(8), "c")
+    assert first.release() == 1 and first.release() == 0
+    assert (kept.count(), b.count(), c.count()) == (7, 6, 8)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        spark.read.schema(a.schema).parquet(*a.inputFiles()).count()
+    assert inner.release() + second.release() == 2 and kept.count() == 7
+
+
 def test_writers_refuse_to_overwrite_by_default(spark):
     path = FS.write_parquet(spark.range(3), staging_path(spark, "mode"))
     with pytest.raises(AnalysisException):

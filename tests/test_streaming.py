@@ -6,7 +6,7 @@ from cabwise.operators import trips as T
 from cabwise.session import staging_path
 from cabwise.sources import bindings as B
 from cabwise.streaming import hourly as HS
-from conftest import SF_SMOKE
+from tables import SF_SMOKE
 
 
 def _rounded(rows):
