@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cabwise.llm.chat import op4_chat
 from cabwise.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from cabwise.llm.fertility import op6_fertility
+from cabwise.llm.filter_audit import OP13_SQL, op13_filter_audit
 from cabwise.llm.mixing import OP1_SQL, op1_mixing
 from cabwise.llm.near_dedup import op3_near_dedup
 from cabwise.llm.packing import op2_packing
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_ppm": op10_ppm,
+    "op13_filter_audit": op13_filter_audit,
     "pipeline": pipeline,
 }
 
@@ -36,4 +38,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op8_exact_dedup": OP8_SQL,
     "op9_warc": OP9_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
