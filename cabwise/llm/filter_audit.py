@@ -182,7 +182,9 @@ def part_counters(spark: SparkSession, source: str, labels: DataFrame, doc_id: s
     and the same ``digits``, a later run reads only files that are new.
     ``digits`` of a text's digest name its group; by default so many that a group
     has ``TEXTS`` texts at most on average. ``conf`` holds settings of the state
-    store (RocksDB within a bound of memory)."""
+    store for this run, as :data:`ROCKS`: state on the executors' disks for tables
+    whose texts (about 60 bytes each) exceed their memory. RocksDB sets 4 MB of
+    disk aside for each partition, so that it isn't the default."""
     table = spark.read.parquet(source)
     files = max(1, len(table.inputFiles()))
     if digits is None:  # the row count comes from the files' footers
@@ -202,7 +204,7 @@ def part_counters(spark: SparkSession, source: str, labels: DataFrame, doc_id: s
     bucket = F.when(F.col("key").startswith(SETTLED), F.col("key")).otherwise(F.substring("key", 1, digits))
     moved = rows.withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
         update_texts, COUNTERS, "texts binary", "append", GroupStateTimeout.NoTimeout)
-    settings = ROCKS if conf is None else conf
+    settings = conf or {}
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
