@@ -17,6 +17,7 @@ from cabwise.llm.ppm import op10_ppm
 from cabwise.llm.substring_dedup import op7_substring_dedup
 from cabwise.llm.token_shards import op5_token_shards
 from cabwise.llm.warc import OP9_SQL, op9_warc
+from cabwise.llm.whitening import op11_whitening
 from corpus_pipeline import run as pipeline
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_ppm": op10_ppm,
+    "op11_whitening": op11_whitening,
     "op13_filter_audit": op13_filter_audit,
     "pipeline": pipeline,
 }
