@@ -10,6 +10,7 @@ from cabwise.llm.chat import op4_chat
 from cabwise.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from cabwise.llm.fertility import op6_fertility
 from cabwise.llm.filter_audit import OP13_SQL, op13_filter_audit
+from cabwise.llm.jaccard_join import OP12_SQL, op12_jaccard_join
 from cabwise.llm.mixing import OP1_SQL, op1_mixing
 from cabwise.llm.near_dedup import op3_near_dedup
 from cabwise.llm.packing import op2_packing
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_ppm": op10_ppm,
     "op11_whitening": op11_whitening,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_filter_audit": op13_filter_audit,
     "pipeline": pipeline,
 }
@@ -40,5 +42,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op8_exact_dedup": OP8_SQL,
     "op9_warc": OP9_SQL,
+    "op12_jaccard_join": OP12_SQL,
     "op13_filter_audit": OP13_SQL,
 }
