@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cabwise.plans.sizing import bounded_broadcast
 
@@ -50,3 +51,14 @@ def join_broadcast(trips: DataFrame, vendors: DataFrame, n: int = 50,
 def join_sort_merge(trips: DataFrame, vendors: DataFrame, n: int = 50,
                     key: str = "trip_id") -> DataFrame:
     return join_with_strategy(trips, limited_side(vendors, n, key), "merge", key)
+
+
+def join_pushed(trips: DataFrame, vendors: DataFrame, n: int = 50, key: str = "trip_id") -> DataFrame:
+    """The same join with the small side's keys pushed into the scan of the large one.
+
+    The ``n`` keys are fetched first (n is the caller's bound) and become an IN
+    filter: on a table that is sorted by the key, only row groups whose range
+    holds one of them are read, instead of all rows for ``n`` matches."""
+    small = limited_side(vendors, n, key)
+    keys = [r[0] for r in small.select(key).distinct().collect()]
+    return trips.where(F.col(key).isin(keys)).join(bounded_broadcast(small, "broadcast side"), key, "inner")

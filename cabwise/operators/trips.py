@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cabwise.functions.exact import exact_mean
 from cabwise.functions.geo import haversine_km, in_open_box
 from cabwise.functions.timecols import hour_of_day, hour_padded, minutes_between, parse_ts
 
@@ -73,6 +74,15 @@ def hourly_profile(trips: DataFrame) -> DataFrame:
             .orderBy("hour"))
 
 
+def hourly_profile_exact(trips: DataFrame) -> DataFrame:
+    """The same profile with means that are equal to the last bit however the
+    trips are partitioned."""
+    return (valid_trips(trips)
+            .groupBy(hour_of_day("start_ts").alias("hour"))
+            .agg(exact_mean("start_lon").alias("longitude"), exact_mean("start_lat").alias("latitude"))
+            .orderBy("hour"))
+
+
 def hourly_profile_padded(trips: DataFrame) -> DataFrame:
     """Same profile keyed by the two-digit hour text ('00' .. '23')."""
     return (valid_trips(trips)

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabwise.functions.text import STOPWORDS
-from cabwise.operators import classify as C, joins, lexicon as LX, textclass as TC, tfidf as TF, trips as T
+from cabwise.operators import (classify as C, frequent as FR, hybrid as HY, joins, lexicon as LX, numbering as N, selection as SE, textclass as TC,
+                               tfidf as TF, trips as T)
 from cabwise.plans.inspect import join_node
 from cabwise.plans.lineage import staged, tracked_path
 from cabwise.schemas import TRIP_COLUMNS, TRIPS_CSV
-from cabwise.sources import bindings as B, files as FS, records as R
+from cabwise.sources import bindings as B, files as FS, records as R, spatial as SP
 from cabwise.streaming import hourly as HS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -591,3 +592,114 @@ def q_split_class_distribution(spark, sf_dir):
     flagged = C.split_flag(_labelled(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED).select(
         "category", "label", F.when(F.col("is_train"), "train").otherwise("test").alias("split"))
     return C.class_counts(flagged, ["category", "label", "split"])
+
+
+# ---------------------------------------------------------------------------
+# Distributed selection, numbering and class joins without a bound
+# ---------------------------------------------------------------------------
+
+DUCK_EXACT = f"""
+ranked AS (
+  SELECT f.doc_id, f.category, l.label, l.n,
+         row_number() OVER (PARTITION BY l.label ORDER BY md5('{SPLIT_SEED}:' || CAST(f.doc_id AS VARCHAR))) AS place
+  FROM fdocs f JOIN labels l USING (category))"""
+
+
+@register("exact_split", _with(*DUCK_CLASS_BASE, DUCK_EXACT) + """
+SELECT doc_id, category, label, CASE WHEN place <= floor(0.75 * n) THEN 'train' ELSE 'test' END AS split FROM ranked""")
+def q_exact_split(spark, sf_dir):
+    """Stratified split of exact size: the first floor(0.75 n) documents of each label by md5."""
+    flagged = SE.exact_split_flag(staged(_labelled(spark, sf_dir).select("doc_id", "category", "label"), "labelled"), "0.75", SPLIT_SEED)
+    return flagged.select("doc_id", "category", "label", F.when(F.col("is_train"), "train").otherwise("test").alias("split"))
+
+
+@register("exact_split_ties", """
+WITH ranked AS (
+  SELECT l_returnflag AS label, l_orderkey AS key, count(*) OVER (PARTITION BY l_returnflag) AS n,
+         row_number() OVER (PARTITION BY l_returnflag ORDER BY md5('7:' || CAST(l_orderkey AS VARCHAR))) AS place FROM lineitem)
+SELECT label, key, count(*) FILTER (WHERE place <= floor(0.5 * n)) AS n_train, count(*) AS n_rows FROM ranked GROUP BY label, key""")
+def q_exact_split_ties(spark, sf_dir):
+    """The same with keys that repeat (order lines by their order): the cut falls among equal keys."""
+    lines = B.table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("label"), F.col("l_orderkey").alias("key"))
+    return SE.exact_split_flag(lines, "0.5", 7, key="key").groupBy("label", "key").agg(
+        F.count_if("is_train").alias("n_train"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("document_numbers", """
+SELECT doc_id, CAST(row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR))) - 1 AS BIGINT) AS number FROM documents""")
+def q_document_numbers(spark, sf_dir):
+    """Dense numbers in the order of a hash, by two levels of prefix sums."""
+    keys = B.table(spark, sf_dir, "documents").select("doc_id", F.md5(F.col("doc_id").cast("string")).alias("h"))
+    return N.with_numbers(keys, [F.col("h")]).select("doc_id", "number")
+
+
+@register("record_numbers", r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(concat_ws(',', '2015-01-01', lang, text), chr(10))) AS value,
+         generate_subscripts(string_split(concat_ws(',', '2015-01-01', lang, text), chr(10)), 1) AS i FROM documents),
+valid AS (SELECT *, string_split(value, ',') AS f FROM lines
+          WHERE len(string_split(value, ',')) = 3 AND starts_with(value, '201')
+            AND regexp_matches(string_split(value, ',')[3], '\S'))
+SELECT CAST(row_number() OVER (ORDER BY doc_id, i) - 1 AS BIGINT) AS number, md5(value) AS digest, f[1] AS date, f[2] AS category,
+       lower(f[3]) AS text FROM valid""")
+def q_record_numbers(spark, sf_dir):
+    """Valid complaint lines numbered in the order of their lines."""
+    return R.numbered_records(spark, _staged_complaint_lines(spark, sf_dir))
+
+
+HOT_PARTS = 64
+
+DUCK_PARTS = """
+WITH classes AS (SELECT l_partkey AS part, count(*) AS n FROM lineitem GROUP BY 1),
+labels AS (SELECT part, n, CAST(row_number() OVER (ORDER BY n DESC, part) - 1 AS DOUBLE) AS label FROM classes)"""
+
+
+def _part_lines(spark, sf_dir):
+    return B.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"),
+                                                     F.col("l_partkey").alias("part"))
+
+
+@register("label_index_many_classes", DUCK_PARTS + """
+SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS part, label FROM lineitem JOIN labels ON part = l_partkey""")
+def q_label_index_many_classes(spark, sf_dir):
+    """Label index of a column whose number of classes grows with the table."""
+    return HY.with_class_labels(_part_lines(spark, sf_dir), "part", hot=HOT_PARTS)
+
+
+@register("frequent_rows_many_classes", DUCK_PARTS + """
+SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS part FROM lineitem JOIN labels ON part = l_partkey WHERE n > 30""")
+def q_frequent_rows_many_classes(spark, sf_dir):
+    return HY.rows_of_frequent_classes(_part_lines(spark, sf_dir), 30, "part", hot=HOT_PARTS)
+
+
+@register("lexicon_topk_sketch", ORACLE_SQL["lexicon_topk"])
+def q_lexicon_topk_sketch(spark, sf_dir):
+    """The lexicon by frequent-items sketches and an exact recount of what they propose."""
+    return FR.lexicon_by_sketch(_docs(spark, sf_dir), LEXICON_K)
+
+
+@register("join_pushed_keys", _DUCK_JOIN50)
+def q_join_pushed_keys(spark, sf_dir):
+    return joins.join_pushed(B.trips(spark, sf_dir), B.vendors(spark, sf_dir))
+
+
+_DUCK_EXACT_MEAN = "round(CAST(sum(CAST(floor({0} * 1048576) AS BIGINT)) * 1073741824 + sum(CAST(floor(({0} * 1048576 - floor({0} * 1048576)) * 1073741824) AS BIGINT)) AS DOUBLE) / (count(*) * CAST(1125899906842624 AS DOUBLE)), 12)"
+
+
+@register("hourly_profile_exact", _with(DUCK_TRIPS, DUCK_VALID) + f"""
+SELECT CAST(hour(start_ts) AS INTEGER) AS hour, {_DUCK_EXACT_MEAN.format("start_lon")} AS longitude,
+       {_DUCK_EXACT_MEAN.format("start_lat")} AS latitude
+FROM valid GROUP BY 1 ORDER BY 1""")
+def q_hourly_profile_exact(spark, sf_dir):
+    return rounded(T.hourly_profile_exact(B.trips(spark, sf_dir)), {"longitude": 12, "latitude": 12})
+
+
+MIDTOWN = ((-74.0, -73.9), (40.7, 40.8))
+
+
+@register("trips_from_box", _with(DUCK_TRIPS) + """
+SELECT * FROM trips WHERE start_lon > -74.0 AND start_lon < -73.9 AND start_lat > 40.7 AND start_lat < 40.8""")
+def q_trips_from_box(spark, sf_dir):
+    """Trips that start in a small box, read from a table laid out along a space-filling curve."""
+    path = SP.write_spatial(B.trips(spark, sf_dir), tracked_path(spark, "trips-spatial"))
+    return SP.read_box(spark, path, *MIDTOWN)

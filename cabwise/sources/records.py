@@ -7,10 +7,11 @@ starts with ``201`` and the text has a non-blank character.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cabwise.functions.text import has_non_blank
+from cabwise.plans.lineage import staged
 from cabwise.sources.files import split_fields
 
 # Fixed value: a record's date field must start with this text.
@@ -52,3 +53,27 @@ def complaints_from_lines(lines: DataFrame, col: str = "value") -> DataFrame:
                 .agg(F.count(F.lit(1)).alias("copies"))
                 .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))
     return numbered.select(F.xxhash64("value", "copy").alias("doc_id"), "date", "category", "text")
+
+
+def numbered_records(spark: SparkSession, path: str) -> DataFrame:
+    """Text files → (number, digest, date, category, text) of valid records.
+
+    ``number`` counts the valid lines from 0 in the order of the files' names and
+    of the lines in them, whatever the splits. The records are written once;
+    a record's place in what its scan task wrote is known to the reader
+    (``_metadata.row_index``), so that only one row a split of the input (its
+    first place and its count) is gathered: the running sum over these gives
+    each split its offset. No text is in an exchange. ``digest`` (md5 of the
+    line) tells records apart by content: equal lines have equal ones.
+    """
+    lines = spark.read.text(path).select(
+        F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("split"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    records = line_fields(lines, keep=("split", "file", "block")).where(record_is_valid()).select(
+        "split", "file", "block", F.md5("value").alias("digest"), "date", "category", F.lower("text").alias("text"))
+    table = staged(records, "records").withColumn("place", F.col("_metadata.row_index"))
+    splits = table.groupBy("split", "file", "block").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # one row a split
+    shifts = splits.select("split", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return table.join(F.broadcast(shifts), "split").select(  # 16 bytes for each split of the input, not for its rows
+        (F.col("place") + F.col("shift")).alias("number"), "digest", "date", "category", "text")

@@ -8,7 +8,7 @@ from oracle_harness import compare
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLE) == set(QUERIES) and len(QUERIES) == 42
+    assert set(ORACLE) == set(QUERIES) and len(QUERIES) == 52
     assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
