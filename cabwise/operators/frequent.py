@@ -27,11 +27,12 @@ FAN = 64                                # sketches that one task merges at the e
 
 
 def sketch(values: DataFrame, col: str, items: int) -> DataFrame:
-    """One row: ``top``, pairs (item, count) by falling estimate, and ``n``, all values."""
+    """One row, if there are values: ``top``, pairs (item, count) by falling estimate, and ``n``, all values."""
     parts = (values.where(F.col(col).isNotNull()).withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(FAN))).groupBy("__part")
              .agg(F.expr(f"approx_top_k_accumulate(`{col}`, {items})").alias("s"), F.count(F.lit(1)).alias("n")))
-    merged = parts.agg(F.expr("approx_top_k_combine(s)").alias("s"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    return merged.where("n > 0").select("n", F.expr(f"approx_top_k_estimate(s, {items})").alias("top"))
+    # grouped by a constant: a task without rows must not send an empty sketch, which can't be merged
+    merged = parts.groupBy(F.lit(0).alias("all")).agg(F.expr("approx_top_k_combine(s)").alias("s"), F.sum("n").alias("n"))
+    return merged.select("n", F.expr(f"approx_top_k_estimate(s, {items})").alias("top"))
 
 
 def top_values(values: DataFrame, col: str, k: int, items: int = ITEMS) -> DataFrame:
