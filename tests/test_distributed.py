@@ -165,7 +165,8 @@ def test_spatial_layout_reads_the_box_and_skips_the_rest(spark):
     import pyarrow.parquet as pq
     trips = spark.range(40_000).select(F.col("id").alias("trip_id"), (F.rand(1) * 10 - 80).alias("start_lon"),
                                        (F.rand(2) * 6 + 40).alias("start_lat")).persist()
-    odd = spark.createDataFrame([(-1, None, 41.0), (-2, float("nan"), 41.0), (-3, -74.0, 41.0)], trips.schema)
+    odd = spark.createDataFrame([(-1, None, 41.0), (-2, float("nan"), 41.0), (-3, -74.0, 41.0)],
+                                "trip_id long, start_lon double, start_lat double")
     path = SP.write_spatial(trips.unionByName(odd), staging_path(spark, "spatial"), partitions=8, row_group_bytes=32 << 10)
     lon, lat = (-74.0, -73.5), (40.7, 41.1)
     got = SP.read_box(spark, path, lon, lat)
