@@ -46,6 +46,10 @@ FOLDS, HELD_FOLD = 5, 1
 WORD, GRAM = 0, 1
 #: Edges and bytes wanted that a task works on at once, if no group of them is larger.
 PART_ROWS = 1 << 18
+#: Bytes of text that a task works on at once: contexts, look-ups and sorts take some 60 bytes for each.
+PART_BYTES = 1 << 20
+#: Distinct keys that a task counts before it sends them on.
+HELD_KEYS = 1 << 20
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 _FIRST_SHIFT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,26 +104,31 @@ class Counter:
         self.keys = keys[starts]
         self.counts = np.add.reduceat(counts, starts) if len(keys) else counts
 
+    def emptied(self, kind: int):
+        """All counts so far as batches; the sum over tasks and batches comes behind the shuffle."""
+        self.merge()
+        keys, counts = self.keys, self.counts
+        self.__init__()
+        for i in range(0, len(keys), 100_000):
+            part = keys[i:i + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(part), kind, np.int8)), as_longs(part), pa.array(counts[i:i + 100_000])], names=["kind", "key", "n"])
+
 
 def corpus_counts(docs: DataFrame, order: int) -> DataFrame:
     """(kind, key, n): n-grams of ``order`` + 1 bytes, and words by their hash."""
     def run(batches):
         counters = {WORD: Counter(), GRAM: Counter()}
-        n_docs = 0
-        for batch in slices(batches):
+        for batch in slices(batches, limit=PART_BYTES):
             texts = column(batch, "text")
-            n_docs += batch.num_rows
             words = Words(texts, lower=True)
             counters[WORD].add(words.hashes(), np.bincount(words.codes, minlength=len(words.vocabulary)))
             counters[GRAM].add(*np.unique(context_keys(texts, order)[0], return_counts=True))
+            for kind, counter in counters.items():
+                if len(counter.keys) > HELD_KEYS:
+                    yield from counter.emptied(kind)
         for kind, counter in counters.items():
-            counter.merge()
-            for i in range(0, len(counter.keys), 100_000):
-                keys = counter.keys[i:i + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), kind, np.int8)), as_longs(keys), pa.array(counter.counts[i:i + 100_000])],
-                    names=["kind", "key", "n"])
-            counter.__init__()
+            yield from counter.emptied(kind)
 
     return (arrow_map(docs, run, "kind byte, key long, n long")
             .groupBy("kind", "key").agg(F.sum("n").alias("n")))
@@ -401,7 +410,7 @@ def score(docs: DataFrame, model: Model, rest: Rest, train_tokens: int) -> DataF
 
     def run(batches):
         model, task, row = shared.value, TaskContext.get().partitionId(), 0
-        for batch in slices(batches):
+        for batch in slices(batches, limit=PART_BYTES):
             texts, n = column(batch, "text"), batch.num_rows
             keys, starts = context_keys(texts, model.order)
             logs, wanted = model.byte_logs(keys)

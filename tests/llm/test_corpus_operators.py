@@ -402,3 +402,11 @@ def test_captures_sort_by_reversed_host():
     assert warc.url_key("http://x.y?q") == "y,x)?q" and warc.url_key(None) == "" and warc.url_key("http://x.y:443") == "y,x)/"
     parsed = warc.parse(warc.record(5, "http://h/ü\n", b"p\r\n\r\nq", plain.sha("p\r\n\r\nq"), None))
     assert parsed["payload"] == b"p\r\n\r\nq" and parsed["url"] == "http://h/ü\n" and json.dumps(parsed["page_id"]) == "5"
+
+
+def test_ppm_counts_sent_on_early_add_up(spark, monkeypatch):
+    docs = documents_of(spark, "sf0.001").select(F.col("text")).limit(60)
+    whole = {(r.kind, r.key): r.n for r in ppm.corpus_counts(docs, 3).collect()}
+    monkeypatch.setattr(ppm, "HELD_KEYS", 50)
+    monkeypatch.setattr(ppm, "PART_BYTES", 3000)
+    assert {(r.kind, r.key): r.n for r in ppm.corpus_counts(docs, 3).collect()} == whole and len(whole) > 1000
