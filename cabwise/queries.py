@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cabwise.functions.text import STOPWORDS
 from cabwise.operators import (classify as C, frequent as FR, hybrid as HY, joins, lexicon as LX, numbering as N, selection as SE, textclass as TC,
                                tfidf as TF, trips as T)
-from cabwise.plans.inspect import join_node
+from cabwise.plans.inspect import printed_join_nodes
 from cabwise.plans.lineage import staged, tracked_path
 from cabwise.schemas import TRIP_COLUMNS, TRIPS_CSV
 from cabwise.sources import bindings as B, files as FS, records as R, spatial as SP
@@ -226,7 +226,7 @@ def q_join_plan_report(spark, sf_dir):
         joined = fn(B.trips(spark, sf_dir), B.vendors(spark, sf_dir))
         parts.append(joined.agg(F.count(F.lit(1)).alias("n_rows"))
                      .select(F.lit(strategy).alias("strategy"),
-                             F.lit(join_node(joined)).alias("join_node"), "n_rows"))
+                             F.lit(printed_join_nodes(joined)[0]).alias("join_node"), "n_rows"))
     return parts[0].unionByName(parts[1])
 
 

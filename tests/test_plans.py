@@ -144,3 +144,37 @@ def test_class_filter_is_a_broadcast_semi_join(spark):
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
     # the documents are never shuffled by class: a hot class cannot land on one task
     assert not any("doc_id" in cols for _, cols in exchanges(kept))
+
+
+def test_printed_plans_agree_with_the_handle(spark):
+    from cabwise.plans import inspect as I
+    trips, vendors = B.trips(spark, SF_SMOKE), B.vendors(spark, SF_SMOKE)
+    frames = [joins.join_broadcast(trips, vendors), joins.join_sort_merge(trips, vendors), T.hourly_profile(trips),
+              joins.trips_with_vendor(trips, vendors).groupBy("vendor").count(), trips.unionByName(trips).distinct(),
+              spark.sql("SELECT * FROM {t} WHERE cost > (SELECT avg(cost) FROM {t})", t=trips)]
+    for df in frames:
+        assert I.printed_join_nodes(df) == I.join_nodes(df)
+    for df in frames[:-1]:  # a subquery's plan is printed at its place and may be printed again
+        assert sorted(x.split("(")[0].split(",")[0] for x in I.printed_exchanges(df)) == sorted(
+            x.split("(")[0] for x, _ in I.exchanges(df))
+    root, = I.parse_plan(I.printed_plan(frames[1]))
+    join = next(n for n in root.walk() if n.name == "SortMergeJoin")
+    assert len(join.children) == 2 and "trip_id" in join.details
+    assert any(n.name == "FileScan" and "PushedFilters" in n.details for n in join.children[0].walk())
+
+
+def test_plan_parser_on_text():
+    from cabwise.plans.inspect import parse_plan
+    text = """== Physical Plan ==
+AdaptiveSparkPlan isFinalPlan=false
++- HashAggregate(keys=[k#1])
+   +- *(2) BroadcastHashJoin [k#1], [k#2], Inner
+      :- Exchange hashpartitioning(k#1, 8)
+      :  +- * Filter isnotnull(k#1)
+      +- LocalTableScan [k#2]
+
+"""
+    root, = parse_plan(text)
+    assert [n.name for n in root.walk()] == ["AdaptiveSparkPlan", "HashAggregate", "BroadcastHashJoin", "Exchange", "Filter", "LocalTableScan"]
+    join = root.children[0].children[0]
+    assert [c.name for c in join.children] == ["Exchange", "LocalTableScan"] and join.children[0].details == "hashpartitioning(k#1, 8)"
