@@ -3,6 +3,13 @@
 Every stage gets all rows that its predecessor kept. Its result is written as
 Parquet to the shared folder and read again by the next one, so that a lost
 executor costs a re-read of one stage.
+
+Defined results: a null text is an empty one; it fails the quality rules, as does
+any text of less than 50 words. A null id sorts after all ids, a null source is a
+source of its own. Texts are read whole, however long. Of equal texts the
+longest original with the least id stays, of near copies the least id; rows that
+repeat an id are looked at one by one. Other columns, whatever their names, are
+carried along up to the last stage. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +41,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources ask for."""
-    return emit(copies_of(docs))
+    out = "mix"
+    while out in map(str.lower, docs.columns):  # a column of the documents may have this name
+        out += "_"
+    return emit(copies_of(docs, out=out), out)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
