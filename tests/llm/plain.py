@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-EXTRA = ("size", "piece", "length", "sha", "cls", "h", "key", "n", "band", "mixed", "row", "spans", "kept")
+EXTRA = ("size", "piece", "length", "sha", "cls", "h", "key", "n", "band", "mix", "mixed", "row", "spans", "kept")
 LONG = " ".join(f"w{i % 9973}" for i in range(60_000))
 
 #: (doc_id, text, lang, source): nulls, empty and very long texts, ties, repeated rows.

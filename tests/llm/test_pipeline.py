@@ -4,6 +4,7 @@ import collections
 
 import duckdb
 import plain
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -45,6 +46,18 @@ def test_stages_carry_the_columns(spark):
         out.count()
 
 
+def test_pipeline_on_edge_rows_and_on_none(spark, tmp_path):
+    real = documents_of(spark, "sf0.001").select((F.col("doc_id") + 10_000).alias("doc_id"), "text", "lang", "source")
+    docs = plain.edge_docs(spark).unionByName(real.withColumns({c: F.lit(c) for c in plain.EXTRA}))
+    docs.write.parquet(f"{tmp_path}/edge/documents.parquet")
+    plain.no_docs(spark).write.parquet(f"{tmp_path}/none/documents.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/edge").collect()
+    plain.check_packing([(r.length, r.sequence_id, r.offset) for r in got])
+    clean = {r.doc_id for r in fertility.quality_metrics(docs).where("kept").collect()}
+    assert got and {r.doc_id for r in got} <= clean and 1 not in clean and 3 not in clean
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_registry():
     names = set(__spark_entry__.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
