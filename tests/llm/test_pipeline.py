@@ -39,7 +39,7 @@ def test_pipeline_against_plain_stages(spark):
 
 def test_stages_carry_the_columns(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "exact_dedup", "near_dedup", "mixing", "packing"]
-    docs = plain.edge_docs(spark)
+    docs = plain.edge_docs(spark).withColumn("mix", F.lit("mix"))
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF_SMOKE)
         assert out.columns == docs.columns and out.dtypes == docs.dtypes
@@ -48,7 +48,7 @@ def test_stages_carry_the_columns(spark):
 
 def test_pipeline_on_edge_rows_and_on_none(spark, tmp_path):
     real = documents_of(spark, "sf0.001").select((F.col("doc_id") + 10_000).alias("doc_id"), "text", "lang", "source")
-    docs = plain.edge_docs(spark).unionByName(real.withColumns({c: F.lit(c) for c in plain.EXTRA}))
+    docs = plain.edge_docs(spark).unionByName(real.withColumns({c: F.lit(c) for c in plain.EXTRA})).withColumn("mix", F.lit(1))
     docs.write.parquet(f"{tmp_path}/edge/documents.parquet")
     plain.no_docs(spark).write.parquet(f"{tmp_path}/none/documents.parquet")
     got = corpus_pipeline.run(spark, f"{tmp_path}/edge").collect()
