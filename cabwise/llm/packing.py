@@ -6,9 +6,10 @@ of each length: at most ``capacity`` numbers, however large the corpus. Bin
 completion works on this histogram: around the longest piece left it
 enumerates the undominated fillings of the space, prunes branches by the
 waste that the best packing so far (first the best-fit one) still allows, and
-uses a filling as often as the histogram permits. The search isn't exhaustive:
-it ends after a number of steps that grows with the number of lengths, and
-follows ``FILLINGS`` fillings a step. The outcome is a list of
+uses a filling as often as the histogram permits. The fullest filling is found
+by subset sums on the bits of a number; the first way down takes it each time. The
+search isn't exhaustive: it ends after a number of steps that grows with the
+number of lengths, and follows ``FILLINGS`` fillings a step. The outcome is a list of
 patterns; pieces are matched to patterns by their rank among the pieces of
 their length. Ranks are counted in hash buckets first, so that a length that
 many pieces share is not ranked in one task, and no piece moves but with the
@@ -16,7 +17,7 @@ columns it has.
 
 Defined results: a null text is an empty one, whose only token is the end.
 Rows that repeat an id are pieces of their own. Empty input: empty result.
-Other columns are dropped, save those named in ``carry``.
+Other columns are dropped.
 """
 
 from __future__ import annotations
@@ -123,14 +124,29 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]
     return [(tuple(sorted(held.items(), reverse=True)), n) for same in open_bins.values() for held, n in same]
 
 
+def least_sequences(counts: dict[int, int], capacity: int) -> int:
+    """A lower bound on the sequences: pieces over half a sequence have one each, and
+    the pieces from ``alpha`` to a half fit only beside those that leave ``alpha`` or more.
+
+    The largest such bound over all ``alpha`` (Martello and Toth's second)."""
+    n = np.zeros(capacity + 1, np.int64)
+    n[list(counts)] = list(counts.values())
+    weight = n * np.arange(capacity + 1)
+    upto_n, upto_w = np.cumsum(n), np.cumsum(weight)
+    half = capacity // 2
+    alpha = np.arange(half + 1)
+    small = upto_w[half] - upto_w[alpha] + weight[alpha]
+    room = (upto_n[capacity - alpha] - upto_n[half]) * capacity - (upto_w[capacity - alpha] - upto_w[half])
+    more = np.maximum(0, -(-(small - room) // capacity))
+    return int((upto_n[capacity] - upto_n[half] + more).max())
+
+
 def _dominated(filling: dict[int, int], slack: int, left: list[int], counts: dict[int, int]) -> bool:
     """Whether one piece left over would do better than one or two of the filling."""
-    free = [x for x in left if counts[x] > filling.get(x, 0)]
-    have = set(free)
-    for a in filling:
-        if any(x in have for x in range(a + 1, a + slack + 1)):
-            return True
-    if free and free[-1] <= slack:
+    have = {x for x in left if counts[x] > filling.get(x, 0)}
+    if min(have, default=slack + 1) <= slack:
+        return True
+    if any(x in have for a in filling for x in range(a + 1, a + slack + 1)):
         return True
     items = [a for a, n in filling.items() for _ in range(min(n, 2))]
     return any(x in have for i, a in enumerate(items) for b in items[i + 1:] for x in range(a + b, a + b + slack + 1))
@@ -139,44 +155,56 @@ def _dominated(filling: dict[int, int], slack: int, left: list[int], counts: dic
 def fillings(counts: dict[int, int], space: int, most: int = FILLINGS) -> list[tuple[int, dict[int, int]]]:
     """Undominated fillings of ``space`` from the histogram, least waste first.
 
-    Depth-first from the longest piece that fits; the last piece of a filling
-    is found directly, as the longest that fits. The search ends after
-    ``most`` fillings without waste, or ``32 * most`` in all.
+    The sums that the pieces can reach are the bits of a number, one number after
+    each length from the longest down, so the fullest filling is always found.
+    Of equally full ones those come first whose least piece is longest. At most
+    ``most`` are given, each with another least piece or another sum; of sums that
+    leave space, the ``2 * most`` fullest are looked at.
     """
-    lengths = sorted((x for x in counts if counts[x] and x <= space), reverse=True)
+    lengths = sorted((x for x in counts if counts[x] > 0 and x <= space), reverse=True)
     if not lengths:
         return [(space, {})]
-    found: dict[tuple, tuple[int, dict[int, int]]] = {}
-    tried = full = 0
-
-    def search(place: int, room: int, held: dict[int, int]) -> None:
-        nonlocal tried, full
-        if full >= most or tried >= 32 * most:
-            return
-        fits = [i for i in range(place, len(lengths)) if lengths[i] <= room and counts[lengths[i]] > held.get(lengths[i], 0)]
-        if not fits:
-            tried += 1
-            full += room == 0
-            found.setdefault(tuple(sorted(held.items())), (room, dict(held)))
-            return
-        if room in counts and counts[room] > held.get(room, 0) and room <= lengths[place]:
-            tried += 1
-            full += 1
-            done = {**held, room: held.get(room, 0) + 1}
-            found.setdefault(tuple(sorted(done.items())), (0, done))
-            if full >= most:
-                return
-        for i in fits[:max(2, most)]:
-            held[lengths[i]] = held.get(lengths[i], 0) + 1
-            search(i, room - lengths[i], held)
-            held[lengths[i]] -= 1
-            if not held[lengths[i]]:
-                del held[lengths[i]]
-
-    search(0, space, {})
-    ranked = sorted(found.values(), key=lambda x: (x[0], [-a for a in sorted(x[1], reverse=True)]))
-    clean = [x for x in ranked if not x[0] or not _dominated(x[1], x[0], lengths, counts)]
-    return (clean or ranked)[:most]
+    mask = (1 << space + 1) - 1
+    sums = [1]  # sums[i]: what pieces of lengths[:i] reach
+
+    def trace(last: int, total: int) -> dict[int, int]:
+        """Pieces of lengths[:last + 1] that add up to ``total``, at least one of the last length,
+        and as few of the shorter ones as can be."""
+        held: dict[int, int] = {}
+        for i in range(last, -1, -1):
+            k = int(i == last)
+            while not sums[i] >> total - k * lengths[i] & 1:
+                k += 1
+            if k:
+                held[lengths[i]] = k
+                total -= k * lengths[i]
+            if not total:
+                break
+        return held
+
+    found: list[tuple[int, dict[int, int]]] = []
+    for i, length in enumerate(lengths):
+        reach, n, step = sums[-1], min(counts[length], space // length), 1
+        while n:  # 1, 2, 4, ... copies: every number up to n
+            take = min(step, n)
+            reach |= reach << take * length & mask
+            n, step = n - take, 2 * step
+        if reach >> space & 1 and any(sums[-1] >> space - k * length & 1
+                                      for k in range(1, min(counts[length], space // length) + 1)):
+            found.append((0, trace(i, space)))
+            if len(found) >= most:
+                return found
+        sums.append(reach)
+    below = (1 << space) - 1  # the fullest sums that leave something
+    for _ in range(2 * most):
+        total = (sums[-1] & below).bit_length() - 1
+        if total <= 0 or len(found) >= most:
+            break
+        held = trace(next(i for i in range(len(lengths)) if sums[i + 1] >> total & 1), total)
+        if not found or not _dominated(held, space - total, lengths, counts):
+            found.append((space - total, held))
+        below = (1 << total) - 1
+    return found
 
 
 def steps(counts: dict[int, int]) -> int:
@@ -187,53 +215,64 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int | None = No
     """Patterns (filling, how often) that use up the histogram.
 
     Branch and bound: a branch is left when its waste is more than a packing
-    with one sequence less than the best known could have.
+    with one sequence less than the best known could have, or when the pieces
+    left need too many sequences by :func:`least_sequences`. The first way down
+    takes the fullest filling each time.
     """
     nodes = steps(counts) if nodes is None else nodes
-    total = sum(a * n for a, n in counts.items())
-    bound = max(-(-total // capacity), sum(n for a, n in counts.items() if 2 * a > capacity))
+    left = {a: n for a, n in counts.items() if n}
+    total = sum(a * n for a, n in left.items())
+    bound = least_sequences(left, capacity)
     best = best_fit(counts, capacity)
     most = sum(n for _, n in best)
-    left = {a: n for a, n in counts.items() if n}
+    if most <= bound:
+        return best
 
     def change(filling: Filling, times: int) -> int:
         """Take a filling's pieces (or put them back, if negative): the waste of it."""
         for a, n in filling:
-            left[a] -= times * n
+            now = left.get(a, 0) - times * n
+            if now:
+                left[a] = now
+            else:
+                del left[a]
         return times * (capacity - sum(a * n for a, n in filling))
 
-    def branches() -> list[tuple[Filling, int]]:
+    def branches(most: int) -> list[tuple[Filling, int]]:
         """Fillings around the longest piece left, the best one last."""
-        longest = max(a for a, n in left.items() if n)
-        rest = {a: n for a, n in left.items() if n}
-        rest[longest] -= 1
+        longest = max(left)
+        rest = {**left, longest: left[longest] - 1}
         own = []
-        for _, held in fillings(rest, capacity - longest):
+        for _, held in fillings(rest, capacity - longest, most):
             held = {**held, longest: held.get(longest, 0) + 1}
             own.append((tuple(sorted(held.items(), reverse=True)), min(left[a] // n for a, n in held.items())))
         return own[::-1]
 
     path: list[tuple[Filling, int]] = []
-    untried = [branches()] if most > bound else []  # one list more than the path is long
-    waste = spent = 0
+    untried = [branches(1)]  # one list more than the path is long
+    whole = [False]  # whether a list had all its fillings: they are looked up on the way back
+    waste = spent = used = 0
     while untried and most > bound and spent < nodes:
-        if not untried[-1]:
-            untried.pop()
+        if not untried[-1] and not whole[-1]:
+            untried[-1], whole[-1] = branches(FILLINGS)[:-1], True
+        elif not untried[-1]:
+            untried.pop(), whole.pop()
             if path:
                 filling, times = path.pop()
                 waste += change(filling, -times)
-            continue
-        filling, times = untried[-1].pop()
-        spent += 1
-        waste += change(filling, times)
-        path.append((filling, times))
-        if waste > (most - 1) * capacity - total:
-            untried.append([])
-        elif any(left.values()):
-            untried.append(branches())
+                used -= times
         else:
-            best, most = list(path), sum(n for _, n in path)
-            untried.append([])
+            filling, times = untried[-1].pop()
+            spent += 1
+            waste += change(filling, times)
+            used += times
+            path.append((filling, times))
+            if not left and used < most:
+                best, most = list(path), used
+            over = (not left or waste > (most - 1) * capacity - total
+                    or whole[-1] and used + least_sequences(left, capacity) >= most)
+            untried.append([] if over else branches(1))
+            whole.append(over)
     return best
 
 

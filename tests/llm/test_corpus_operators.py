@@ -109,9 +109,39 @@ def test_bin_completion_finds_the_least():
         assert sum(n for _, n in patterns) == fewest(lengths, 100)
 
 
+def test_the_lower_bound_holds():
+    rng = np.random.default_rng(6)
+    for _ in range(100):
+        lengths = sorted(rng.integers(1, 101, rng.integers(1, 9)).tolist(), reverse=True)
+        bound = packing.least_sequences(dict(collections.Counter(lengths)), 100)
+        assert -(-sum(lengths) // 100) <= bound <= fewest(lengths, 100)
+
+
+def test_fillings_are_the_fullest():
+    rng = np.random.default_rng(7)
+    for _ in range(100):
+        counts = dict(collections.Counter(rng.integers(2, 60, rng.integers(1, 9)).tolist()))
+        reach = {0}
+        for a, n in counts.items():
+            reach = {r + a * k for r in reach for k in range(n + 1) if r + a * k <= 80}
+        found = packing.fillings(counts, 80)
+        assert found[0][0] == 80 - max(reach)
+        for waste, held in found:
+            assert all(0 < n <= counts[a] for a, n in held.items())
+            assert waste == 80 - sum(a * n for a, n in held.items())
+
+
+def test_subset_sums_beat_best_fit():
+    rng = np.random.default_rng(8)
+    counts = dict(collections.Counter(rng.integers(500, 2048, 4000).tolist()))
+    n = sum(k for _, k in packing.bin_completion(counts, 2048))
+    assert n < sum(k for _, k in packing.best_fit(counts, 2048))
+    assert n <= 1.002 * packing.least_sequences(counts, 2048)
+
+
 def test_the_search_grows_with_the_number_of_lengths(monkeypatch):
     rng = np.random.default_rng(3)
-    counts = dict(collections.Counter(rng.integers(500, 2000, 400).tolist()))  # best fit is over the bound, and stays
+    counts = dict(collections.Counter(rng.integers(690, 1000, 400).tolist()))  # best fit is over the bound, and stays
     tried, own = [], packing.fillings
     monkeypatch.setattr(packing, "fillings", lambda *x: tried.append(1) or own(*x))
     monkeypatch.setattr(packing, "NODES", 40)
