@@ -11,9 +11,9 @@ by subset sums on the bits of a number; the first way down takes it each time. T
 search isn't exhaustive: it ends after a number of steps that grows with the
 number of lengths, and follows ``FILLINGS`` fillings a step. The outcome is a list of
 patterns; pieces are matched to patterns by their rank among the pieces of
-their length. Ranks are counted in hash buckets first, so that a length that
-many pieces share is not ranked in one task, and no piece moves but with the
-columns it has.
+their length. Ranks are counted in hash buckets first, as many for each length
+as its pieces ask for, so that a length that many pieces share is not ranked in one
+task, and no piece moves but with the columns it has.
 
 Defined results: a null text is an empty one, whose only token is the end.
 Rows that repeat an id are pieces of their own. Empty input: empty result.
@@ -36,7 +36,8 @@ from cabwise.llm.tokens import text_ids, vocabulary_path
 CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
-RANK_BUCKETS = 256
+#: Pieces of one length that are ranked in one group, about.
+RANKED = 1 << 15
 #: Fillings that the search may try before the best packing so far stands: at
 #: least, and for each length there is (one way down uses up about one a step).
 NODES = 4000
@@ -294,23 +295,26 @@ def _slots(patterns: list[tuple[Filling, int]], counts: dict[int, int]):
     return np.array(sorted(slots), np.int64).reshape(-1, 5)
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, nodes: int | None = None, buckets: int = RANK_BUCKETS) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, nodes: int | None = None, ranked: int = RANKED) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to a table of pieces.
 
-    ``cut`` is read twice; write it first where it is dear to make."""
+    ``ranked``: pieces of one length that a group of the ranking has, about. ``cut``
+    is read twice; write it first where it is dear to make."""
     counts = {int(r.length): int(r.n) for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     whole = counts.pop(capacity, 0)  # these need no search
     patterns = ([(((capacity, 1),), whole)] if whole else []) + bin_completion(counts, capacity, nodes)
     slots = _slots(patterns, counts | ({capacity: whole} if whole else {}))
     shared = cut.sparkSession.sparkContext.broadcast(slots)
-    placed = cut.withColumn("__pack_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
+    counts |= {capacity: whole} if whole else {}
+    buckets = F.get(F.lit([-(-counts.get(a, 1) // ranked) for a in range(capacity + 1)]), F.col("length").cast("int"))
+    placed = cut.withColumn("__pack_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), buckets))
     key = ["length", "__pack_bucket"]
     starts = placed.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).select(*key, (F.sum("n").over(
         Window.partitionBy("length").orderBy("__pack_bucket")) - F.col("n")).alias("__pack_before"))
     inside = Window.partitionBy(*key).orderBy("doc_id", "piece", "ids_crc32")
-    ranked = (placed.withColumn("__pack_place", F.row_number().over(inside)).join(starts, key)
-              .withColumn("__pack_rank", F.col("__pack_before") + F.col("__pack_place") - 1)
-              .select(*cut.columns, "__pack_rank"))
+    with_ranks = (placed.withColumn("__pack_place", F.row_number().over(inside)).join(starts, key)
+                  .withColumn("__pack_rank", F.col("__pack_before") + F.col("__pack_place") - 1)
+                  .select(*cut.columns, "__pack_rank"))
 
     def place(batches):
         table = shared.value
@@ -327,7 +331,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, nodes: int | None = None, buc
                 names=batch.schema.names[:-1] + ["sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id long, offset long"
-    return arrow_map(ranked, place, schema)
+    return arrow_map(with_ranks, place, schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -133,10 +133,10 @@ def test_fillings_are_the_fullest():
 
 def test_subset_sums_beat_best_fit():
     rng = np.random.default_rng(8)
-    counts = dict(collections.Counter(rng.integers(500, 2048, 4000).tolist()))
+    counts = dict(collections.Counter((300 + rng.exponential(500, 4000)).astype(int).clip(1, 2047).tolist()))
     n = sum(k for _, k in packing.bin_completion(counts, 2048))
     assert n < sum(k for _, k in packing.best_fit(counts, 2048))
-    assert n <= 1.002 * packing.least_sequences(counts, 2048)
+    assert n <= 1.003 * packing.least_sequences(counts, 2048)
 
 
 def test_the_search_grows_with_the_number_of_lengths(monkeypatch):
@@ -440,3 +440,11 @@ def test_ppm_counts_sent_on_early_add_up(spark, monkeypatch):
     monkeypatch.setattr(ppm, "HELD_KEYS", 50)
     monkeypatch.setattr(ppm, "PART_BYTES", 3000)
     assert {(r.kind, r.key): r.n for r in ppm.corpus_counts(docs, 3).collect()} == whole and len(whole) > 1000
+
+
+def test_ranks_of_one_length_are_dealt_by_count(spark):
+    cut = spark.range(3000).selectExpr("id AS doc_id", "0 AS piece", "0L AS start",
+                                       "CASE WHEN id % 3 = 0 THEN 2048L WHEN id % 3 = 1 THEN 700L ELSE 5L END AS length", "id AS ids_crc32")
+    for ranked in (1 << 15, 7):
+        got = packing.pack(cut, ranked=ranked).collect()
+        assert plain.check_packing([(r.length, r.sequence_id, r.offset) for r in got]) == 1500 and len(got) == 3000
