@@ -9,10 +9,12 @@ neighbours alike, so that a source's words come within about one document of
 its target.
 
 The prefix sum is distributed. A source is cut into size classes (eighths of
-an octave) and each class into ``BUCKETS`` by a hash of the id; the counts of
-these blocks are aggregated before they shuffle, summed along each source
-(at most 512 classes times ``BUCKETS`` rows of one source, whatever its size),
-and documents are ranked inside their block. No task sees a whole source.
+an octave) and each class into buckets by a hash of the id, one for ``RANKED``
+rows of the table and ``BUCKETS`` at least: a block of (source, class, bucket)
+has about ``RANKED`` rows at most, even if all rows are of one source and size.
+The counts of these blocks are aggregated before they shuffle and summed on two
+levels, buckets in their class and classes (512 at most) in their source;
+documents are ranked inside their block. No task sees a whole source.
 
 Defined results: a null or empty text has size 0 and takes no words. A null
 source is a source of its own, after all others. A source without words has
@@ -30,6 +32,8 @@ from cabwise.llm.common import documents, text_of
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_COPIES = 3
 BUCKETS = 64
+#: Rows of a block, about, if all rows are of one source and size class.
+RANKED = 1 << 15
 SEED = 20240
 
 
@@ -85,23 +89,29 @@ def blocks(rows: DataFrame, buckets: int, seed: int, doc_id: str) -> DataFrame:
                              "__mix_bucket": F.floor(spot * buckets).cast("int")})
 
 
-def copies_of(docs: DataFrame, weigh=repeating_weights, most_copies: int = MOST_COPIES, buckets: int = BUCKETS,
+def copies_of(docs: DataFrame, weigh=repeating_weights, most_copies: int = MOST_COPIES, buckets: int | None = None,
               seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source",
               out: str = "mix") -> DataFrame:
     """``docs`` with a struct column ``out``: size, source_size, target, copies.
 
     ``weigh`` adds a ``weight`` to a table (source, source_size); it may join
-    a table of the caller's own weights.
+    a table of the caller's own weights. ``buckets`` follows the number of rows, unless
+    given; the rows are counted when this is called (from the footers of a table).
     """
     if out in docs.columns:
         raise ValueError(f"the input has a column {out}; choose another name for the result")
+    buckets = max(BUCKETS, -(-docs.count() // RANKED)) if buckets is None else buckets
     rows = blocks(docs.withColumns({
         "__mix_size": n_words(text), "__mix_no_source": F.col(f"`{source}`").isNull(),
         "__mix_source": F.coalesce(F.col(f"`{source}`").cast("string"), F.lit(""))}), buckets, seed, doc_id)
     place = ["__mix_source", "__mix_no_source", "__mix_class", "__mix_bucket"]
     counted = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.sum("__mix_size").alias("words"))
-    line = Window.partitionBy("__mix_source", "__mix_no_source").orderBy("__mix_class", "__mix_bucket")
-    starts = counted.select(*place, (F.sum("n").over(line) - F.col("n")).alias("__mix_before"))
+    line = Window.partitionBy(*place[:2]).orderBy("__mix_class")
+    classes = counted.groupBy(*place[:3]).agg(F.sum("n").alias("n")).select(
+        *place[:3], (F.sum("n").over(line) - F.col("n")).alias("__mix_shorter"))
+    in_class = Window.partitionBy(*place[:3]).orderBy("__mix_bucket")
+    starts = counted.select(*place, (F.sum("n").over(in_class) - F.col("n")).alias("__mix_inside")).join(
+        classes, place[:3]).select(*place, (F.col("__mix_shorter") + F.col("__mix_inside")).alias("__mix_before"))
     sources = counted.groupBy(*place[:2]).agg(F.sum("words").alias("source_size")).select(
         F.when(~F.col("__mix_no_source"), F.col("__mix_source")).alias("source"), "source_size")
     targets = target_words(weigh(sources), most_copies).select(
@@ -157,7 +167,7 @@ t AS (SELECT src, no_source, source_size,
 c AS (SELECT *, CASE WHEN size < 8 THEN size
                      ELSE length(bin(size)) * 8 + ((size >> (length(bin(size)) - 4)) & 7) END AS class,
              floor(CAST(('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)) AS BIGINT)
-                   / 4294967296.0 * {BUCKETS}) AS bucket
+                   / 4294967296.0 * (SELECT greatest({BUCKETS}, (count(*) + {RANKED - 1}) // {RANKED}) FROM d)) AS bucket
       FROM d),
 r AS (SELECT *, row_number() OVER (PARTITION BY src, no_source ORDER BY class, bucket, size, doc_id NULLS LAST) AS rk
       FROM c),

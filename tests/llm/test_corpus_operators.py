@@ -448,3 +448,14 @@ def test_ranks_of_one_length_are_dealt_by_count(spark):
     for ranked in (1 << 15, 7):
         got = packing.pack(cut, ranked=ranked).collect()
         assert plain.check_packing([(r.length, r.sequence_id, r.offset) for r in got]) == 1500 and len(got) == 3000
+
+
+def test_blocks_of_equal_sizes_take_the_same_in_all(spark):
+    """A source of one size: its copies add up to the rounded sum, whatever the blocks."""
+    docs = spark.range(2000).selectExpr("id AS doc_id", "'a b c' AS text", "IF(id % 4 = 0, 'x', 'y') AS source")
+    for buckets in (None, 1, 500):
+        got = mixing.copies_of(docs, buckets=buckets).groupBy("source").agg(
+            F.sum("mix.copies").alias("n"), F.first("mix.target").alias("t"), F.min("mix.copies").alias("a"),
+            F.max("mix.copies").alias("b")).collect()
+        for r in got:
+            assert abs(3 * r.n - r.t) < 3 and r.b - r.a <= 1
