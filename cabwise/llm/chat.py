@@ -172,3 +172,24 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                    F.lit("</s>[INST] ok [/INST]").alias("text"))
     return read_back(format_conversations(turns.unionByName(tricky)))
+
+
+def _escaped_points(x: str) -> str:
+    """SQL of the code points that a text has once escaped."""
+    marks = "|".join(re.escape(c).replace("/", "\\/") for c in CONTROL).replace("'", "''")
+    return f"length({x}) + length({x}) - length(replace({x}, chr(92), '')) + 2 * len(regexp_extract_all({x}, '{marks}'))"
+
+
+OP4_SQL = f"""
+WITH t AS (
+  SELECT coalesce(conv_id, {NULL_ID}) AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+c AS (SELECT conv_id, count(*) AS n_turns,
+             string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+             coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+             sum({len(START) + len(END) + 2} + {_escaped_points('role')} + length(role) - length(replace(role, chr(10), ''))
+                 + {_escaped_points('text')}) AS formatted
+      FROM t GROUP BY conv_id)
+SELECT nullif(conv_id, {NULL_ID}) AS conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(formatted AS BIGINT) AS formatted_chars
+FROM c"""

@@ -44,3 +44,27 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if state == before:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def components_sql(size: int, percent: int, more: str = "") -> str:
+    """DuckDB SQL of ``documents``: (doc_id, n_shingles, component_id), linked where
+    the sets of ``size`` lower-cased words in a row share ``percent``; ``more`` adds columns."""
+    return rf"""
+WITH RECURSIVE words AS (
+  SELECT coalesce(doc_id, 9223372036854775807) AS doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+           lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))) END AS s FROM words),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS k
+         FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id
+         WHERE 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs WHERE 100 * k >= {percent} * (m + n - k)),
+edges AS (SELECT a AS u, b AS v FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT u, v FROM edges UNION SELECT r.u, e.v FROM reach r JOIN edges e ON r.v = e.u),
+lowest AS (SELECT u, min(v) AS v FROM reach GROUP BY u)
+SELECT nullif(doc_id, 9223372036854775807) AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
+       nullif(least(doc_id, coalesce(v, doc_id)), 9223372036854775807) AS component_id{more}
+FROM sets LEFT JOIN lowest ON u = doc_id"""

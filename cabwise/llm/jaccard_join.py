@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from cabwise.llm.bloom import member_filter
 from cabwise.llm.common import NULL_ID, arrow_map, column, documents, id_key, slices, sorted_groups, staged, text_of
-from cabwise.llm.components import components
+from cabwise.llm.components import components, components_sql
 from cabwise.llm.near_dedup import shingle_sets, similar
 from cabwise.plans.lineage import intermediates
 
@@ -406,22 +406,4 @@ def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir))
 
 
-OP12_SQL = r"""
-WITH RECURSIVE words AS (
-  SELECT coalesce(doc_id, 9223372036854775807) AS doc_id, list_filter(string_split_regex(
-           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
-           lambda x: x <> '') AS w FROM documents),
-sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
-tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
-pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS k
-         FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id
-         WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY 1, 2),
-links AS (SELECT a, b FROM pairs WHERE 100 * k >= 80 * (m + n - k)),
-edges AS (SELECT a AS u, b AS v FROM links UNION SELECT b, a FROM links),
-reach AS (SELECT u, v FROM edges UNION SELECT r.u, e.v FROM reach r JOIN edges e ON r.v = e.u),
-lowest AS (SELECT u, min(v) AS v FROM reach GROUP BY u)
-SELECT nullif(doc_id, 9223372036854775807) AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
-       nullif(least(doc_id, coalesce(v, doc_id)), 9223372036854775807) AS component_id
-FROM sets LEFT JOIN lowest ON u = doc_id"""
+OP12_SQL = components_sql(SHINGLE, PERCENT)

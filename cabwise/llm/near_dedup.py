@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from cabwise.llm.bloom import member_filter
 from cabwise.llm.common import (NULL_ID, Words, arrow_map, as_longs, column, documents, id_key, mixed, slices,
                                 sorted_groups, staged, text_of)
-from cabwise.llm.components import components
+from cabwise.llm.components import components, components_sql
 
 SHINGLE = 4
 PERCENT = 80
@@ -393,3 +393,6 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = PERCENT, doc
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
+
+
+OP3_SQL = components_sql(SHINGLE, PERCENT, ", doc_id <= coalesce(v, doc_id) AS kept")

@@ -330,3 +330,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), digest=True)
+
+
+OP7_SQL = rf"""
+WITH d AS (
+  SELECT coalesce(doc_id, {NULL_ID}) AS doc_id, row_number() OVER () AS r,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+starts AS (SELECT doc_id, r, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d),
+windows AS (SELECT doc_id, r, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS s FROM starts),
+firsts AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY s),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + {WINDOW})) AS p FROM windows JOIN firsts USING (s) WHERE least < doc_id),
+words AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT nullif(doc_id, {NULL_ID}) AS doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
