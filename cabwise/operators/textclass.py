@@ -63,6 +63,10 @@ def labelled_features(counts: DataFrame, k: int = LX.DEFAULT_K, weighting: str =
     return table.join(F.broadcast(labels), "category").select(*table.columns, "label")
 
 
+#: Least rows of a partition in the fit.
+FIT_ROWS = 2048
+
+
 @dataclass
 class ClassificationRun:
     train: DataFrame          # persisted when cache_train is set; see release()
@@ -78,6 +82,14 @@ class ClassificationRun:
         self.written.release()
 
 
+def for_the_fit(train: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """A written training table with partitions of ``rows`` rows at least, made without a shuffle.
+
+    The fit runs a job of all partitions for each of its iterations. The rows are
+    counted from the files' footers; a table of many rows keeps its scan's partitions."""
+    return train.coalesce(max(1, -(-train.count() // rows)))
+
+
 def split_vectors(docs: DataFrame, k: int, weighting: str, min_class_count: int | None, train_fraction: float,
                   seed: int, split: str = "hash", partitions: int | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """(train, test, class names): written tables with sparse vectors."""
@@ -91,7 +103,7 @@ def split_vectors(docs: DataFrame, k: int, weighting: str, min_class_count: int
     cut = C.holdout_split if split == "hash" else C.sampled_split
     parts = [TF.sparse_layout(part, k) for part in cut(table, fractions, seed)]
     train, test = (staged(part, "vectors", TF.vector_schema(part)) for part in parts)
-    return train, test, list(indexer.labels)
+    return for_the_fit(train), test, list(indexer.labels)
 
 
 def classify_documents(docs: DataFrame, k: int = LX.DEFAULT_K, weighting: str = "augmented",

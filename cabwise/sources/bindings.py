@@ -76,6 +76,15 @@ def complaints(spark: SparkSession, sf_dir: str, category: str = "lang") -> Data
     return docs.select("doc_id", F.col(category).alias("category"), "text")
 
 
+def complaints_by_length(spark: SparkSession, sf_dir: str, least: int = 8, most: int = 11) -> DataFrame:
+    """documents → (doc_id, category, text); a category is a language and an octave of
+    the text's length, from 2^least to 2^most: many classes that the words tell something of."""
+    octave = F.length(F.bin(F.coalesce("n_chars", F.lit(0)).cast("long"))) - 1
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.concat_ws("-", "lang", F.greatest(F.lit(least), F.least(F.lit(most), octave))
+                                             .cast("string")).alias("category"), "text")
+
+
 def complaint_lines(spark: SparkSession, sf_dir: str, category: str = "lang",
                     date: str = "2015-01-01") -> DataFrame:
     """documents → raw ``date,category,text`` lines (one value per document)."""

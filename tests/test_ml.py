@@ -37,6 +37,23 @@ def test_class_filter_variant(spark):
     assert set(got) == {"en", "de", "fr"} and sorted(got.values()) == [0.0, 1.0, 2.0]   # es has 13 featured documents
 
 
+def test_partitions_of_the_fit(spark, tmp_path):
+    spark.range(1000).repartition(6).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.option("maxPartitionBytes", 1).parquet(f"{tmp_path}/rows")
+    for least, most in ((2048, 1), (300, 4), (1, rows.rdd.getNumPartitions())):
+        got = TC.for_the_fit(rows, least)
+        assert got.rdd.getNumPartitions() <= most and got.distinct().count() == 1000
+    assert "Exchange" not in TC.for_the_fit(rows, 300)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_classes_can_be_learned(spark):
+    docs = B.complaints_by_length(spark, SF_SMOKE.replace("0.001", "0.01"))
+    run = TC.classify_documents(docs, max_iter=40, min_class_count=30)
+    report = TC.accuracy_report(run).first()
+    assert report.n_classes >= 8 and report.accuracy > report.majority
+    run.release()
+
+
 def test_sampled_split_in_the_pipeline(spark):
     docs = B.complaints(spark, SF_SMOKE, "lang")
     run = TC.classify_documents(docs, max_iter=20, split="sample", cache_train=False)
