@@ -8,14 +8,22 @@ windows with one anchor, with the words that they cover.
 1. A two-pass Bloom filter over all anchors finds those that may stand in more
    than one document; stretches of all others can't be repeated and go no
    further.
-2. The windows of the stretches left are suffixes to compare. They are split
-   by the words that a repeat must share: first by the anchor's ``ANCHOR``
-   words. Where so many different stretches have one anchor that a task
-   couldn't hold them, by the whole ``WINDOW`` words of each window.
-3. In each group the suffixes are sorted, and the common prefixes of
-   neighbours give the inner nodes of the group's suffix tree. Nodes at least
-   ``WINDOW`` words deep are repeats; the least document below a node keeps
-   the passage, and every other document below it loses the words.
+2. The suffixes that begin at the windows of the stretches left are split by
+   prefixes that a repeat must share, of variable length: first the anchor's
+   ``ANCHOR`` words. While a prefix leaves more than ``GROUP`` stretches, its
+   stretches are cut in two by the anchor's place in the window. The windows of
+   a half share more words (10, 30, 40, 45, 48, 49, 50 by default), and these
+   are its prefix. Only too large groups are cut on; at ``WINDOW`` words a group
+   is one window, and what is left of it is an aggregate.
+3. A task sorts its groups' suffixes by doubling prefixes and takes the common
+   prefixes of neighbours: the suffix trees of the groups. Below an inner node
+   at least ``WINDOW`` words deep, every document but the least repeats the
+   node's words. The deepest such node above a suffix gives the longest repeat
+   that begins there; one that no repeat from further left holds is maximal.
+
+Hashes only place stretches in groups; inside them words (each as 64 bits of
+its own) are compared. Equal stretches, and the windows of groups cut down to
+one, are known by 128 bits.
 
 Stretches with equal words are pre-aggregated in each task, so a passage that
 a third of all documents share is one row a task, and what documents lose is
@@ -32,20 +40,22 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabwise.llm.bloom import member_filter, repeat_filter
-from cabwise.llm.common import (NULL_ID, Words, arrow_map, as_longs, column, documents, id_key, mixed, slices,
-                                sorted_groups, staged, text_of)
+from cabwise.llm.common import (NULL_ID, Words, arrow_map, as_longs, column, documents, id_key, mixed, slices, staged,
+                                text_of)
 
 WINDOW = 50
 ANCHOR = 10
-#: Different stretches of one anchor that one task compares at a time.
+#: Stretches of one shared prefix that one task compares at a time; more lengthen the prefix.
 GROUP = 2048
+#: Stretches, of whole groups, that a task sorts together.
+FOREST = 4096
 FILTER_BYTES = 128 << 20
 BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 2**64)
+SECOND_BASE = 0xD6E8FEB86659FD93
 
 
 # ---------------------------------------------------------------- windows and anchors
@@ -53,9 +63,9 @@ INVERSE = pow(BASE, -1, 2**64)
 class Runs:
     """Hashes of word runs: ``of(start, n)`` in constant time each."""
 
-    def __init__(self, words: np.ndarray):
+    def __init__(self, words: np.ndarray, base: int = BASE):
         n = len(words) + 1
-        power, back = np.full(n, BASE, np.uint64), np.full(n, INVERSE, np.uint64)
+        power, back = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 2**64), np.uint64)
         power[0] = back[0] = 1
         self.back = np.cumprod(back)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * np.cumprod(power)[:-1])])
@@ -104,10 +114,15 @@ class Stretches:
         self.count = np.diff(np.append(heads, len(starts)))
         self.row, self.anchor = rows[self.first], grams[self.place]
 
-    def contents(self, window: int) -> np.ndarray:
-        """A hash of a stretch's words and of the anchor's place in it."""
-        return mixed(self.runs.of(self.first, self.count + window - 1)
-                     + mixed(((self.place - self.first) * 4096 + self.count).astype(np.uint64)))
+    def contents(self, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits for a stretch's words and the anchor's place in it, as two halves."""
+        place = mixed(((self.place - self.first) * 4096 + self.count).astype(np.uint64))
+        return tuple(mixed(runs.of(self.first, self.count + window - 1) + place)
+                     for runs in (self.runs, second_runs(self.words)))
+
+
+def second_runs(words: np.ndarray) -> Runs:
+    return Runs(mixed(words), SECOND_BASE)
 
 
 def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -121,136 +136,225 @@ def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     return arrow_map(docs.select("text"), run, "h long")
 
 
-STRETCH = ("anchor long, content long, doc_id long, text_hash long, first int, count int, lead int, words binary")
+STRETCH = ("content long, check long, doc_id long, text_hash long, first int, anchor long, lead int, words binary")
 
 
 def repeated_stretches(docs: DataFrame, maybe_table, window: int, anchor: int) -> DataFrame:
     """Stretches whose anchor may stand in several documents.
 
-    One row for each, without words; and for each distinct content of a slice
-    one row with its words and the least document that has it."""
+    One row for each, with its place; and for each distinct content of a slice
+    one row with its words, its anchor and the least document that has it."""
     def run(batches):
         for batch in slices(batches):
             found = Stretches(column(batch, "text"), window, anchor)
             own = np.flatnonzero(maybe_table(found.anchor))
-            content = found.contents(window)[own]
+            content, check = (x[own] for x in found.contents(window))
             row = found.row[own]
             doc = column(batch, "doc_id").to_numpy()[row]
-            text = column(batch, "text_hash").to_numpy()[row]
             first, count = found.first[own], found.count[own]
             lead = found.place[own] - first
-            place = first - found.offsets[row]
-            yield _stretch_batch(found.anchor[own], content, doc, text, place, count, lead, None)
-            by = np.lexsort((doc, content))
-            heads = by[np.concatenate([[True], content[by][1:] != content[by][:-1]])] if len(by) else by
+            yield _rows(STRETCH, content, check, doc, column(batch, "text_hash").to_numpy()[row],
+                        first - found.offsets[row], None, None, None)
+            by = np.lexsort((doc, check, content))
+            same = (content[by][1:] == content[by][:-1]) & (check[by][1:] == check[by][:-1])
+            heads = by[np.concatenate([[True], ~same])] if len(by) else by
             for i in range(0, len(heads), 20_000):
                 at = heads[i:i + 20_000]
-                words = pa.array([found.words[a:a + n + window - 1].tobytes()
-                                  for a, n in zip(first[at].tolist(), count[at].tolist())], pa.binary())
-                yield _stretch_batch(found.anchor[own][at], content[at], doc[at], text[at], place[at], count[at], lead[at], words)
+                words = [found.words[a:a + n + window - 1].tobytes() for a, n in zip(first[at].tolist(), count[at].tolist())]
+                yield _rows(STRETCH, content[at], check[at], doc[at], None, None, found.anchor[own][at], lead[at], words)
 
     return arrow_map(docs, run, STRETCH)
 
 
-def _stretch_batch(anchor, content, doc, text, first, count, lead, words) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [as_longs(anchor), as_longs(content), pa.array(doc), pa.array(text),
-         *(pa.array(x.astype(np.int32)) for x in (first, count, lead)),
-         words if words is not None else pa.nulls(len(anchor), pa.binary())],
-        names=[x.split()[0] for x in STRETCH.split(", ")])
+def _rows(schema: str, *columns) -> pa.RecordBatch:
+    """A record batch of the columns; None is a column of nulls."""
+    names, types = zip(*(x.split() for x in schema.split(", ")))
+    n = len(next(x for x in columns if x is not None))
+    made = []
+    for kind, x in zip(types, columns):
+        kind = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[kind]
+        if isinstance(x, np.ndarray):
+            x = x.view(np.int64) if x.dtype == np.uint64 else x
+        made.append(pa.nulls(n, kind) if x is None else pa.array(x).cast(kind) if len(x) else pa.array([], kind))
+    return pa.RecordBatch.from_arrays(made, names=list(names))
 
 
 # ---------------------------------------------------------------- suffix trees
 
-def deep_nodes(suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted order of suffixes (rows of ``depth`` words), and for each place in
-    it the node of that depth above it: a new one begins where the common
-    prefix with the suffix before is shorter."""
-    depth = suffixes.shape[1]
-    order = np.argsort(np.ascontiguousarray(suffixes).view(f"V{8 * depth}").ravel()) if len(suffixes) > 1 else np.zeros(1, np.int64)
-    ranked = suffixes[order]
-    common = np.cumprod(ranked[1:] == ranked[:-1], axis=1).sum(axis=1)
-    return order, np.concatenate([[0], np.cumsum(common < depth)])
-
-
-def tree_minima(contents: list[np.ndarray], docs: np.ndarray, window: int) -> list[np.ndarray]:
-    """For each content's windows, the least document of any content with that window."""
-    suffixes = np.concatenate([np.lib.stride_tricks.sliding_window_view(x, window) for x in contents])
-    counts = [len(x) - window + 1 for x in contents]
-    below = np.repeat(docs, counts)
-    order, node = deep_nodes(suffixes)
-    heads = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-    least = np.minimum.reduceat(below[order], heads)
-    out = np.empty(len(order), np.int64)
-    out[order] = least[node]
-    return np.split(out, np.cumsum(counts)[:-1])
-
-
-MINIMA = "anchor long, content long, least binary"
-
-
-def subtree_minima(stretches: DataFrame, window: int) -> DataFrame:
-    """(anchor, content, least): of each content, the least document of each window."""
+def longest_repeats(words: np.ndarray, lengths: np.ndarray, docs: np.ndarray, window: int) -> np.ndarray:
+    """For each word of the texts, how many words from it on stand in a text of a smaller document.
+
+    ``words``: the texts end to end; ``lengths`` and ``docs``: one value each.
+    0 where that is less than ``window``."""
+    n = len(words)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(n)
+    ranks, width = [np.unique(words, return_inverse=True)[1] + 1], 1
+    while n and width < lengths.max():
+        after = np.zeros(n, np.int64)
+        inside = np.flatnonzero(left > width)
+        after[inside] = ranks[-1][inside + width]
+        ranks.append(np.unique(ranks[-1] * (n + 1) + after, return_inverse=True)[1] + 1)
+        width *= 2
+    starts = np.flatnonzero(left >= window)
+    order = starts[np.argsort(ranks[-1][starts], kind="stable")]
+    out = np.zeros(n, np.int64)
+    if len(order) < 2:
+        return out
+    one, other = order[:-1], order[1:]
+    common = np.zeros(len(one), np.int64)
+    for k in reversed(range(len(ranks))):
+        alike = ranks[k][np.minimum(one + common, n - 1)] == ranks[k][np.minimum(other + common, n - 1)]
+        common += alike.astype(np.int64) << k
+    common = np.minimum(common, np.minimum(left[one], left[other]))
+    below = np.repeat(docs, lengths)[order]
+    for depth in np.unique(common[common >= window]):
+        node = np.concatenate([[0], np.cumsum(common < depth)])
+        heads = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        least = np.minimum.reduceat(below, heads)
+        out[order[least[node] < below]] = depth
+    return out
+
+
+def maximal_spans(reach: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, stop) of the repeats that no repeat from further left in the text holds."""
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    offset = np.cumsum(lengths) - lengths
+    stops = np.arange(len(reach)) + reach
+    furthest = np.maximum.accumulate(np.where(reach > 0, stops, 0))
+    before = np.concatenate([[0], furthest[:-1]])
+    own = np.flatnonzero((reach > 0) & (stops > before))
+    return text[own], own - offset[text[own]], stops[own] - offset[text[own]]
+
+
+SPANS = "content long, check long, least long, size int, spans binary"
+PIECE = "key long, key2 long, content long, check long, doc_id long, lead int, at int, lo int, hi int, words binary"
+
+
+def whole_groups(batches, key: str, rows: int):
+    """Tables of whole groups of a key, ``rows`` rows or one group each, from batches that come sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held += [batch] if batch.num_rows else []
+        if sum(b.num_rows for b in held) < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        values = table.column(key).to_numpy()
+        ends = np.flatnonzero(values[1:] != values[:-1]) + 1
+        start = 0
+        while True:  # the last group may go on in the next batch
+            later = ends[ends >= start + rows]
+            if not len(later):
+                break
+            yield table.slice(start, int(later[0]) - start)
+            start = int(later[0])
+        held = table.slice(start).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def subtrees(pieces: DataFrame, window: int) -> DataFrame:
+    """(content, check, least, size, spans): of each piece of a content, its least
+    document, its words, and the maximal repeats (start, stop: pairs of int32) that
+    this document shares with smaller ones, counted from the content's first word."""
+    def run(batches):
+        for group in whole_groups(batches, "key", FOREST):
+            key, content, check = (group.column(x).to_numpy() for x in ("key", "content", "check"))
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1]) | (check[1:] != check[:-1])
+            heads = np.flatnonzero(new)
+            least = np.minimum.reduceat(group.column("doc_id").to_numpy(), heads)
+            at = group.column("at").to_numpy()[heads]
+            own = pa.concat_arrays(group.column("words").take(pa.array(heads)).chunks)
+            size = np.diff(np.frombuffer(own.buffers()[1], np.int32)[own.offset:own.offset + len(own) + 1]) // 8
+            shared = np.zeros(len(heads), bool)                      # pieces that aren't alone in their group
+            alike = key[heads][1:] == key[heads][:-1]
+            shared[1:] |= alike
+            shared[:-1] |= alike
+            spans: list[bytes] = [b""] * len(heads)
+            some = np.flatnonzero(shared)
+            if len(some):
+                words = np.concatenate([np.frombuffer(own[i].as_buffer(), np.uint64) for i in some.tolist()])
+                text, start, stop = maximal_spans(longest_repeats(words, size[some], least[some], window), size[some])
+                pairs = np.stack([start + at[some][text], stop + at[some][text]], axis=1).astype(np.int32)
+                cuts = np.searchsorted(text, np.arange(len(some) + 1))
+                for i in np.unique(text).tolist():
+                    spans[some[i]] = pairs[cuts[i]:cuts[i + 1]].tobytes()
+            yield _rows(SPANS, content[heads], check[heads], least, size, spans)
+
+    keyed = pieces.select("key", "content", "check", "doc_id", "at", "words")
+    return arrow_map(keyed.repartition("key").sortWithinPartitions("key", "content", "check"), run, SPANS)
+
+
+def longer_prefixes(pieces: DataFrame, window: int) -> DataFrame:
+    """Each piece cut in two by the anchor's place in its windows.
+
+    ``lo`` to ``hi``: words of a window before the anchor. All windows of a
+    piece hold the words from ``lo`` before the anchor to the end of the window
+    that begins ``hi`` before it: the prefix that ``key`` and ``key2`` stand for."""
     def run(batches):
-        out = []
-        for group in sorted_groups(batches, ["anchor"]):
-            content = group.column("content").to_numpy()
-            docs = group.column("doc_id").to_numpy()
-            heads = np.flatnonzero(np.concatenate([[True], content[1:] != content[:-1]]))
-            least = np.minimum.reduceat(docs, heads)
-            words = group.column("words")
-            own = [np.frombuffer(words[i].as_buffer(), np.uint64) for i in heads.tolist()]
-            minima = tree_minima(own, least, window) if len(own) > 1 else [np.full(len(own[0]) - window + 1, least[0])]
-            anchor = int(group.column("anchor")[0].as_py())
-            out += [(anchor, int(content[h]), m.astype(np.int64).tobytes()) for h, m in zip(heads.tolist(), minima)]
-            if len(out) >= 2000:
-                yield _rows(out)
-                out = []
-        if out:
-            yield _rows(out)
-
-    keyed = stretches.select("anchor", "content", "doc_id", "words")
-    return arrow_map(keyed.repartition("anchor").sortWithinPartitions("anchor", "content"), run, MINIMA)
-
-
-def _rows(out: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))],
-                                      names=["anchor", "content", "least"])
-
-
-def leaf_minima(stretches: DataFrame, window: int) -> DataFrame:
-    """The same where an anchor has too many contents: grouped by whole windows."""
-    def windows(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 part = batch.slice(i, 2000)
+                content, check, doc, lead, at, lo, hi = (
+                    column(part, x).to_numpy() for x in ("content", "check", "doc_id", "lead", "at", "lo", "hi"))
                 own = [np.frombuffer(x.as_buffer(), np.uint64) for x in column(part, "words")]
-                keys = [Runs(x).of(np.arange(len(x) - window + 1), window) for x in own]
-                counts = [len(k) for k in keys]
-                at = pa.array(np.repeat(np.arange(len(own)), counts))
-                nth = np.concatenate([np.arange(n) for n in counts]) if counts else np.zeros(0)
-                yield pa.RecordBatch.from_arrays(
-                    [column(part, "anchor").take(at), column(part, "content").take(at), pa.array(nth.astype(np.int32)),
-                     as_longs(np.concatenate(keys) if keys else np.zeros(0, np.uint64)), column(part, "doc_id").take(at)],
-                    names=["anchor", "content", "nth", "key", "doc_id"])
-
-    def joined(batches):
-        out = []
-        for group in sorted_groups(batches, ["anchor", "content"]):
-            out.append((group.column("anchor")[0].as_py(), group.column("content")[0].as_py(),
-                        group.column("least").to_numpy().astype(np.int64).tobytes()))
-            if len(out) >= 2000:
-                yield _rows(out)
-                out = []
-        if out:
-            yield _rows(out)
-
-    one = stretches.groupBy("anchor", "content").agg(F.min("doc_id").alias("doc_id"), F.first("words").alias("words"))
-    each = staged(arrow_map(one, windows, "anchor long, content long, nth int, key long, doc_id long"), "hot-windows")
-    least = each.groupBy("key").agg(F.min("doc_id").alias("least"))
-    sort = ["anchor", "content", "nth"]
-    return arrow_map(each.join(least, "key").select(*sort, "least").repartition("anchor", "content")
-                     .sortWithinPartitions(*sort), joined, MINIMA)
+                words = np.concatenate(own)
+                size = np.array([len(x) for x in own])
+                offset = np.cumsum(size) - size
+                runs = (Runs(words), second_runs(words))
+                middle = (lo + hi) // 2
+                for low, high in ((lo, middle), (middle + 1, hi)):
+                    first = np.maximum(at, lead - high)                       # windows first to last of the content
+                    last = np.minimum(at + size - window, lead - low)
+                    n = np.flatnonzero((low <= high) & (first <= last))
+                    prefix, length = (offset + lead - low - at)[n], (window - (high - low))[n]
+                    salt = mixed((low * 4096 + high)[n].astype(np.uint64))
+                    keys = [mixed(x.of(prefix, length) + salt) for x in runs]
+                    begin = (offset + first - at)[n]
+                    cut = [words[a:b].tobytes() for a, b in zip(begin.tolist(), (begin + (last - first)[n] + window).tolist())]
+                    yield _rows(PIECE, *keys, content[n], check[n], doc[n], lead[n], first[n], low[n], high[n], cut)
+
+    return arrow_map(pieces, run, PIECE)
+
+
+def heavy_keys(pieces: DataFrame, key: str):
+    """The test for keys of more than ``GROUP`` rows, None where there are none."""
+    keys = pieces.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP)
+    keys = staged(keys.select(F.xxhash64(key).alias("h")), "heavy-prefixes")
+    n = keys.count()
+    return member_filter(keys, "h", n)(F.xxhash64(key)) if n else None
+
+
+def split_subtrees(contents: DataFrame, window: int, anchor: int) -> DataFrame:
+    """Spans of contents whose anchors' groups are too large: prefixes are lengthened until groups fit."""
+    own = contents.groupBy("content", "check").agg(*(F.min(x).alias(x) for x in ("doc_id", "lead")),
+                                                   F.first("words").alias("words"))
+    own = staged(own, "hot-stretches", compression="zstd")
+    done = own.select("content", "check", F.col("doc_id").alias("least"), (F.length("words") / 8).cast("int").alias("size"),
+                      F.lit(b"").alias("spans"))
+    pieces = own.withColumns({"at": F.lit(0), "lo": F.lit(0), "hi": F.lit(window - anchor)})
+    for _ in range((window - anchor).bit_length()):   # then every piece is one window
+        pieces = staged(longer_prefixes(pieces, window), "pieces", compression="zstd")
+        is_heavy = heavy_keys(pieces, "key")
+        light = pieces if is_heavy is None else pieces.where(~is_heavy)
+        done = done.unionByName(subtrees(light, window).where("length(spans) > 0"))
+        if is_heavy is None:
+            break
+        heavy = pieces.where(is_heavy)
+        single = heavy.where("lo = hi")
+        least = single.groupBy("key", "key2").agg(F.min("doc_id").alias("least"))
+        both = F.concat(_int32(F.col("at")), _int32(F.col("at") + window))
+        done = done.unionByName(single.join(least, ["key", "key2"]).where("least < doc_id").select(
+            "content", "check", F.col("doc_id").alias("least"), F.lit(0).alias("size"), both.alias("spans")))
+        pieces = heavy.where("lo < hi").drop("key", "key2")
+    return done.groupBy("content", "check").agg(F.min("least").alias("least"), F.max("size").alias("size"),
+                                                F.collect_list("spans").alias("spans"))
+
+
+def _int32(x: Column) -> Column:
+    """Little-endian bytes of an int column."""
+    digits = F.lpad(F.hex(x.cast("long")), 8, "0")
+    return F.unhex(F.concat(*(F.substring(digits, i, 2) for i in (7, 5, 3, 1))))
 
 
 # ---------------------------------------------------------------- the operator
@@ -263,35 +367,35 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     maybe = repeat_filter(anchors(docs, window, anchor), "h", chars // 200, FILTER_BYTES, raw=True)
     found = staged(repeated_stretches(docs, maybe, window, anchor), "stretches", compression="zstd")  # neighbours share words
     contents = found.where(F.col("words").isNotNull())
-    heavy = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP)
-    heavy = staged(heavy.select("anchor"), "heavy-anchors")
-    n_heavy = heavy.count()
-    if n_heavy:
-        is_heavy = member_filter(heavy.select(F.xxhash64("anchor").alias("h")), "h", n_heavy)(F.xxhash64("anchor"))
-        least = subtree_minima(contents.where(~is_heavy), window).unionByName(leaf_minima(contents.where(is_heavy), window))
-    else:
-        least = subtree_minima(contents, window)
+    whole = contents.select(F.col("anchor").alias("key"), "content", "check", "doc_id", F.lit(0).alias("at"), "words")
+    is_heavy = heavy_keys(whole, "key")
+    light = whole if is_heavy is None else whole.where(~is_heavy)
+    least = subtrees(light, window).withColumn("spans", F.array("spans"))
+    if is_heavy is not None:
+        hot = contents.withColumnRenamed("anchor", "key").where(is_heavy)
+        least = least.unionByName(split_subtrees(hot, window, anchor))
 
     def lost(batches):
         for batch in batches:
-            rows, spans = [], []
-            doc = column(batch, "doc_id").to_numpy()
-            first = column(batch, "first").to_numpy()
-            for i, x in enumerate(column(batch, "least")):
-                gone = np.flatnonzero(np.frombuffer(x.as_buffer(), np.int64) < doc[i])
-                if len(gone):
-                    cut = np.flatnonzero(np.diff(gone) > window)
-                    starts, stops = gone[np.concatenate([[0], cut + 1])], gone[np.append(cut, len(gone) - 1)] + window
-                    rows += [i] * len(starts)
-                    spans += [(int(first[i] + a), int(first[i] + b)) for a, b in zip(starts, stops)]
-            at = pa.array(rows, pa.int64())
+            doc, first, least, size = (column(batch, x).to_numpy() for x in ("doc_id", "first", "least", "size"))
+            later = np.flatnonzero(doc > least)           # they repeat all of the stretch
+            rows, starts, stops = [later], [first[later]], [(first + size)[later]]
+            spans = column(batch, "spans")
+            for i in np.flatnonzero(doc == least).tolist():
+                pairs = np.frombuffer(b"".join(spans[i].as_py()), np.int32).reshape(-1, 2)
+                rows.append(np.full(len(pairs), i))
+                starts.append(first[i] + pairs[:, 0])
+                stops.append(first[i] + pairs[:, 1])
+            at = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "doc_id").take(at), column(batch, "text_hash").take(at),
-                 pa.array([a for a, _ in spans], pa.int32()), pa.array([b for _, b in spans], pa.int32())],
+                 pa.array(np.concatenate(starts).astype(np.int32)), pa.array(np.concatenate(stops).astype(np.int32))],
                 names=["doc_id", "text_hash", "start", "stop"])
 
-    places = found.where(F.col("words").isNull()).select("anchor", "content", "doc_id", "text_hash", "first")
-    with_least = places.join(least, ["anchor", "content"]).select("doc_id", "text_hash", "first", "least")
+    places = found.where(F.col("words").isNull()).select("content", "check", "doc_id", "text_hash", "first")
+    repeats = (F.col("doc_id") > F.col("least")) | F.exists("spans", lambda x: F.length(x) > 0)
+    with_least = places.join(least, ["content", "check"]).where(repeats).select(
+        "doc_id", "text_hash", "first", "least", "size", "spans")
     return arrow_map(with_least, lost, "doc_id long, text_hash long, start int, stop int").groupBy(
         "doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
 

@@ -131,9 +131,9 @@ def window_rows():
     return rows + [(46, plain.LONG), (47, plain.LONG[:5000])]
 
 
-@pytest.mark.parametrize("group", [2048, 3])
+@pytest.mark.parametrize("group", [2048, 3, 1])
 def test_repeated_passages_against_plain(spark, monkeypatch, group):
-    """Whole subtrees, and (with a tiny group size) prefixes extended to whole windows."""
+    """Whole subtrees, and (with tiny group sizes) prefixes lengthened step by step to whole windows."""
     monkeypatch.setattr(SD, "GROUP", group)
     rows = window_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -156,11 +156,60 @@ def test_repeated_passages_edge_rows(spark):
     assert SD.remove_repeats(plain.no_docs(spark)).count() == 0
 
 
-def test_deep_nodes():
-    words = np.array([1, 2, 3, 1, 2, 3, 1, 2, 4], np.uint64)
-    suffixes = np.lib.stride_tricks.sliding_window_view(words, 3)
-    order, node = SD.deep_nodes(suffixes)
-    by = collections.defaultdict(set)
-    for place, n in zip(order, node):
-        by[n].add(tuple(suffixes[place].tolist()))
-    assert all(len(x) == 1 for x in by.values()) and len(by) == 4
+def repeats_by_pairs(texts, docs, window):
+    """For each word of each text, the longest common run with a text of a smaller document."""
+    out = []
+    for x, doc in zip(texts, docs):
+        for i in range(len(x)):
+            best = 0
+            for y, other in zip(texts, docs):
+                for j in range(len(y)) if other < doc else ():
+                    n = 0
+                    while i + n < len(x) and j + n < len(y) and x[i + n] == y[j + n]:
+                        n += 1
+                    best = max(best, n)
+            out.append(best if best >= window else 0)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_suffix_trees_against_pairs(seed):
+    """Deep nodes give the longest repeats, and the maximal ones cover all of them."""
+    rng = np.random.default_rng(seed)
+    lengths, docs = rng.integers(3, 30, 8), rng.permutation(8) // 2
+    words = rng.integers(0, 2 + seed % 3, lengths.sum()).astype(np.uint64)
+    reach = SD.longest_repeats(words, lengths, docs, 3)
+    assert reach.tolist() == repeats_by_pairs(np.split(words, np.cumsum(lengths)[:-1]), docs, 3)
+    offset = np.cumsum(lengths) - lengths
+    covered = np.zeros(len(words), bool)
+    spans = list(zip(*(x.tolist() for x in SD.maximal_spans(reach, lengths))))
+    for text, start, stop in spans:
+        covered[offset[text] + start:offset[text] + stop] = True
+        assert not any(t == text and a <= start and stop <= b and (a, b) != (start, stop) for t, a, b in spans)
+    want = np.zeros(len(words), bool)
+    for i in np.flatnonzero(reach):
+        want[i:i + reach[i]] = True
+    assert covered.tolist() == want.tolist()
+
+
+def test_suffix_trees_of_nothing():
+    none = np.zeros(0, np.int64)
+    assert len(SD.longest_repeats(none.astype(np.uint64), none, none, 50)) == 0
+    assert [len(x) for x in SD.maximal_spans(none, none)] == [0, 0, 0]
+
+
+def test_prefixes_are_lengthened_only_where_groups_are_large(spark, monkeypatch):
+    """A line of 30 words: prefixes of 40 are no longer shared; a passage of a hundred words, cut at many places: to whole windows."""
+    taken = []
+    real = SD.longer_prefixes
+    monkeypatch.setattr(SD, "longer_prefixes", lambda pieces, window: taken.append(1) or real(pieces, window))
+    monkeypatch.setattr(SD, "GROUP", 20)
+    filler = lambda k, n: [f"f{k}_{i}" for i in range(n)]
+    line, passage = [f"l{i}" for i in range(30)], [f"p{i}" for i in range(100)]
+    for rows, rounds in (([(k, " ".join(filler(k, 60) + line + filler(-k - 1, 60))) for k in range(120)], 2),
+                         ([(k, " ".join(filler(k, 3) + passage[:60 + k % 40] + filler(-k - 1, 60))) for k in range(120)], 6)):
+        taken.clear()
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in SD.remove_repeats(docs).collect()}
+        assert got == {doc: x for (doc, _), x in zip(rows, plain.without_repeats(rows))}
+        assert 1 <= len(taken) <= rounds
