@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabwise.functions.text import STOPWORDS
-from cabwise.operators import (classify as C, frequent as FR, hybrid as HY, joins, lexicon as LX, numbering as N, selection as SE, textclass as TC,
+from cabwise.operators import (classify as C, difference as DF, frequent as FR, hybrid as HY, joins, lexicon as LX, numbering as N, selection as SE, textclass as TC,
                                tfidf as TF, trips as T)
 from cabwise.plans.inspect import printed_join_nodes
 from cabwise.plans.lineage import staged, tracked_path
@@ -441,6 +441,18 @@ def q_except_distinct(spark, sf_dir):
     return C.except_distinct(rows.select(*cols), train.select(*cols))
 
 
+@register("except_by_digest", f"""
+SELECT text, lang, source, n_chars FROM documents
+EXCEPT
+SELECT text, lang, source, n_chars FROM documents WHERE md5('{SPLIT_SEED}:' || CAST(doc_id AS VARCHAR)) < 'c'""")
+def q_except_by_digest(spark, sf_dir):
+    """Documents whose text, language and source no document of a training set (three quarters) has."""
+    docs = B.table(spark, sf_dir, "documents")
+    train = docs.where(SE.row_hash("doc_id", SPLIT_SEED) < "c")
+    cols = ["text", "lang", "source", "n_chars"]
+    return DF.except_by_digest(docs.select(*cols), train.select(*cols))
+
+
 @register("sample_by_label", _with(*DUCK_CLASS_BASE) + "SELECT label, n, TRUE AS share_as_asked FROM labels")
 def q_sample_by_label(spark, sf_dir):
     """Random stratified sample (DataFrame.sampleBy) of the written, labelled

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cabwise.functions.exact import exact_mean
-from cabwise.operators import classify as C, frequent as FR, hybrid as HY, joins, numbering as N, selection as SE, trips as T
+from cabwise.operators import classify as C, difference as DF, frequent as FR, hybrid as HY, joins, numbering as N, selection as SE, trips as T
 from cabwise.plans.inspect import exchanges, plan_text
 from cabwise.session import staging_path
 from cabwise.sources import bindings as B, records as R, spatial as SP
@@ -207,3 +207,52 @@ def test_pushed_keys(spark):
     assert "In(trip_id" in next(x for x in plan_text(joined).splitlines() if "PushedFilters" in x and "trip_id" in x)
     nothing = joins.join_pushed(spark.read.parquet(path), vendors.where("trip_id < 0"))
     assert nothing.count() == 0
+
+
+# ---------------------------------------------------------------- difference by digests
+
+def text_rows(df):
+    return sorted(str(tuple(r)).replace("-0.0", "0.0") for r in df.collect())
+
+
+ODD_SCHEMA = "a int, b int, words array<string>, pair struct<x:double,y:array<int>>, __segment string"
+ODD_ROWS = [(1, None, ["x"], (0.5, [1, None]), "s"), (None, 1, ["x"], (0.5, [1, None]), "s"), (1, None, ["x"], (0.5, [None, 1]), "s"),
+            (1, 1, [], (float("nan"), [1]), None), (1, 1, [None], (float("nan"), [1]), None), (1, 1, None, (float("nan"), [1]), None),
+            (2, 2, ["a", "bc"], None, ""), (2, 2, ["ab", "c"], None, ""), (2, 2, ["abc"], (None, None), ""), (2, 2, ["abc"], None, ""),
+            (3, 3, ["k"] * 5000, (0.0, []), "long"), (3, 3, ["k"] * 5000, (-0.0, []), "long"), (4, 4, ["k"], (1.0, [1]), "t")]
+
+
+@pytest.mark.parametrize("filter_bits", [1, 1 << 27])
+def test_difference_by_digests_is_except(spark, filter_bits):
+    """Nulls, borders of arrays, NaN, copies, long values and a clashing name; with a bitmap far too small, too."""
+    rows = spark.createDataFrame(ODD_ROWS * 3, ODD_SCHEMA).repartition(5)
+    for taken in ([], [0, 4, 7], [1, 2, 10], range(len(ODD_ROWS))):
+        other = spark.createDataFrame([ODD_ROWS[i] for i in taken], ODD_SCHEMA)
+        assert text_rows(DF.except_by_digest(rows, other, filter_bits)) == text_rows(C.except_distinct(rows, other))
+    assert DF.except_by_digest(rows.limit(0), rows).count() == 0
+
+
+def test_difference_of_many_rows(spark):
+    """Several segments of the bitmap, rows at all of its places."""
+    rows = spark.range(60_000).select((F.col("id") % 50_000).alias("k"), F.lit("x").alias("b"))
+    taken = spark.range(0, 50_000, 3).select(F.col("id").alias("k"), F.lit("x").alias("b"))
+    assert DF.segment_count(50_000) > 8 and DF.segment_count(0) == 1 and DF.segment_count(10**12) * DF.SEGMENT_BITS == DF.FILTER_BITS
+    got = DF.except_by_digest(rows, taken)
+    assert [r.k for r in got.orderBy("k").collect()] == [k for k in range(50_000) if k % 3]
+
+
+def test_only_rows_that_stay_are_exchanged(spark):
+    """Whole rows cross one exchange, behind the bitmap; the rows taken away aren't read again."""
+    docs = B.table(spark, SF_SMOKE, "documents").select("text", "lang")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = DF.except_by_digest(docs, docs.where("lang = 'en'"))
+        plan, moved = plan_text(df, "simple"), [columns for _, columns in exchanges(df) if "__row" in columns]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert moved == [[*DF.KEYS, "__row"]]
+    assert plan.count("FileScan parquet [text") == 1
+    assert plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning(__digest_1") < plan.index("getbit(") < plan.index("bitmap_construct_agg")
+    with pytest.raises(TypeError, match="no digest"):
+        DF.with_digest(spark.createDataFrame([([[1]],)], "a array<array<int>>"))
