@@ -1,8 +1,8 @@
 """Near duplicates by MinHash with sequential Bayesian verification.
 
 1. Every text becomes the set of its distinct ``SHINGLE``-word shingles (64-bit
-   hashes) and a signature of ``HASHES`` minima. Texts with equal sets are one
-   class from here on; the class with the least id stands for it.
+   hashes) and a signature of ``HASHES`` minima. Texts with equal sets (128 bits of
+   digest) are one class from here on; the class with the least id stands for it.
 2. Signatures are cut into bands; equal bands make a bucket. Two texts of
    similarity 0.8 miss each other in all bands with probability 5e-8.
 3. Each text is first paired with one other of its buckets, the hub: the least
@@ -24,7 +24,9 @@
 Defined results: a null text is an empty one; texts without words have no
 shingles and link with nothing. A null id counts as the largest one. Rows that
 repeat an id keep their own sets: each row is
-reported with the component of its set. Empty input: empty result.
+reported with the component of its set. Empty input: empty result. Texts are
+taken whole, however long: a task holds one long text's set at a time. Other
+columns are dropped by ``near_duplicates`` and kept by ``keep_one_of_each``.
 """
 
 from __future__ import annotations
@@ -49,6 +51,8 @@ HASHES, ROWS = 128, 4
 BATCH = 16
 MISS = 1e-6
 BLOCK = 512
+#: Of a set's digest that number its class; sets that meet in them are told apart by the other half.
+CLASS_BITS = 64
 #: Pairs that a task compares at once.
 PAIRS = 1 << 13
 _MUL, _ADD = (np.random.default_rng(seed).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -88,21 +92,44 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def signatures(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """(doc_id, n_shingles, cls, sig); cls and sig are null without shingles."""
+class ClassNumbers:
+    """A signed 64-bit number for each shingle set, from its 128-bit digest.
+
+    The number is the digest's first half, or the second half where different
+    sets meet in the first one (``shared``: those few first halves)."""
+
+    def __init__(self, bits: int, shared: frozenset = frozenset()):
+        self.bits, self.shared = bits, shared
+
+    def halves(self, shingles: np.ndarray) -> tuple[int | None, int | None]:
+        """Null for the empty set."""
+        if not len(shingles):
+            return None, None
+        digest = xxhash.xxh3_128_digest(shingles.tobytes())
+        first, second = (int.from_bytes(x, "little", signed=True) for x in (digest[:8], digest[8:]))
+        return first >> (64 - self.bits), second
+
+    def of(self, shingles: np.ndarray) -> int | None:
+        first, second = self.halves(shingles)
+        return second if first in self.shared else first
+
+
+def signatures(docs: DataFrame, doc_id: str, text: str, size: int, numbers: ClassNumbers) -> DataFrame:
+    """(doc_id, n_shingles, cls, second, sig): both halves of the set's digest; null without shingles, as is sig."""
     def run(batches):
         for batch in slices(batches):
             n, keys, sigs = [], [], []
             for own in shingle_sets(column(batch, "text"), size):
                 n.append(len(own))
-                keys.append(class_of(own))
+                keys.append(numbers.halves(own))
                 sigs.append(signature(own).tobytes() if len(own) else None)
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(sigs, pa.binary())],
-                names=["doc_id", "n_shingles", "cls", "sig"])
+                [column(batch, "doc_id"), pa.array(n, pa.int64()), pa.array([x for x, _ in keys], pa.int64()),
+                 pa.array([x for _, x in keys], pa.int64()), pa.array(sigs, pa.binary())],
+                names=["doc_id", "n_shingles", "cls", "second", "sig"])
 
     return arrow_map(docs.select(id_key(doc_id).alias("doc_id"), text_of(text).alias("text")), run,
-                     "doc_id long, n_shingles long, cls long, sig binary")
+                     "doc_id long, n_shingles long, cls long, second long, sig binary")
 
 
 def matrix(sigs: pa.Array) -> np.ndarray:
@@ -235,7 +262,8 @@ def members_in_doubt(rows: DataFrame, percent: int) -> DataFrame:
 
 # ---------------------------------------------------------------- exact verification
 
-def shingle_table(classes: DataFrame, reps: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+def shingle_table(classes: DataFrame, reps: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int,
+                  numbers: ClassNumbers) -> DataFrame:
     """(cls, shingles) of the given classes, written.
 
     Only their documents have their texts read out again: a Bloom filter of
@@ -248,7 +276,7 @@ def shingle_table(classes: DataFrame, reps: DataFrame, docs: DataFrame, doc_id:
         for batch in slices(thinned):
             own = list(shingle_sets(column(batch, "text"), size))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([class_of(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())],
+                [pa.array([numbers.of(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())],
                 names=["cls", "shingles"])
 
     keyed = docs.select(F.xxhash64(id_key(doc_id)).alias("h"), text_of(text).alias("text"))
@@ -310,20 +338,26 @@ def verified_in_blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFr
     return arrow_map(own.repartition(*BLOCKS).sortWithinPartitions(*BLOCKS), run, "a long, b long")
 
 
-def class_of(shingles: np.ndarray) -> int | None:
-    """A signed 64-bit key of a shingle set; null for the empty one."""
-    if not len(shingles):
-        return None
-    return int.from_bytes(xxhash.xxh3_128_digest(shingles.tobytes())[:8], "little", signed=True)
-
-
 # ---------------------------------------------------------------- the operator
 
-def classes_and_components(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, cls) for every row, and (cls, n, component_id) for every class."""
-    feats = staged(signatures(docs, doc_id, text, size), "signatures")
-    reps = staged(feats.where("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig")), "classes")
+def class_table(feats: DataFrame) -> DataFrame:
+    """(cls, doc_id, n, sig, shared): shared where sets of different digests have this number."""
+    return staged(feats.where("cls is not null").groupBy("cls").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig"),
+        (F.min("second") != F.max("second")).alias("shared")), "classes")
+
+
+def classes_and_components(docs: DataFrame, doc_id: str, text: str, size: int,
+                           percent: int) -> tuple[DataFrame, DataFrame, ClassNumbers]:
+    """(doc_id, n_shingles, cls) for every row, (cls, n, component_id) for every class, and how classes are numbered."""
+    numbers = ClassNumbers(CLASS_BITS)
+    feats = staged(signatures(docs, doc_id, text, size, numbers), "signatures")
+    reps = class_table(feats)
+    shared = [r.cls for r in reps.where("shared").select("cls").collect()]  # n^2 / 2^65: three of 10^10 sets
+    if shared:
+        numbers = ClassNumbers(CLASS_BITS, frozenset(shared))
+        feats = feats.withColumn("cls", F.when(F.col("cls").isin(shared), F.col("second")).otherwise(F.col("cls")))
+        reps = class_table(feats)
     rows = band_rows(reps)
     buckets = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("hub")).where("n > 1")
     members = staged(rows.join(buckets, "band").select("band", "cls", "hub"), "buckets")
@@ -334,13 +368,13 @@ def classes_and_components(docs: DataFrame, doc_id: str, text: str, size: int, p
     stars = surviving(best.select(F.col("best.hub").alias("a"), "b"), sigs, percent)
     stars = staged(stars, "star-pairs")
     both_ends = stars.select(F.col("a").alias("cls")).unionByName(stars.select(F.col("b").alias("cls")))
-    sets = shingle_table(both_ends, reps, docs, doc_id, text, size)
+    sets = shingle_table(both_ends, reps, docs, doc_id, text, size, numbers)
     links = staged(verified_pairs(stars, sets, percent), "star-links")
     # each text points to its verified hub: enough to leave most pairs of one component out
     pointers = links.select(F.col("b").alias("cls"), F.col("a").alias("root"))
     grouped = members.select("band", "cls").join(pointers, "cls", "left").select("band", "cls", F.coalesce("root", "cls").alias("root"))
     doubt = staged(members_in_doubt(block_rows(staged(grouped, "bucket-roots"), sigs), percent), "in-doubt")
-    sets = shingle_table(doubt.select("cls"), reps, docs, doc_id, text, size)
+    sets = shingle_table(doubt.select("cls"), reps, docs, doc_id, text, size, numbers)
     more = staged(verified_in_blocks(doubt, sets, percent), "block-links")
     roots = components(links.unionByName(more), "a", "b")
 
@@ -348,13 +382,13 @@ def classes_and_components(docs: DataFrame, doc_id: str, text: str, size: int, p
               .select("cls", "n", "doc_id", F.coalesce("root", "cls").alias("root")))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return feats.select("doc_id", "n_shingles", "cls"), staged(rooted.join(least, "root").select(
-        "cls", "n", "component_id"), "components")
+        "cls", "n", "component_id"), "components"), numbers
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row."""
-    feats, found = classes_and_components(docs, doc_id, text, size, percent)
+    feats, found, _ = classes_and_components(docs, doc_id, text, size, percent)
     of = F.coalesce("component_id", "doc_id")
     return feats.join(found.select("cls", "component_id"), "cls", "left").select(
         F.nullif("doc_id", F.lit(NULL_ID)).alias("doc_id"), "n_shingles",
@@ -367,7 +401,7 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = PERCENT, doc
 
     Only rows that a Bloom filter of the dropped ids can't clear are joined."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    feats, found = classes_and_components(docs, doc_id, text, size, percent)
+    feats, found, numbers = classes_and_components(docs, doc_id, text, size, percent)
     gone = staged(feats.join(found, "cls").where("doc_id != component_id").select(
         F.col("doc_id").alias("__llm_id"), F.col("cls").alias("__llm_cls")).distinct(), "dropped")
     hashes, n_gone = gone.select(F.xxhash64("__llm_id").alias("h")), gone.count()
@@ -379,7 +413,7 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = PERCENT, doc
         """Whether a text's id may be dropped, and the text's class if so."""
         doubt = test(h.to_numpy().view(np.uint64))
         batch = pa.RecordBatch.from_arrays([texts.filter(pa.array(doubt))], names=["text"])
-        keys = iter([class_of(x) for part in slices(iter([batch])) for x in shingle_sets(part.column(0), size)])
+        keys = iter([numbers.of(x) for part in slices(iter([batch])) for x in shingle_sets(part.column(0), size)])
         cls = pa.array([next(keys) if x else None for x in doubt], pa.int64())
         return pa.StructArray.from_arrays([pa.array(doubt), cls], names=["doubt", "cls"])
 

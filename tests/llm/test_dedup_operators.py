@@ -86,6 +86,19 @@ def test_chains_and_small_blocks(spark, monkeypatch):
     assert [got[r[0]] for r in rows] == want
 
 
+@pytest.mark.parametrize("bits", [1, 8])
+def test_sets_that_share_a_class_number(spark, monkeypatch, bits):
+    """With so few bits many different sets meet; they are told apart by the digest's other half."""
+    monkeypatch.setattr(ND, "CLASS_BITS", bits)
+    docs = documents_of(spark, "sf0.001")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = {doc: c for (doc, _), c in zip(rows, plain.similar_components(rows, 4))}
+    got = {r.doc_id: r.component_id for r in ND.near_duplicates(docs).collect()}
+    assert got == want
+    kept = ND.keep_one_of_each(docs, size=4)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, c in want.items() if d == c)
+
+
 def test_near_edge_rows(spark):
     got = collections.defaultdict(list)
     for r in ND.near_duplicates(plain.edge_docs(spark)).collect():
