@@ -97,5 +97,6 @@ def lexicon_counts(docs: DataFrame, words: list[str], text_col: str = "text",
         model = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="vector", minTF=1.0)
         counted = model.transform(toks).withColumn("dense", vector_to_array("vector"))
     pairs = F.transform("dense", lambda n, i: F.struct(i.cast("int").alias("word_idx"), n.cast("long").alias("cnt")))
-    return (counted.select("doc_id", "category", F.filter(pairs, lambda p: p["cnt"] > 0).alias("counts"))
-            .where(F.size("counts") > 0))
+    own = F.struct("doc_id", "category", F.filter(pairs, lambda p: p["cnt"] > 0).alias("counts"))
+    # a filter on the column would be moved below the counting, which then is done twice for each document
+    return counted.select(F.inline(F.filter(F.array(own), lambda row: F.size(row["counts"]) > 0)))

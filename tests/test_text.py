@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from cabwise.functions.text import STOPWORDS
+from cabwise.functions.text import NON_LETTERS, NON_LETTERS_OR_SPACE, STOPWORDS
 from cabwise.operators import classify as C, lexicon as LX, tfidf as TF
 from cabwise.sources import records as R
 
@@ -200,3 +200,21 @@ def test_sample_by_label_repeatable_on_a_written_table(spark):
     assert {r.doc_id for r in test.collect()} == set(range(3000)) - a
     assert all(i % 3 != 2 for i in a)                     # label 2.0 not in the map
     assert 0.7 < len([i for i in a if i % 3 == 0]) / 1000 < 0.8
+
+
+def test_cleaning_pattern_lists_its_letters():
+    """A class of ranges takes Java some eight times as long over a text as one of single letters."""
+    for listed, ranges in ((NON_LETTERS, "[^a-zA-Z]+"), (NON_LETTERS_OR_SPACE, "[^a-zA-Z ]+")):
+        assert "a-z" not in listed
+        every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x11000)]))
+        assert re.sub(listed, "", every) == re.sub(ranges, "", every)
+
+
+def test_words_are_counted_once_a_document(spark):
+    docs = spark.createDataFrame(DOCS + [(7, "d", None), (None, None, "dog dog"), (None, None, "dog dog")],
+                                 "doc_id long, category string, text string")
+    counts = LX.lexicon_counts(docs, ["dog", "cat", "mat"])
+    assert counts._jdf.queryExecution().executedPlan().toString().count("split(lower(") == 1
+    got = sorted(((r.doc_id or 0, r.category, {c.word_idx: c.cnt for c in r.counts}) for r in counts.collect()), key=str)
+    assert got == sorted([(0, None, {0: 2}), (0, None, {0: 2}), (1, "a", {1: 1}), (2, "a", {1: 1}),
+                          (3, "b", {0: 1, 2: 3}), (4, "b", {0: 2, 1: 1}), (6, "c", {0: 2, 1: 1})], key=str)
