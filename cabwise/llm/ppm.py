@@ -27,6 +27,7 @@ scored one by one. Empty input: empty result.
 
 from __future__ import annotations
 
+import gc
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -47,7 +48,7 @@ WORD, GRAM = 0, 1
 #: Edges and bytes wanted that a task works on at once, if no group of them is larger.
 PART_ROWS = 1 << 18
 #: Bytes of text that a task works on at once: contexts, look-ups and sorts take some 60 bytes for each.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
 #: Distinct keys that a task counts before it sends them on.
 HELD_KEYS = 1 << 20
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
@@ -198,15 +199,31 @@ class Level:
     bytes of the contexts."""
 
     edges: Index
-    log_count: np.ndarray
+    log_count: np.ndarray | Coded
     node_of: np.ndarray
     nodes: Index
-    total: np.ndarray
-    escape: np.ndarray
-    below_total: np.ndarray
-    below_escape: np.ndarray
+    total: np.ndarray | Coded
+    escape: np.ndarray | Coded
+    below_total: np.ndarray | Coded
+    below_escape: np.ndarray | Coded
     raw: tuple[np.ndarray, np.ndarray, np.ndarray] | None
 
+    def for_scoring(self) -> Level:
+        """The same probabilities in less memory; no longer order can be built from it."""
+        return replace(self, raw=None, **{x: Coded(getattr(self, x)) for x in
+                                          ("log_count", "total", "escape", "below_total", "below_escape")})
+
+
+class Coded:
+    """An array of few different values as short codes into them."""
+
+    def __init__(self, values: np.ndarray):
+        self.values, codes = np.unique(values, return_inverse=True)
+        self.codes = codes.astype(np.min_scalar_type(len(self.values)))
+
+    def __getitem__(self, places: np.ndarray) -> np.ndarray:
+        return self.values[self.codes[places]]
+
 
 def _log10(x: np.ndarray) -> np.ndarray:
     with np.errstate(divide="ignore"):
@@ -287,7 +304,7 @@ class Model:
     order: int
     levels: list[Level]
     frequent: Index | None
-    frequent_logs: np.ndarray | None
+    frequent_logs: np.ndarray | Coded | None
     words: np.ndarray        # hashes of the frequent words, sorted
     word_counts: np.ndarray
     scale: float             # log10 of the word model's denominator
@@ -299,7 +316,14 @@ class Model:
             return np.zeros(len(hashes), bool), np.full(len(hashes), np.log10(0.5) - self.scale)
         place = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         held = self.words[place] == hashes
-        return held, np.log10(np.where(held, self.word_counts[place], 0) + 0.5) - self.scale
+        return held, np.log10(np.where(held, self.word_counts[place].astype(np.float64), 0.0) + 0.5) - self.scale
+
+    def for_scoring(self) -> Model:
+        """What a task that scores texts holds: it has this once for each of its executor's cores."""
+        levels = [] if self.frequent is not None else [x.for_scoring() for x in self.levels]
+        counts = self.word_counts.astype(np.min_scalar_type(self.word_counts.max(initial=0)))
+        return replace(self, levels=levels, word_counts=counts,
+                       frequent_logs=None if self.frequent is None else Coded(self.frequent_logs))
 
     def byte_logs(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each byte's log10 probability (0 where it has to be looked up), and where it has to be."""
@@ -405,10 +429,10 @@ def joined_logs(wanted: DataFrame, grams: DataFrame, model: Model) -> DataFrame:
 def score(docs: DataFrame, model: Model, rest: Rest, train_tokens: int) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of a
     table (doc_id, held_out, text)."""
-    own = replace(model, levels=[]) if model.frequent is not None else model
-    shared = docs.sparkSession.sparkContext.broadcast(own)
+    shared = docs.sparkSession.sparkContext.broadcast(model.for_scoring())
 
     def run(batches):
+        gc.collect()  # an earlier model, if the worker had one
         model, task, row = shared.value, TaskContext.get().partitionId(), 0
         for batch in slices(batches, limit=PART_BYTES):
             texts, n = column(batch, "text"), batch.num_rows
@@ -437,6 +461,7 @@ def score(docs: DataFrame, model: Model, rest: Rest, train_tokens: int) -> DataF
 
     scored = staged(arrow_map(docs, run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
                                          "score double, rare array<long>, wanted array<long>, times array<int>"), "ppm-scores")
+    shared.destroy()  # the scores are written
     more = (scored.select("row", F.explode("rare").alias("key")).join(rest.words, "key")
             .select("row", F.lit(1).alias("known"), (F.log10(F.col("n") + 0.5) - float(np.log10(0.5))).alias("base"), F.lit(0.0).alias("log")))
     if model.frequent is not None:

@@ -2,6 +2,7 @@
 
 import collections
 import json
+import pickle
 import zlib
 
 import numpy as np
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cabwise.llm import chat, fertility, mixing, packing, ppm, token_shards, tokens, warc
+from cabwise.llm.common import Words
 from cabwise.llm.template import Const, Print, Template, TemplateError
 from conftest_paths import SF_SMOKE, documents_of
 from oracle_harness import compare
@@ -459,3 +461,17 @@ def test_blocks_of_equal_sizes_take_the_same_in_all(spark):
             F.max("mix.copies").alias("b")).collect()
         for r in got:
             assert abs(3 * r.n - r.t) < 3 and r.b - r.a <= 1
+
+
+def test_ppm_model_of_the_tasks_is_small_and_the_same(spark):
+    docs = documents_of(spark, "sf0.001")
+    model, _, _ = ppm.train(docs)
+    own = model.for_scoring()
+    edges = sum(len(x.edges.keys) for x in model.levels)
+    assert model.frequent is None and edges > 50_000
+    assert len(pickle.dumps(own.levels)) < 0.7 * len(pickle.dumps(model.levels))
+    texts = pa.array([r.text for r in docs.limit(20).collect()] + ["", "never seen: \u4e2d\u6587 #@"])
+    keys = ppm.context_keys(texts, ppm.ORDER)[0]
+    assert (own.byte_logs(keys)[0] == model.byte_logs(keys)[0]).all()
+    hashes = Words(texts, lower=True).hashes()
+    assert all((a == b).all() for a, b in zip(own.word_logs(hashes), model.word_logs(hashes)))
