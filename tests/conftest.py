@@ -17,3 +17,13 @@ def spark():
                       conf={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def own_cache():
+    """What a module's tests cached doesn't stay for those of another one."""
+    yield
+    from pyspark.sql import SparkSession
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.catalog.clearCache()
